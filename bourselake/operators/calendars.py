@@ -181,7 +181,8 @@ def calendar_day(spark: SparkSession) -> DataFrame:
     rows = flagged.select("day", F.inline(F.array(*entries)))
 
     upto = Window.partitionBy("calendar").orderBy("day")
-    after = upto.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Running backwards; a frame of following rows would be recomputed per row.
+    back = Window.partitionBy("calendar").orderBy(F.desc("day"))
     session_day = F.when(F.col("is_session"), F.col("day"))
     utc = F.lit("UTC")
     open_local = _at(F.date_sub("day", F.col("open_days_before")), F.col("open_clock"))
@@ -201,7 +202,7 @@ def calendar_day(spark: SparkSession) -> DataFrame:
             "session_no"
         ),
         F.last(session_day, ignorenulls=True).over(upto).alias("prev_session"),
-        F.first(session_day, ignorenulls=True).over(after).alias("next_session"),
+        F.last(session_day, ignorenulls=True).over(back).alias("next_session"),
     )
 
 
@@ -233,7 +234,9 @@ def with_sessions(
         "next_session": F.col(day),
     }
     dim = calendar.select(
-        F.col("calendar").alias("_calendar"), F.col("day").alias("_calendar_day"), *columns
+        F.col("calendar").alias("_calendar"),
+        F.col("day").alias("_calendar_day"),
+        *columns,
     )
     keyed = rows.withColumn("calendar", calendar_of(F.col("dataset")))
     joined = keyed.join(

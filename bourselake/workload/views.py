@@ -18,6 +18,7 @@ from bourselake.functions.vocab import MONTH_LETTERS, SUPPORTED_ROOTS
 from bourselake.operators import calendars, intervals
 from bourselake.operators import contracts as futures
 from bourselake.operators.coverage import KEY
+from bourselake.sources.dimensions import stored
 
 TICKS_AS_OF = date(2024, 2, 1)
 BARS_AS_OF = date(2021, 12, 31)
@@ -61,11 +62,13 @@ def _lookup(mapping: dict, key: Column, default) -> Column:
 
 
 def calendar(spark: SparkSession) -> DataFrame:
-    return calendars.calendar_day(spark)
+    return stored(spark, "calendar_day", calendars.calendar_day)
 
 
 def contracts(spark: SparkSession) -> DataFrame:
-    return futures.contract_dim(spark, calendar(spark))
+    return stored(
+        spark, "contract", lambda s: futures.contract_dim(s, calendar(s))
+    )
 
 
 def ticks_from_events(events: DataFrame) -> DataFrame:
