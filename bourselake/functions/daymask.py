@@ -2,7 +2,8 @@
 
 A day set is a table of (key..., month_no, day_mask): bit d-1 of ``day_mask``
 is day d. Sets combine with bit operators, ``bit_or`` aggregates them map-side,
-and a month of days travels as one row instead of thirty-one.
+and a month of days travels as one row instead of thirty-one. The same way a
+year of months is twelve bits.
 """
 
 from __future__ import annotations
@@ -41,14 +42,40 @@ def span_mask(month: Column, start: Column, end: Column) -> Column:
     return F.when(high > low, _bit(high) - _bit(low)).otherwise(F.lit(0).cast("bigint"))
 
 
+def month_span_mask(year: Column, start: Column, end: Column) -> Column:
+    """Months of ``year`` that the inclusive range start..end touches."""
+    low = F.greatest(month_no(start) - year * 12, F.lit(0))
+    high = F.least(month_no(end) - year * 12 + 1, F.lit(12))
+    return F.when(high > low, _bit(high) - _bit(low)).otherwise(F.lit(0).cast("bigint"))
+
+
+def month_bit(day: Column) -> Column:
+    """Mask with the one bit of this date's month."""
+    return _bit(F.month(day) - 1)
+
+
 def minus(mask: Column, other: Column) -> Column:
     return mask.bitwiseAND(F.bitwise_not(other))
 
 
+def lowest(mask: Column) -> Column:
+    """Day of the lowest bit; of a non-empty mask."""
+    return highest(mask.bitwiseAND(-mask))
+
+
+def highest(mask: Column) -> Column:
+    """Day of the highest bit; of a non-empty mask."""
+    return F.length(F.bin(mask))
+
+
 def days_in(mask: Column) -> Column:
-    """Ascending array of the days of month in the mask."""
+    """Ascending array of the days of month in the mask.
+
+    Masks of one day, the usual case, skip the loop over all days.
+    """
     all_days = F.array(*[F.lit(d) for d in range(1, 32)])
-    return F.filter(all_days, lambda d: F.getbit(mask, d - 1) == 1)
+    several = F.filter(all_days, lambda d: F.getbit(mask, d - 1) == 1)
+    return F.when(F.bit_count(mask) == 1, F.array(highest(mask))).otherwise(several)
 
 
 def runs_in(mask: Column) -> Column:

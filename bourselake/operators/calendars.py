@@ -206,11 +206,6 @@ def calendar_day(spark: SparkSession) -> DataFrame:
     )
 
 
-def in_bounds(start: Column, end: Column) -> Column:
-    """Can the calendars answer for this whole range?"""
-    return (start >= F.lit(FIRST_DAY)) & (end <= F.lit(LAST_DAY))
-
-
 def session_months(calendar: DataFrame) -> DataFrame:
     """(calendar, month_no) -> mask of its sessions; 2,556 rows."""
     return (
@@ -255,7 +250,7 @@ def with_sessions(
 def trading_days(ranges: DataFrame, calendar: DataFrame) -> DataFrame:
     """Every session of each (dataset, range_start, range_end) row.
 
-    A range the calendar does not cover yields all of its days.
+    Outside the dimension's years every day counts as a session.
     """
     months = with_session_months(ranges, calendar)
     return months.select(
@@ -286,9 +281,8 @@ def with_session_months(ranges: DataFrame, calendar: DataFrame) -> DataFrame:
         F.col("calendar").alias("_calendar"), "month_no", "session_mask"
     )
     window = daymask.span_mask(F.col("month_no"), start, end)
-    known = F.when(
-        in_bounds(start, end), F.coalesce("session_mask", F.lit(0).cast("bigint"))
-    ).otherwise(F.lit(daymask.ALL_DAYS).cast("bigint"))
+    # Every month of the dimension has sessions; a month without is outside it.
+    known = F.coalesce("session_mask", F.lit(daymask.ALL_DAYS).cast("bigint"))
     return split.join(F.broadcast(sessions), ["_calendar", "month_no"], "left").select(
         *ranges.columns,
         "month_no",
@@ -298,26 +292,34 @@ def with_session_months(ranges: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def trading_day_count(ranges: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Sessions in each range, as a difference of two running counts."""
+    """Sessions in each range, as a difference of two running counts.
+
+    Days outside the dimension's years count as sessions.
+    """
     dim = calendar.select("calendar", "day", "session_no", "is_session")
     first = dim.select(
         F.col("calendar").alias("_calendar"),
-        F.col("day").alias("range_start"),
+        F.col("day").alias("_first"),
         (F.col("session_no") - F.col("is_session").cast("int")).alias("_before"),
     )
     last = dim.select(
         F.col("calendar").alias("_calendar"),
-        F.col("day").alias("range_end"),
+        F.col("day").alias("_last"),
         F.col("session_no").alias("_through"),
     )
-    all_days = F.datediff("range_end", "range_start") + 1
-    counted = F.coalesce(F.col("_through") - F.col("_before"), all_days)
+    start, end = F.col("range_start"), F.col("range_end")
+    clamped = ranges.filter(start <= end).withColumns(
+        {
+            "_calendar": calendar_of(F.col("dataset")),
+            "_first": F.greatest(start, F.lit(FIRST_DAY)),
+            "_last": F.least(end, F.lit(LAST_DAY)),
+        }
+    )
+    inside = F.greatest(F.datediff("_last", "_first") + 1, F.lit(0))
+    outside = F.datediff(end, start) + 1 - inside
+    sessions = F.when(inside > 0, F.col("_through") - F.col("_before")).otherwise(0)
     return (
-        ranges.withColumn("_calendar", calendar_of(F.col("dataset")))
-        .join(F.broadcast(first), ["_calendar", "range_start"], "left")
-        .join(F.broadcast(last), ["_calendar", "range_end"], "left")
-        .select(
-            *ranges.columns,
-            F.greatest(counted, F.lit(0)).cast("bigint").alias("trading_days"),
-        )
+        clamped.join(F.broadcast(first), ["_calendar", "_first"], "left")
+        .join(F.broadcast(last), ["_calendar", "_last"], "left")
+        .select(*ranges.columns, (sessions + outside).cast("bigint").alias("trading_days"))
     )

@@ -1,9 +1,11 @@
 """Which partitions a request needs, which exist, and what is missing.
 
 A request is (dataset, symbol, schema_, range_start, range_end). Tick schemas
-have one partition per session, other schemas one per month. Requests are split
-into months and joined to the lake's day masks on (key, month); partitions are
-listed only where a list is asked for, counts come from ``bit_count``.
+have one partition per session, other schemas one per month. Partitions are
+slots in buckets: days in a month for tick schemas, months in a year for the
+others, one bit each. Requests are split into buckets and meet the lake's masks
+on (key, bucket); partitions are listed only where a list is asked for, counts
+come from ``bit_count``.
 """
 
 from __future__ import annotations
@@ -41,93 +43,105 @@ def partition_label() -> Column:
     )
 
 
-def present_months(rows: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    """Days with rows, one integer per key and month; combined map-side."""
-    return intervals.days_to_months(rows, keys, "trade_date")
+def _bucket(day: Column) -> Column:
+    return F.when(is_tick(F.col("schema_")), daymask.month_no(day)).otherwise(
+        F.year(day)
+    )
 
 
-def request_months(
-    requests: DataFrame,
-    present: DataFrame,
-    calendar: DataFrame,
-    keys: list[str] = KEY,
-) -> DataFrame:
-    """Expected and present partitions of each request, by month, as masks.
+def present_partitions(rows: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """Partitions with rows as (keys, bucket, slot_mask); combined map-side."""
+    day = F.col("trade_date")
+    slot = F.when(is_tick(F.col("schema_")), daymask.day_bit(day)).otherwise(
+        daymask.month_bit(day)
+    )
+    return rows.groupBy(*keys, _bucket(day).alias("bucket")).agg(
+        F.bit_or(slot).alias("slot_mask")
+    )
 
-    For monthly schemas bit 0 stands for the month's one partition.
-    """
-    asked = requests.select(*keys, "range_start", "range_end").distinct()
-    months = calendars.with_session_months(asked, calendar)
-    seen = present.select(*keys, "month_no", F.col("day_mask").alias("_seen"))
+
+def _request_buckets(
+    requests: DataFrame, calendar: DataFrame, keys: list[str]
+) -> DataFrame:
+    """Requests split into buckets, with window and expected masks."""
+    start, end = F.col("range_start"), F.col("range_end")
     tick = is_tick(F.col("schema_"))
-    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    seen_mask = F.coalesce("_seen", none)
-    return months.join(seen, [*keys, "month_no"], "left").select(
+    asked = requests.select(*keys, "range_start", "range_end").distinct()
+    split = (
+        asked.filter(start <= end)
+        .withColumn("bucket", F.explode(F.sequence(_bucket(start), _bucket(end))))
+        .withColumn("_calendar", F.when(tick, calendars.calendar_of(F.col("dataset"))))
+    )
+    sessions = calendars.session_months(calendar).select(
+        F.col("calendar").alias("_calendar"),
+        F.col("month_no").alias("bucket"),
+        "session_mask",
+    )
+    bucket = F.col("bucket")
+    window = F.when(tick, daymask.span_mask(bucket, start, end)).otherwise(
+        daymask.month_span_mask(bucket, start, end)
+    )
+    every = F.lit(daymask.ALL_DAYS).cast("bigint")
+    return split.join(F.broadcast(sessions), ["_calendar", "bucket"], "left").select(
         *asked.columns,
-        "month_no",
-        "window_mask",
-        F.when(tick, F.col("session_mask")).otherwise(one).alias("expected_mask"),
-        F.when(tick, seen_mask.bitwiseAND(F.col("window_mask")))
-        .otherwise(F.when(seen_mask != 0, one).otherwise(none))
-        .alias("present_mask"),
+        "bucket",
+        window.alias("window_mask"),
+        window.bitwiseAND(F.coalesce("session_mask", every)).alias("expected_mask"),
     )
 
 
-def _list_partitions(months: DataFrame, mask: Column) -> DataFrame:
-    """One row per set bit, with the partition's dates clamped to the request."""
-    others = [c for c in months.columns if not c.endswith("_mask") and c != "month_no"]
-    first = daymask.month_first(F.col("month_no"))
-    tick = is_tick(F.col("schema_"))
-    date = F.date_add(first, F.col("_dom") - 1)
-    return (
-        months.withColumn("_dom", F.explode(daymask.days_in(mask)))
-        .select(
-            *others,
-            F.year(first).alias("year"),
-            F.month(first).alias("month"),
-            F.when(tick, F.col("_dom")).otherwise(0).alias("day"),
-            F.when(tick, date)
-            .otherwise(F.greatest(first, "range_start"))
-            .alias("part_start"),
-            F.when(tick, date)
-            .otherwise(F.least(F.last_day(first), "range_end"))
-            .alias("part_end"),
-        )
+def _with_present(
+    buckets: DataFrame, present: DataFrame, keys: list[str]
+) -> DataFrame:
+    seen = F.coalesce("slot_mask", F.lit(0).cast("bigint"))
+    return buckets.join(present, [*keys, "bucket"], "left").select(
+        *buckets.columns,
+        seen.bitwiseAND(F.col("window_mask")).alias("present_mask"),
     )
 
 
-def _expected_months(requests: DataFrame, calendar: DataFrame) -> DataFrame:
-    asked = requests.select(*REQUEST).distinct()
-    months = calendars.with_session_months(asked, calendar)
-    one = F.lit(1).cast("bigint")
-    return months.withColumn(
-        "expected_mask",
-        F.when(is_tick(F.col("schema_")), F.col("session_mask")).otherwise(one),
+def _list_partitions(buckets: DataFrame, mask: Column) -> DataFrame:
+    """One row per set bit, with the partition's dates clamped to the request."""
+    tick = is_tick(F.col("schema_"))
+    first = daymask.month_first(
+        F.when(tick, F.col("bucket")).otherwise(F.col("bucket") * 12 + F.col("_slot") - 1)
+    )
+    date = F.date_add(first, F.col("_slot") - 1)
+    return buckets.withColumn("_slot", F.explode(daymask.days_in(mask))).select(
+        *REQUEST,
+        F.year(first).alias("year"),
+        F.month(first).alias("month"),
+        F.when(tick, F.col("_slot")).otherwise(0).alias("day"),
+        F.when(tick, date)
+        .otherwise(F.greatest(first, "range_start"))
+        .alias("part_start"),
+        F.when(tick, date)
+        .otherwise(F.least(F.last_day(first), "range_end"))
+        .alias("part_end"),
     )
 
 
 def expected_partitions(requests: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sessions for tick schemas, months clamped to the request otherwise."""
-    months = _expected_months(requests, calendar)
-    return _list_partitions(months, F.col("expected_mask"))
+    buckets = _request_buckets(requests, calendar, KEY)
+    return _list_partitions(buckets, F.col("expected_mask"))
 
 
 def missing_partitions(
     requests: DataFrame, present: DataFrame, calendar: DataFrame
 ) -> DataFrame:
     """Expected partitions that have no rows."""
-    months = request_months(requests, present, calendar)
-    return _list_partitions(
-        months, daymask.minus(F.col("expected_mask"), F.col("present_mask"))
-    )
+    buckets = _with_present(_request_buckets(requests, calendar, KEY), present, KEY)
+    gap = daymask.minus(F.col("expected_mask"), F.col("present_mask"))
+    return _list_partitions(buckets, gap)
 
 
-def present_partitions(
+def cached_partitions(
     requests: DataFrame, present: DataFrame, calendar: DataFrame
 ) -> DataFrame:
     """Partitions with rows inside each request's window, sessions or not."""
-    months = request_months(requests, present, calendar)
-    return _list_partitions(months, F.col("present_mask"))
+    buckets = _with_present(_request_buckets(requests, calendar, KEY), present, KEY)
+    return _list_partitions(buckets, F.col("present_mask"))
 
 
 def coverage_status(
@@ -140,9 +154,9 @@ def coverage_status(
 
     A request that expects no partition at all is COMPLETE: nothing to load.
     """
-    months = request_months(requests, present, calendar, keys)
+    buckets = _with_present(_request_buckets(requests, calendar, keys), present, keys)
     have = F.col("expected_mask").bitwiseAND(F.col("present_mask"))
-    counted = months.groupBy(*keys, "range_start", "range_end").agg(
+    counted = buckets.groupBy(*keys, "range_start", "range_end").agg(
         F.sum(F.bit_count("expected_mask")).alias("total_partitions"),
         F.sum(F.bit_count(have)).alias("cached_partitions"),
     )
@@ -157,25 +171,17 @@ def coverage_status(
     )
 
 
-def _missing_day_masks(months: DataFrame) -> Column:
-    """Days that lie in missing partitions: the days themselves, or whole months."""
-    gap = daymask.minus(F.col("expected_mask"), F.col("present_mask"))
-    none = F.lit(0).cast("bigint")
-    return F.when(is_tick(F.col("schema_")), gap).otherwise(
-        F.when(gap != 0, F.col("window_mask")).otherwise(none)
-    )
-
-
-def _as_request_ranges(months: DataFrame, mask: Column) -> DataFrame:
-    renamed = months.select(
-        *KEY,
-        F.col("range_start").alias("request_start"),
-        F.col("range_end").alias("request_end"),
-        "month_no",
-        mask.alias("day_mask"),
-    )
-    return intervals.months_to_ranges(
-        renamed, [*KEY, "request_start", "request_end"]
+def _month_ranges(present: DataFrame) -> DataFrame:
+    """Whole months with rows, as ranges, for monthly schemas."""
+    month = F.col("bucket") * 12 + F.col("_slot") - 1
+    return (
+        present.filter(~is_tick(F.col("schema_")))
+        .withColumn("_slot", F.explode(daymask.days_in(F.col("slot_mask"))))
+        .select(
+            *KEY,
+            daymask.month_first(month).alias("range_start"),
+            F.last_day(daymask.month_first(month)).alias("range_end"),
+        )
     )
 
 
@@ -183,8 +189,23 @@ def missing_partition_ranges(
     requests: DataFrame, present: DataFrame, calendar: DataFrame
 ) -> DataFrame:
     """Missing partitions of each request as merged date ranges."""
-    months = request_months(requests, present, calendar)
-    return _as_request_ranges(months, _missing_day_masks(months))
+    tick = is_tick(F.col("schema_"))
+    months = intervals.missing_ranges(
+        requests.filter(~tick), _month_ranges(present), KEY
+    )
+    buckets = _with_present(
+        _request_buckets(requests.filter(tick), calendar, KEY), present, KEY
+    )
+    gap = daymask.minus(F.col("expected_mask"), F.col("present_mask"))
+    day_gaps = buckets.select(
+        *KEY,
+        F.col("range_start").alias("request_start"),
+        F.col("range_end").alias("request_end"),
+        F.col("bucket").alias("month_no"),
+        gap.alias("day_mask"),
+    )
+    days = intervals.months_to_ranges(day_gaps, [*KEY, "request_start", "request_end"])
+    return months.unionByName(days)
 
 
 def missing_union(
@@ -193,15 +214,36 @@ def missing_union(
     present: DataFrame,
     calendar: DataFrame,
 ) -> DataFrame:
-    """Ranges missing from the catalog or from the files, merged."""
-    months = request_months(requests, present, calendar)
-    recorded = intervals.ranges_to_months(cached, KEY).withColumnRenamed(
-        "day_mask", "_recorded"
+    """Ranges missing from the catalog or from the files, merged.
+
+    A day is covered if it is recorded and its partition exists or is not
+    expected; the gaps of what is covered are missing.
+    """
+    tick = is_tick(F.col("schema_"))
+    recorded = (
+        intervals.split_months(intervals.merge_ranges(cached, KEY), KEY)
+        .withColumn("_first", daymask.month_first(F.col("month_no")))
+        .withColumn("bucket", _bucket(F.col("_first")))
+        .withColumn("_calendar", F.when(tick, calendars.calendar_of(F.col("dataset"))))
+    )
+    sessions = calendars.session_months(calendar).withColumnRenamed(
+        "calendar", "_calendar"
     )
-    none = F.lit(0).cast("bigint")
-    unrecorded = daymask.minus(F.col("window_mask"), F.coalesce("_recorded", none))
-    both = months.join(recorded, [*KEY, "month_no"], "left")
-    return _as_request_ranges(both, unrecorded.bitwiseOR(_missing_day_masks(both)))
+    every, none = (F.lit(n).cast("bigint") for n in (daymask.ALL_DAYS, 0))
+    seen = F.coalesce("slot_mask", none)
+    closed_or_seen = daymask.minus(every, F.coalesce("session_mask", every)).bitwiseOR(
+        seen
+    )
+    month_seen = F.getbit(seen, F.month("_first") - 1) == 1
+    sound = F.when(tick, closed_or_seen).otherwise(F.when(month_seen, every).otherwise(none))
+    covered = (
+        recorded.join(F.broadcast(sessions), ["_calendar", "month_no"], "left")
+        .join(present, [*KEY, "bucket"], "left")
+        .select(
+            *KEY, "month_no", F.col("day_mask").bitwiseAND(sound).alias("day_mask")
+        )
+    )
+    return intervals.missing_ranges(requests, intervals.month_runs(covered, KEY), KEY)
 
 
 def month_reload_window(requests: DataFrame, cached: DataFrame) -> DataFrame:
@@ -216,7 +258,7 @@ def month_reload_window(requests: DataFrame, cached: DataFrame) -> DataFrame:
         "day_mask", "_recorded"
     )
     have = F.coalesce("_recorded", F.lit(0).cast("bigint"))
-    span = daymask.days_in(F.col("day_mask").bitwiseOR(have))
+    span = F.col("day_mask").bitwiseOR(have)
     month = F.col("month_no")
     return (
         months.join(recorded, [*KEY, "month_no"], "left")
@@ -225,19 +267,24 @@ def month_reload_window(requests: DataFrame, cached: DataFrame) -> DataFrame:
             *REQUEST,
             F.year(daymask.month_first(month)).alias("year"),
             F.month(daymask.month_first(month)).alias("month"),
-            daymask.date_of(month, F.element_at(span, 1)).alias("load_start"),
-            daymask.date_of(month, F.element_at(span, -1)).alias("load_end"),
+            daymask.date_of(month, daymask.lowest(span)).alias("load_start"),
+            daymask.date_of(month, daymask.highest(span)).alias("load_end"),
         )
     )
 
 
+def present_days(rows: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """Days with rows, one integer per key and month; combined map-side."""
+    return intervals.days_to_months(rows, keys, "trade_date")
+
+
 def rows_in_requests(
-    requests: DataFrame, present: DataFrame, keys: list[str] = KEY
+    requests: DataFrame, days: DataFrame, keys: list[str] = KEY
 ) -> DataFrame:
     """Requests with a flag: does any row lie in the window?"""
     request = [*keys, "range_start", "range_end"]
     months = intervals.split_months(requests.select(*request).distinct(), request)
-    seen = present.select(*keys, "month_no", F.col("day_mask").alias("_seen"))
+    seen = days.select(*keys, "month_no", F.col("day_mask").alias("_seen"))
     hit = F.col("day_mask").bitwiseAND(F.coalesce("_seen", F.lit(0).cast("bigint")))
     return (
         months.join(seen, [*keys, "month_no"], "left")
@@ -246,8 +293,6 @@ def rows_in_requests(
     )
 
 
-def empty_requests(requests: DataFrame, present: DataFrame) -> DataFrame:
+def empty_requests(requests: DataFrame, days: DataFrame) -> DataFrame:
     """Requests whose whole window holds no row."""
-    return rows_in_requests(requests, present).filter(~F.col("has_rows")).drop(
-        "has_rows"
-    )
+    return rows_in_requests(requests, days).filter(~F.col("has_rows")).drop("has_rows")

@@ -1,9 +1,9 @@
 """Interval algebra over inclusive date ranges, per key.
 
-Every operator takes the key columns by name. Merging first keeps one range per
-(key, start), combined map-side, so the per-key window sorts at most as many
-rows as there are distinct start dates, however many ranges a key holds.
-Set operations go through day masks and join on (key, month), never key alone.
+Every operator takes the key columns by name. Ranges are first reduced to the
+longest one per (key, start), combined map-side, so the per-key window sorts at
+most as many rows as there are distinct start dates, however many ranges a key
+holds. Requests meet gaps on (key, year), never on the key alone.
 """
 
 from __future__ import annotations
@@ -15,13 +15,15 @@ from bourselake.functions import daymask
 from bourselake.operators.calendars import with_sessions
 
 
-def merge_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
-    """Maximal ranges: overlapping or adjacent (end + 1 day) ones become one."""
-    longest = (
+def _longest(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    return (
         ranges.filter(F.col("range_start") <= F.col("range_end"))
         .groupBy(*keys, "range_start")
         .agg(F.max("range_end").alias("range_end"))
     )
+
+
+def _islands(ranges: DataFrame, keys: list[str]) -> DataFrame:
     by_start = Window.partitionBy(*keys).orderBy("range_start")
     earlier = by_start.rowsBetween(Window.unboundedPreceding, -1)
     opens = F.coalesce(
@@ -29,7 +31,7 @@ def merge_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
         F.lit(True),
     )
     return (
-        longest.withColumn("_opens", opens.cast("int"))
+        ranges.withColumn("_opens", opens.cast("int"))
         .withColumn("_island", F.sum("_opens").over(by_start))
         .groupBy(*keys, "_island")
         .agg(
@@ -40,6 +42,11 @@ def merge_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def merge_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Maximal ranges: overlapping or adjacent (end + 1 day) ones become one."""
+    return _islands(_longest(ranges, keys), keys)
+
+
 def split_months(ranges: DataFrame, columns: list[str]) -> DataFrame:
     """One row per range and month it touches, with the mask of its days."""
     start, end = F.col("range_start"), F.col("range_end")
@@ -69,26 +76,25 @@ def days_to_months(rows: DataFrame, keys: list[str], day: str) -> DataFrame:
     )
 
 
-def months_to_ranges(months: DataFrame, keys: list[str]) -> DataFrame:
-    """Maximal ranges of a day set."""
-    runs = months.select(
+def month_runs(months: DataFrame, keys: list[str]) -> DataFrame:
+    """Ranges of a day set, cut at month ends."""
+    return months.select(
         *keys, "month_no", F.inline(daymask.runs_in(F.col("day_mask")))
     ).select(
         *keys,
         daymask.date_of(F.col("month_no"), F.col("first")).alias("range_start"),
         daymask.date_of(F.col("month_no"), F.col("last")).alias("range_end"),
     )
-    return merge_ranges(runs, keys)
 
 
-def subtract_months(months: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Days of the first set that are not in the second."""
-    taken = other.select(*keys, "month_no", F.col("day_mask").alias("_taken"))
-    none = F.lit(0).cast("bigint")
-    left = daymask.minus(F.col("day_mask"), F.coalesce("_taken", none))
-    return months.join(taken, [*keys, "month_no"], "left").select(
-        *[c for c in months.columns if c != "day_mask"], left.alias("day_mask")
-    )
+def months_to_ranges(months: DataFrame, keys: list[str]) -> DataFrame:
+    """Maximal ranges of a day set that has one row per key and month."""
+    return _islands(month_runs(months, keys), keys)
+
+
+def _split_years(rows: DataFrame, start: str, end: str) -> DataFrame:
+    years = F.sequence(F.year(start), F.year(end))
+    return rows.filter(F.col(start) <= F.col(end)).withColumn("_year", F.explode(years))
 
 
 def missing_ranges(
@@ -98,29 +104,61 @@ def missing_ranges(
 
     Requests are identified by their keys and bounds, kept as request_start and
     request_end; a request with nothing cached is one gap.
+
+    The gaps between a key's cached ranges are found once per key, with a mark
+    before its first and after its last requested day. Requests then meet them
+    on (key, year); a year has at most 183 gaps, and a pair counts only in the
+    year its overlap starts.
     """
-    request = [*keys, "request_start", "request_end"]
     asked = requests.select(
         *keys,
         F.col("range_start").alias("request_start"),
         F.col("range_end").alias("request_end"),
-        "range_start",
-        "range_end",
     ).distinct()
-    gaps = subtract_months(
-        split_months(asked, request), ranges_to_months(cached, keys), keys
+    before = F.date_sub(F.min("request_start"), 1)
+    after = F.date_add(F.max("request_end"), 1)
+    marks = (
+        asked.groupBy(*keys)
+        .agg(F.array(before, after).alias("_marks"))
+        .select(*keys, F.explode("_marks").alias("range_start"))
+        .withColumn("range_end", F.col("range_start"))
+    )
+    by_start = Window.partitionBy(*keys).orderBy("range_start")
+    so_far = by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gaps = (
+        _longest(cached, keys)
+        .unionByName(marks)
+        .select(
+            *keys,
+            F.date_add(F.max("range_end").over(so_far), 1).alias("_gap_start"),
+            F.date_sub(F.lead("range_start").over(by_start), 1).alias("_gap_end"),
+        )
+    )
+    start = F.greatest("request_start", "_gap_start")
+    end = F.least("request_end", "_gap_end")
+    return (
+        _split_years(asked, "request_start", "request_end")
+        .join(_split_years(gaps, "_gap_start", "_gap_end"), [*keys, "_year"])
+        .filter((start <= end) & (F.year(start) == F.col("_year")))
+        .select(
+            *keys,
+            "request_start",
+            "request_end",
+            start.alias("range_start"),
+            end.alias("range_end"),
+        )
     )
-    return months_to_ranges(gaps, request)
 
 
 def subtract_ranges(
     ranges: DataFrame, cleared: DataFrame, keys: list[str]
 ) -> DataFrame:
-    """What remains of the ranges after the cleared windows are taken out."""
-    left = subtract_months(
-        ranges_to_months(ranges, keys), ranges_to_months(cleared, keys), keys
-    )
-    return months_to_ranges(left, keys)
+    """What remains of the ranges after the cleared windows are taken out.
+
+    The remnants are the gaps that the cleared windows leave in the ranges.
+    """
+    whole = merge_ranges(ranges, keys)
+    return missing_ranges(whole, cleared, keys).drop("request_start", "request_end")
 
 
 def day_islands(rows: DataFrame, keys: list[str], day: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +38,16 @@ WINDOW = (date(2024, 1, 8), date(2024, 1, 19))
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
-    return build
+    """Register a query under its function name, its integers as bigint."""
 
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = build(spark, sf_dir)
+        wide = [c for c, kind in rows.dtypes if kind == "int"]
+        return rows.withColumns({c: F.col(c).cast("bigint") for c in wide})
 
-def _big(name: str):
-    return F.col(name).cast("bigint").alias(name)
+    QUERIES[build.__name__] = run
+    return run
 
 
 # --- sources and sinks -----------------------------------------------------
@@ -109,8 +114,8 @@ def partition_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    present = coverage.present_months(views.rows_of_both(spark, sf_dir))
-    return coverage.present_partitions(
+    present = coverage.present_partitions(views.rows_of_both(spark, sf_dir))
+    return coverage.cached_partitions(
         views.requests(spark, sf_dir), present, views.calendar(spark)
     )
 
@@ -134,7 +139,7 @@ def partition_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def empty_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    present = coverage.present_months(views.rows_of_both(spark, sf_dir))
+    present = coverage.present_days(views.rows_of_both(spark, sf_dir))
     return coverage.empty_requests(views.requests(spark, sf_dir), present)
 
 
@@ -345,7 +350,7 @@ def quarterly_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min("from_year").alias("from_year"), F.max("to_year").alias("to_year")
         )
     )
-    return listed.select("root", _big("year"), _big("month"), "symbol")
+    return listed.select("root", "year", "month", "symbol")
 
 
 @query
@@ -369,8 +374,8 @@ def contract_expirations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "root",
         "symbol",
         "rule",
-        _big("year"),
-        _big("month"),
+        "year",
+        "month",
         "expiration",
         F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"),
     )
@@ -504,7 +509,7 @@ def missing_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     recorded = views.recorded_ranges(spark, sf_dir).unionByName(
         views.catalog(spark, sf_dir).drop("stype")
     )
-    present = coverage.present_months(views.rows_of_both(spark, sf_dir))
+    present = coverage.present_partitions(views.rows_of_both(spark, sf_dir))
     return coverage.missing_union(
         views.requests(spark, sf_dir), recorded, present, views.calendar(spark)
     )
@@ -516,7 +521,7 @@ def month_reload_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.inner_requests(spark, sf_dir), views.recorded_ranges(spark, sf_dir)
     )
     return windows.select(
-        *KEY, _big("year"), _big("month"), "load_start", "load_end"
+        *KEY, "year", "month", "load_start", "load_end"
     )
 
 
@@ -572,7 +577,7 @@ def delete_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _partition_rows(listed: DataFrame) -> DataFrame:
     return listed.select(
         *coverage.REQUEST,
-        *[_big(c) for c in coverage.PARTITION],
+        *coverage.PARTITION,
         "part_start",
         "part_end",
     )
@@ -589,7 +594,7 @@ def expected_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    present = coverage.present_months(views.rows_of_both(spark, sf_dir))
+    present = coverage.present_partitions(views.rows_of_both(spark, sf_dir))
     return _partition_rows(
         coverage.missing_partitions(
             views.requests(spark, sf_dir), present, views.calendar(spark)
@@ -599,7 +604,7 @@ def missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def coverage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    present = coverage.present_months(views.rows_of_both(spark, sf_dir))
+    present = coverage.present_partitions(views.rows_of_both(spark, sf_dir))
     return coverage.coverage_status(
         views.requests(spark, sf_dir), present, views.calendar(spark)
     )
@@ -646,7 +651,7 @@ def inventory_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
     )
     ordered = inventory.inventory_order(listed, ["dataset"])
-    return ordered.select("dataset", "symbol", "schema_", _big("position"))
+    return ordered.select("dataset", "symbol", "schema_", "position")
 
 
 # --- quality ---------------------------------------------------------------
@@ -701,7 +706,7 @@ def orphan_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lake.with_partitions(views.ticks(spark, sf_dir).select(*KEY, "trade_date"))
     partitions = rows.select(*KEY, *coverage.PARTITION).distinct()
     orphans = catalog.orphan_partitions(partitions, views.catalog(spark, sf_dir))
-    return orphans.select(*KEY, *[_big(c) for c in coverage.PARTITION])
+    return orphans.select(*KEY, *coverage.PARTITION)
 
 
 @query
@@ -736,7 +741,7 @@ def verify_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("last_date").alias("range_end"),
     )
     return catalog.verify_catalog(
-        recorded, coverage.present_months(rows), views.calendar(spark)
+        recorded, coverage.present_partitions(rows), views.calendar(spark)
     )
 
 
@@ -779,7 +784,7 @@ def update_plan_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def update_plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    present = coverage.present_months(views.ticks(spark, sf_dir))
+    present = coverage.present_days(views.ticks(spark, sf_dir))
     outcomes = updates.update_outcomes(_series_plan(spark, sf_dir), present)
     return updates.outcome_counts(outcomes)
 
@@ -800,7 +805,7 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year(F.min("trade_date")).alias("from_year"),
         F.year(F.max("trade_date")).alias("to_year"),
     )
-    present = coverage.present_months(rows, [*scope, "symbol", "schema_"])
+    present = coverage.present_partitions(rows, [*scope, "symbol", "schema_"])
     return updates.batch_plan(
         spans,
         views.contracts(spark),
@@ -813,7 +818,7 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ensure_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    present = coverage.present_months(views.rows_of_both(spark, sf_dir))
+    present = coverage.present_partitions(views.rows_of_both(spark, sf_dir))
     return updates.ensure_split(
         views.requests(spark, sf_dir), present, views.calendar(spark)
     )
@@ -836,7 +841,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     missing = coverage.missing_partitions(
         wanted,
-        coverage.present_months(lake.read_lake(spark, path)),
+        coverage.present_partitions(lake.read_lake(spark, path)),
         views.calendar(spark),
     )
     lake.load_missing(spark, landing, path, missing)
