@@ -73,7 +73,7 @@ def days_in(mask: Column) -> Column:
 
     Masks of one day, the usual case, skip the loop over all days.
     """
-    all_days = F.array(*[F.lit(d) for d in range(1, 32)])
+    all_days = F.sequence(F.lit(1), F.lit(31))
     several = F.filter(all_days, lambda d: F.getbit(mask, d - 1) == 1)
     return F.when(F.bit_count(mask) == 1, F.array(highest(mask))).otherwise(several)
 

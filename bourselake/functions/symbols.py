@@ -13,27 +13,24 @@ CONTINUOUS_PATTERN = r"^[A-Z0-9]+\.[cvn]\.[0-9]+$"
 PARENT_PATTERN = r"^[A-Z0-9]+\.(FUT|OPT|SPOT)$"
 
 
-def is_contract(symbol: Column) -> Column:
-    return symbol.rlike(CONTRACT_PATTERN)
+def _contract_part(symbol: Column, group: int) -> Column:
+    """Upper-case part of a contract symbol; null if the symbol does not parse."""
+    part = F.upper(F.regexp_extract(symbol, CONTRACT_PATTERN, group))
+    return F.nullif(part, F.lit(""))
 
 
 def contract_root(symbol: Column) -> Column:
-    """Upper-case root of a contract symbol; null if the symbol does not parse."""
-    return F.when(
-        is_contract(symbol), F.upper(F.regexp_extract(symbol, CONTRACT_PATTERN, 1))
-    )
+    return _contract_part(symbol, 1)
 
 
 def contract_month(symbol: Column) -> Column:
     """Month 1-12; the letter's place in the list of month letters."""
-    letter = F.upper(F.regexp_extract(symbol, CONTRACT_PATTERN, 2))
-    return F.when(is_contract(symbol), F.instr(F.lit(MONTH_LETTERS), letter))
+    return F.instr(F.lit(MONTH_LETTERS), _contract_part(symbol, 2))
 
 
 def contract_year(symbol: Column) -> Column:
     """Two-digit years are always 20xx."""
-    digits = F.regexp_extract(symbol, CONTRACT_PATTERN, 3).try_cast("int")
-    return F.when(is_contract(symbol), digits + 2000)
+    return _contract_part(symbol, 3).try_cast("int") + 2000
 
 
 def month_letter(month: Column) -> Column:

@@ -4,60 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bourselake.functions import symbols
 from bourselake.operators import coverage, intervals
 from bourselake.operators.coverage import KEY
 
-RANGES = T.ArrayType(
-    T.StructType([T.StructField("start", T.DateType()), T.StructField("end", T.DateType())])
-)
-ISSUES = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("date", T.DateType()),
-            T.StructField("issue_type", T.StringType()),
-            T.StructField("message", T.StringType()),
-        ]
-    )
-)
-SPECS = T.StructType(
-    [
-        T.StructField("multiplier", T.DoubleType()),
-        T.StructField("tick_size", T.DoubleType()),
-        T.StructField("currency", T.StringType()),
-    ]
-)
-ENTRY_FILE = T.StructType(
-    [
-        T.StructField("dataset", T.StringType()),
-        T.StructField("symbol", T.StringType()),
-        T.StructField("stype", T.StringType()),
-        T.StructField("schema", T.StringType()),
-        T.StructField("ranges", RANGES),
-        T.StructField("updated_at", T.TimestampType()),
-        T.StructField("cache_version", T.IntegerType()),
-        T.StructField("contract_specs", SPECS),
-        T.StructField("quality_issues", ISSUES),
-    ]
-)
-
-
-def read_entry_files(spark: SparkSession, root: str) -> DataFrame:
-    """Import per-key JSON catalog entries found anywhere under ``root``."""
-    return (
-        spark.read.schema(ENTRY_FILE)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .json(root)
-        .withColumnRenamed("schema", "schema_")
-    )
-
-
 def entry_ranges(entries: DataFrame) -> DataFrame:
     """Catalog entries in long form, one row per recorded range."""
     return entries.select(*KEY, "stype", "updated_at", F.inline("ranges")).select(
@@ -96,12 +49,12 @@ def build_catalog(rows: DataFrame, updated_at: datetime) -> DataFrame:
 
 
 def refresh_catalog(
-    catalog: DataFrame, rows: DataFrame, updated_at: datetime
+    catalog: DataFrame, touched: DataFrame, rows: DataFrame, updated_at: datetime
 ) -> DataFrame:
-    """Replace the entries of the keys seen in ``rows``; keep all others."""
-    touched = rows.select(*KEY).distinct()
-    fresh = build_catalog(rows, updated_at)
-    kept = catalog.join(touched, KEY, "left_anti")
+    """Recompute the entries of the touched keys from the rows; keep all others."""
+    keys = touched.select(*KEY).distinct()
+    fresh = build_catalog(rows.join(keys, KEY, "left_semi"), updated_at)
+    kept = catalog.join(keys, KEY, "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,14 +32,43 @@ def build_session(master: str, shuffle_partitions: int, **extra: str) -> SparkSe
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="bourselake-")
+    return _LOCAL_ROOTS[context.applicationId]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder path under the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where the
-    setting is absent, as in tests, is a machine-local folder made and set.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
+    session without the setting, as in tests, gets a folder of its own machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="bourselake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/bourselake/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/bourselake/{name}-{uuid.uuid4().hex}"
+
+
+def staged(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to the shared scratch folder and read them back.
+
+    Overwriting a table that the same plan reads loses data if a task fails;
+    staging first separates the two, and a retry starts from stored rows.
+    """
+    path = scratch_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def broadcast_if_small(rows: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """Broadcast hint for stored rows counted to be few; a plain join otherwise."""
+    if rows.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(rows)
+    return rows

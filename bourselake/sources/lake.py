@@ -15,10 +15,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourselake.functions import daymask, eventtime
+from bourselake.functions import eventtime
 from bourselake.operators import coverage, intervals
 from bourselake.operators.coverage import KEY, PARTITION
-from bourselake.session import scratch_path
+from bourselake.session import broadcast_if_small, staged
 
 FOLDERS = ["dataset", "schema_", *PARTITION]
 LOGICAL_PARTITION = [*KEY, *PARTITION]
@@ -116,24 +116,6 @@ def partition_row_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*FOLDERS).agg(F.count("*").alias("n_rows"))
 
 
-def _staged(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    """Write rows to the shared scratch folder and read them back.
-
-    Overwriting a lake that the same plan reads loses data if a task fails;
-    staging first separates the two, and a retry starts from stored rows.
-    """
-    path = scratch_path(spark, name)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
-def _broadcast_if_small(rows: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Broadcast hint for stored rows counted to be few; a plain join otherwise."""
-    if rows.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(rows)
-    return rows
-
-
 def load_missing(
     spark: SparkSession, landing: DataFrame, path: str, missing: DataFrame
 ) -> DataFrame:
@@ -144,13 +126,13 @@ def load_missing(
     """
     wanted = missing.select(*LOGICAL_PARTITION).distinct()
     fresh = with_partitions(landing).join(wanted, LOGICAL_PARTITION, "left_semi")
-    fresh = _staged(spark, fresh, "fresh")
-    touched = _staged(spark, fresh.select(*FOLDERS).distinct(), "touched")
+    fresh = staged(spark, fresh, "fresh")
+    touched = staged(spark, fresh.select(*FOLDERS).distinct(), "touched")
     existing = spark.read.parquet(path)
-    carried = existing.join(_broadcast_if_small(touched), FOLDERS, "left_semi").join(
+    carried = existing.join(broadcast_if_small(touched), FOLDERS, "left_semi").join(
         wanted, LOGICAL_PARTITION, "left_anti"
     )
-    merged = _staged(spark, carried.select(*fresh.columns).unionByName(fresh), "merged")
+    merged = staged(spark, carried.select(*fresh.columns).unionByName(fresh), "merged")
     write_partitions(merged, path)
     return fresh.groupBy(*LOGICAL_PARTITION).agg(F.count("*").alias("n_rows"))
 
@@ -161,8 +143,8 @@ def delete_windows(spark: SparkSession, path: str, windows: DataFrame) -> DataFr
     Rows outside the windows survive, also within a monthly partition. Folders
     left without rows are dropped. Returns the deleted logical partitions.
     """
-    doomed_days = _staged(spark, intervals.ranges_to_months(windows, KEY), "windows")
-    doomed_days = _broadcast_if_small(doomed_days)
+    doomed_days = staged(spark, intervals.ranges_to_months(windows, KEY), "windows")
+    doomed_days = broadcast_if_small(doomed_days)
     start, end = windows.agg(F.min("range_start"), F.max("range_end")).first()
     lake = spark.read.parquet(path).filter(_in_partition_window(start, end))
     month = F.col("year") * 12 + F.col("month") - 1
@@ -174,20 +156,20 @@ def delete_windows(spark: SparkSession, path: str, windows: DataFrame) -> DataFr
         .groupBy(*LOGICAL_PARTITION)
         .agg(F.count("*").alias("n_rows"))
     )
-    deleted = _staged(spark, doomed, "deleted")
-    touched = _staged(spark, deleted.select(*FOLDERS).distinct(), "touched")
+    deleted = staged(spark, doomed, "deleted")
+    touched = staged(spark, deleted.select(*FOLDERS).distinct(), "touched")
 
     kept = F.getbit(F.coalesce("day_mask", F.lit(0).cast("bigint")), dom) == 0
     survivors = (
-        keyed.join(_broadcast_if_small(touched), FOLDERS, "left_semi")
+        keyed.join(broadcast_if_small(touched), FOLDERS, "left_semi")
         .join(doomed_days, [*KEY, "month_no"], "left")
         .filter(kept)
         .select(*lake.columns)
     )
-    staged = _staged(spark, survivors, "survivors")
-    write_partitions(staged, path)
+    kept_rows = staged(spark, survivors, "survivors")
+    write_partitions(kept_rows, path)
     # A dynamic overwrite leaves a partition it gets no rows for as it was.
-    emptied = touched.join(staged.select(*FOLDERS).distinct(), FOLDERS, "left_anti")
+    emptied = touched.join(kept_rows.select(*FOLDERS).distinct(), FOLDERS, "left_anti")
     _drop_folders(spark, path, emptied)
     return deleted
 
@@ -204,16 +186,3 @@ def _drop_folders(spark: SparkSession, path: str, partitions: DataFrame) -> None
     for row in partitions.select(*FOLDERS).toLocalIterator():
         name = "/".join(f"{c}={row[c]}" for c in FOLDERS)
         files.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
-
-
-def remaining_after(rows: DataFrame, windows: DataFrame) -> DataFrame:
-    """Rows outside the windows, as a plain filter without rewriting the lake."""
-    doomed_days = intervals.ranges_to_months(windows, KEY)
-    month = daymask.month_no(F.col("trade_date"))
-    dom = F.dayofmonth("trade_date") - 1
-    return (
-        rows.withColumn("month_no", month)
-        .join(doomed_days, [*KEY, "month_no"], "left")
-        .filter(F.getbit(F.coalesce("day_mask", F.lit(0).cast("bigint")), dom) == 0)
-        .drop("month_no", "day_mask")
-    )

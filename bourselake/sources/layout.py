@@ -6,26 +6,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the layout of partition files, symbol spelt with underscores.
-FILE_PATTERN = (
-    r"([^/]+)/([^/]+)/([^/]+)/([0-9]{4})/([0-9]{2})(?:/([0-9]{2}))?\.parquet$"
-)
-
-
-def _part(path: Column, group: int) -> Column:
-    return F.regexp_extract(path, FILE_PATTERN, group)
+FILE_PATTERN = r"[^/]+/[^/]+/[^/]+/[0-9]{4}/[0-9]{2}(/[0-9]{2})?\.parquet$"
 
 
 def parse_paths(files: DataFrame, path: str = "path") -> DataFrame:
     """Add the key and partition told by each file's path; other files drop out."""
-    name = F.col(path)
-    return files.filter(name.rlike(FILE_PATTERN)).select(
+    parts = F.split(F.regexp_replace(path, r"\.parquet$", ""), "/")
+    # Daily files have one folder more: counted from the end, all shift by one.
+    daily = F.length(F.element_at(parts, -2)) == 2
+
+    def part(place: int) -> Column:
+        return F.element_at(parts, F.when(daily, -place - 1).otherwise(-place))
+
+    return files.filter(F.col(path).rlike(FILE_PATTERN)).select(
         "*",
-        _part(name, 1).alias("dataset"),
-        _part(name, 2).alias("symbol"),
-        _part(name, 3).alias("schema_"),
-        _part(name, 4).cast("int").alias("year"),
-        _part(name, 5).cast("int").alias("month"),
-        F.coalesce(_part(name, 6).try_cast("int"), F.lit(0)).alias("day"),
+        part(5).alias("dataset"),
+        part(4).alias("symbol"),
+        part(3).alias("schema_"),
+        part(2).cast("int").alias("year"),
+        part(1).cast("int").alias("month"),
+        F.when(daily, F.element_at(parts, -1).cast("int")).otherwise(0).alias("day"),
     )
 
 

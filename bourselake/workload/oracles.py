@@ -474,6 +474,19 @@ _oracle(
     select=f"SELECT *, {STYPE} AS stype FROM observed",
 )
 
+_oracle(
+    "catalog_write",
+    TICKS,
+    CATALOG,
+    f"""
+touched AS (SELECT DISTINCT {KEY} FROM tick_calendar WHERE trade_date > snapshot_date),
+tick_days AS (SELECT {KEY}, trade_date AS day FROM ticks),
+islands AS ({_islands("tick_days", KEY)})""",
+    select=f"""SELECT r.*, {STYPE} AS stype FROM (
+  SELECT c.* FROM catalog c ANTI JOIN touched USING ({KEY})
+  UNION ALL SELECT i.* FROM islands i SEMI JOIN touched USING ({KEY})) r""",
+)
+
 # --- filters ---------------------------------------------------------------
 
 _oracle(

@@ -22,7 +22,7 @@ from bourselake.operators import (
 from bourselake.operators.coverage import KEY
 from bourselake.plans import updates
 from bourselake.session import scratch_path
-from bourselake.sources import lake, layout
+from bourselake.sources import catalog_store, lake, layout
 from bourselake.streaming import ingest
 from bourselake.workload import views
 
@@ -181,6 +181,20 @@ def catalog_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("updated_at")
 
 
+@query
+def catalog_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored catalog is refreshed for the keys with rows after its snapshot."""
+    path = scratch_path(spark, "catalog")
+    catalog_store.save_catalog(spark, views.catalog(spark, sf_dir), path)
+    rows = views.ticks(spark, sf_dir)
+    newer = rows.filter(F.col("trade_date") > views.snapshot_date(F.col("dataset")))
+    refreshed = catalog.refresh_catalog(
+        catalog_store.load_catalog(spark, path), newer, rows, views.UPDATED_AT
+    )
+    catalog_store.save_catalog(spark, refreshed.drop("updated_at"), path)
+    return catalog_store.load_catalog(spark, path)
+
+
 # --- filters ---------------------------------------------------------------
 
 
@@ -192,17 +206,30 @@ def date_window_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _feed_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct symbols of the feed; expressions on symbols run on these only."""
+    return (
+        views.symbol_feed(spark, sf_dir)
+        .groupBy("symbol")
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.sum("volume").cast("bigint").alias("volume"),
+        )
+    )
+
+
 @query
 def symbol_prefix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = views.symbol_feed(spark, sf_dir).filter(
-        symbols.starts_with_ignoring_case(F.col("symbol"), "Nq")
+    return (
+        _feed_symbols(spark, sf_dir)
+        .filter(symbols.starts_with_ignoring_case(F.col("symbol"), "Nq"))
+        .select("symbol", "volume")
     )
-    return kept.groupBy("symbol").agg(F.sum("volume").cast("bigint").alias("volume"))
 
 
 @query
 def supported_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = views.symbol_feed(spark, sf_dir).filter(
+    kept = _feed_symbols(spark, sf_dir).filter(
         symbols.is_supported_contract(F.col("symbol"))
     )
     return kept.groupBy(
@@ -210,7 +237,8 @@ def supported_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
         symbols.contract_year(F.col("symbol")).alias("year"),
         symbols.contract_month(F.col("symbol")).alias("month"),
     ).agg(
-        F.count("*").alias("n_rows"), F.sum("volume").cast("bigint").alias("volume")
+        F.sum("n_rows").cast("bigint").alias("n_rows"),
+        F.sum("volume").cast("bigint").alias("volume"),
     )
 
 
@@ -419,14 +447,6 @@ def front_month_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _feed_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        views.symbol_feed(spark, sf_dir)
-        .groupBy("symbol")
-        .agg(F.sum("volume").cast("bigint").alias("volume"))
-    )
-
-
 @query
 def symbol_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     symbol = F.col("symbol")
@@ -457,11 +477,11 @@ def symbol_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def symbol_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        views.symbol_feed(spark, sf_dir)
+        _feed_symbols(spark, sf_dir)
         .groupBy(symbols.canonical_symbol(F.col("symbol")).alias("canonical"))
         .agg(
             F.sum("volume").cast("bigint").alias("volume"),
-            F.count_distinct("symbol").alias("n_spellings"),
+            F.count("*").alias("n_spellings"),
         )
     )
 
