@@ -131,7 +131,8 @@ tick_calendar AS (
 
 BARS = f"""
 bars AS (
-  SELECT 'GLBX.MDP3' AS dataset, 'I' || l_partkey AS symbol, 'ohlcv-1d' AS schema_,
+  SELECT CASE l_linestatus WHEN 'F' THEN 'IFUS.IMPACT' ELSE 'GLBX.MDP3' END AS dataset,
+    'I' || l_partkey AS symbol, 'ohlcv-1d' AS schema_,
     {ROOTS}[(l_partkey % 21) + 1] AS root, l_suppkey AS book,
     CASE l_returnflag WHEN 'A' THEN 'ohlcv-1d' WHEN 'N' THEN 'ohlcv-1h'
       ELSE 'ohlcv-1m' END AS feed,
@@ -600,8 +601,8 @@ FROM tick_calendar t JOIN cal c ON c.calendar = t.calendar AND c.day = t.trade_d
 )
 
 DATASET_DAYS = """
-dataset_days AS (SELECT dataset,
-  CASE dataset WHEN 'GLBX.MDP3' THEN 'CMES' ELSE 'XNYS' END AS calendar, trade_date,
+dataset_days AS (SELECT dataset, CASE dataset WHEN 'GLBX.MDP3' THEN 'CMES'
+    WHEN 'IFUS.IMPACT' THEN 'IEPA' ELSE 'XNYS' END AS calendar, trade_date,
   count(*) AS n_rows FROM both_rows GROUP BY dataset, trade_date)"""
 
 _oracle(
@@ -647,8 +648,8 @@ _oracle(
     BARS,
     RECORDED_DAYS,
     select="""SELECT dataset, symbol, range_start, range_end,
-  (SELECT count(*) FROM cal c WHERE c.calendar = 'CMES' AND c.is_session
-    AND c.day BETWEEN range_start AND range_end) AS trading_days
+  (SELECT count(*) FROM cal c WHERE c.is_session AND c.calendar =
+    CASE dataset WHEN 'GLBX.MDP3' THEN 'CMES' ELSE 'IEPA' END AND c.day BETWEEN range_start AND range_end) AS trading_days
 FROM recorded""",
 )
 

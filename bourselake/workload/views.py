@@ -26,8 +26,8 @@ UPDATED_AT = datetime(2024, 2, 1)
 BARS_START, BARS_END = date(2015, 1, 1), date(2021, 12, 31)
 TICKS_START, TICKS_END = date(2024, 1, 1), date(2024, 1, 31)
 
-# Event type to dataset, and how far each dataset was loaded when
-# the catalog snapshot was taken.
+# Event type or line status to dataset, how far each dataset was
+# loaded when the catalog snapshot was taken, return flag to bar schema.
 EVENT_DATASET = {
     "click": "GLBX.MDP3",
     "view": "OPRA.PILLAR",
@@ -42,6 +42,8 @@ SNAPSHOT_DATE = {
     "DBEQ.BASIC": date(2024, 1, 20),
     "UNKNOWN.DATASET": date(2024, 1, 26),
 }
+STATUS_DATASET = {"F": "IFUS.IMPACT"}
+OTHER_BAR_DATASET = "GLBX.MDP3"
 FLAG_SCHEMA = {"A": "ohlcv-1d", "N": "ohlcv-1h"}
 OTHER_FLAG_SCHEMA = "ohlcv-1m"
 FEED_ROOTS = (*SUPPORTED_ROOTS, "AAPL", "CL", "VX", "ZC")
@@ -100,7 +102,9 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
-        F.lit("GLBX.MDP3").alias("dataset"),
+        _lookup(STATUS_DATASET, F.col("l_linestatus"), OTHER_BAR_DATASET).alias(
+            "dataset"
+        ),
         F.concat(F.lit("I"), F.col("l_partkey").cast("string")).alias("symbol"),
         F.lit("ohlcv-1d").alias("schema_"),
         _pick(SUPPORTED_ROOTS, F.col("l_partkey")).alias("root"),
