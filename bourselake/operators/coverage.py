@@ -60,6 +60,17 @@ def present_partitions(rows: DataFrame, keys: list[str] = KEY) -> DataFrame:
     )
 
 
+def merge_present(
+    stored: DataFrame, added: DataFrame, keys: list[str] = KEY
+) -> DataFrame:
+    """Add the partitions of newly loaded rows to a stored presence table."""
+    return (
+        stored.unionByName(added)
+        .groupBy(*keys, "bucket")
+        .agg(F.bit_or("slot_mask").alias("slot_mask"))
+    )
+
+
 def _request_buckets(
     requests: DataFrame, calendar: DataFrame, keys: list[str]
 ) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourselake.functions import symbols
 from bourselake.functions.vocab import BAR_SCHEMA_RANK, OTHER_SCHEMA_RANK
+from bourselake.operators import ranking
 
 
 def schema_rank(schema: Column) -> Column:
@@ -53,14 +54,13 @@ SORT_KEY = [
 ]
 
 
-def inventory_order(items: DataFrame, listing: list[str]) -> DataFrame:
-    """Place of each item in its listing.
-
-    One listing holds each (symbol, schema) once, so its size is bounded by the
-    contract and schema vocabularies, not by the rows of the lake.
-    """
-    order = Window.partitionBy(*listing).orderBy(*SORT_KEY, "symbol")
-    return with_sort_key(items).withColumn("position", F.row_number().over(order))
+def inventory_order(
+    spark: SparkSession, items: DataFrame, listing: list[str]
+) -> DataFrame:
+    """Place of each item in its listing."""
+    return ranking.with_position(
+        spark, with_sort_key(items), listing, [*SORT_KEY, "symbol"]
+    )
 
 
 def inventory_groups(items: DataFrame, listing: list[str]) -> DataFrame:

@@ -14,8 +14,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from bourselake.functions import eventtime
+from bourselake.functions import daymask, eventtime
 from bourselake.operators import coverage, intervals
 from bourselake.operators.coverage import KEY, PARTITION
 from bourselake.session import broadcast_if_small, staged
@@ -71,6 +72,19 @@ def read_lake(
     return date_window(rows.filter(_in_partition_window(start, end)), start, end)
 
 
+def read_files(
+    spark: SparkSession,
+    paths: list[str],
+    start: date | None = None,
+    end: date | None = None,
+) -> DataFrame:
+    """Rows of the given Parquet files in the window; no files, an empty frame."""
+    if not paths:
+        return spark.createDataFrame([], StructType([]))
+    rows = spark.read.option("mergeSchema", True).parquet(*sorted(paths))
+    return date_window(rows, start, end)
+
+
 def date_window(
     rows: DataFrame, start: date | None = None, end: date | None = None
 ) -> DataFrame:
@@ -116,24 +130,71 @@ def partition_row_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*FOLDERS).agg(F.count("*").alias("n_rows"))
 
 
+def _wanted_days(partitions: DataFrame) -> DataFrame:
+    """Day masks of logical partitions; a monthly partition is all its days."""
+    day = F.col("day")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), day - 1)
+    every = F.lit(daymask.ALL_DAYS).cast("bigint")
+    return partitions.groupBy(
+        *KEY, (F.col("year") * 12 + F.col("month") - 1).cast("int").alias("month_no")
+    ).agg(F.bit_or(F.when(day > 0, bit).otherwise(every)).alias("day_mask"))
+
+
+def _mark(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows with a flag ``_hit``: is the row's date in its key's day set?
+
+    ``days`` holds one row per key and month, so no row is doubled.
+    """
+    bit = F.dayofmonth("trade_date") - 1
+    mask = F.coalesce("day_mask", F.lit(0).cast("bigint"))
+    return (
+        rows.withColumn("month_no", daymask.month_no(F.col("trade_date")))
+        .join(days, [*KEY, "month_no"], "left")
+        .withColumn("_hit", F.getbit(mask, bit) == 1)
+        .drop("month_no", "day_mask")
+    )
+
+
+def _stored_days(
+    spark: SparkSession, days: DataFrame
+) -> tuple[DataFrame, date | None, date | None]:
+    """A day set as a stored table, broadcast if small, and the months it spans."""
+    table = staged(spark, days, "days")
+    first = daymask.month_first(F.min("month_no"))
+    last = F.last_day(daymask.month_first(F.max("month_no")))
+    start, end = table.agg(first, last).first()
+    return broadcast_if_small(table), start, end
+
+
+def rows_in_windows(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows whose date lies in a (key, range_start, range_end) window, once each."""
+    marked = _mark(rows, intervals.ranges_to_months(windows, KEY))
+    return marked.filter("_hit").drop("_hit")
+
+
 def load_missing(
     spark: SparkSession, landing: DataFrame, path: str, missing: DataFrame
 ) -> DataFrame:
     """Load only the missing logical partitions; running it twice changes nothing.
 
-    ``missing`` lists (dataset, symbol, schema_, year, month, day). Rows of other
-    symbols in the same folders are carried over. Returns the loaded counts.
+    ``missing`` lists (dataset, symbol, schema_, year, month, day). Landing and
+    lake are read for the months concerned only. Rows of other symbols in the
+    same folders are carried over. Returns the loaded counts.
     """
-    wanted = missing.select(*LOGICAL_PARTITION).distinct()
-    fresh = with_partitions(landing).join(wanted, LOGICAL_PARTITION, "left_semi")
-    fresh = staged(spark, fresh, "fresh")
+    days, start, end = _stored_days(spark, _wanted_days(missing))
+    if start is None:
+        return with_partitions(landing.limit(0)).groupBy(*LOGICAL_PARTITION).agg(
+            F.count("*").alias("n_rows")
+        )
+    wanted = _mark(date_window(landing, start, end), days).filter("_hit").drop("_hit")
+    fresh = staged(spark, with_partitions(wanted), "fresh")
     touched = staged(spark, fresh.select(*FOLDERS).distinct(), "touched")
-    existing = spark.read.parquet(path)
-    carried = existing.join(broadcast_if_small(touched), FOLDERS, "left_semi").join(
-        wanted, LOGICAL_PARTITION, "left_anti"
-    )
-    merged = staged(spark, carried.select(*fresh.columns).unionByName(fresh), "merged")
-    write_partitions(merged, path)
+    existing = spark.read.parquet(path).filter(_in_partition_window(start, end))
+    carried = _mark(
+        existing.join(broadcast_if_small(touched), FOLDERS, "left_semi"), days
+    ).filter("not _hit")
+    merged = carried.select(*fresh.columns).unionByName(fresh)
+    write_partitions(staged(spark, merged, "merged"), path)
     return fresh.groupBy(*LOGICAL_PARTITION).agg(F.count("*").alias("n_rows"))
 
 
@@ -143,33 +204,23 @@ def delete_windows(spark: SparkSession, path: str, windows: DataFrame) -> DataFr
     Rows outside the windows survive, also within a monthly partition. Folders
     left without rows are dropped. Returns the deleted logical partitions.
     """
-    doomed_days = staged(spark, intervals.ranges_to_months(windows, KEY), "windows")
-    doomed_days = broadcast_if_small(doomed_days)
-    start, end = windows.agg(F.min("range_start"), F.max("range_end")).first()
+    days, start, end = _stored_days(spark, intervals.ranges_to_months(windows, KEY))
     lake = spark.read.parquet(path).filter(_in_partition_window(start, end))
-    month = F.col("year") * 12 + F.col("month") - 1
-    keyed = lake.withColumn("month_no", month)
-    dom = F.dayofmonth("trade_date") - 1
-    marked = keyed.join(doomed_days, [*KEY, "month_no"])
     doomed = (
-        marked.filter(F.getbit("day_mask", dom) == 1)
+        _mark(lake, days)
+        .filter("_hit")
         .groupBy(*LOGICAL_PARTITION)
         .agg(F.count("*").alias("n_rows"))
     )
     deleted = staged(spark, doomed, "deleted")
     touched = staged(spark, deleted.select(*FOLDERS).distinct(), "touched")
-
-    kept = F.getbit(F.coalesce("day_mask", F.lit(0).cast("bigint")), dom) == 0
-    survivors = (
-        keyed.join(broadcast_if_small(touched), FOLDERS, "left_semi")
-        .join(doomed_days, [*KEY, "month_no"], "left")
-        .filter(kept)
-        .select(*lake.columns)
-    )
-    kept_rows = staged(spark, survivors, "survivors")
-    write_partitions(kept_rows, path)
+    survivors = _mark(
+        lake.join(broadcast_if_small(touched), FOLDERS, "left_semi"), days
+    ).filter("not _hit")
+    kept = staged(spark, survivors.select(*lake.columns), "survivors")
+    write_partitions(kept, path)
     # A dynamic overwrite leaves a partition it gets no rows for as it was.
-    emptied = touched.join(kept_rows.select(*FOLDERS).distinct(), FOLDERS, "left_anti")
+    emptied = touched.join(kept.select(*FOLDERS).distinct(), FOLDERS, "left_anti")
     _drop_folders(spark, path, emptied)
     return deleted
 

@@ -885,6 +885,21 @@ _oracle(
 FROM both_rows GROUP BY {KEY}""",
 )
 
+_oracle(
+    "served_read",
+    CALENDAR,
+    TICKS,
+    "both_rows AS (SELECT * FROM ticks)",
+    TICK_REQUESTS,
+    "bar_requests AS (SELECT * FROM tick_requests WHERE false)",
+    EXPECTED,
+    STATUS,
+    select=f"""SELECT event_id, {KEY}, trade_date, price_cents FROM ticks t
+WHERE EXISTS (SELECT 1 FROM status s WHERE s.status = 'COMPLETE'
+  AND s.dataset = t.dataset AND s.symbol = t.symbol
+  AND t.trade_date BETWEEN s.range_start AND s.range_end)""",
+)
+
 # --- inventory -------------------------------------------------------------
 
 _oracle(

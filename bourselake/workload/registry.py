@@ -71,6 +71,19 @@ def windowed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def served_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks in the windows of the requests that are complete."""
+    rows = _lake_rows(spark, sf_dir)
+    status = coverage.coverage_status(
+        views.tick_requests(spark, sf_dir),
+        coverage.present_partitions(rows),
+        views.calendar(spark),
+    )
+    served = lake.rows_in_windows(rows, status.filter("status = 'COMPLETE'"))
+    return served.select("event_id", *KEY, "trade_date", "price_cents")
+
+
 @query
 def partition_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lake")
@@ -670,7 +683,7 @@ def inventory_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(views.holdings(spark, sf_dir).select("dataset", "symbol", "schema_"))
         .distinct()
     )
-    ordered = inventory.inventory_order(listed, ["dataset"])
+    ordered = inventory.inventory_order(spark, listed, ["dataset"])
     return ordered.select("dataset", "symbol", "schema_", "position")
 
 

@@ -1,8 +1,9 @@
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bourselake.operators import catalog, coverage, inventory, quality
+from bourselake.operators import catalog, coverage, inventory, quality, ranking
 from bourselake.operators.coverage import KEY
 
 from .conftest import KEYED, d, pairs, ranges, tick_rows
@@ -191,7 +192,7 @@ def test_listing_order(spark):
     listed = items(spark, ["NQH25", "NQ.c.0", "ZZZ", "NQZ24", "AAPL", "ES.v.0"]).unionByName(
         items(spark, ["NQ.c.0", "NQH25"], "ohlcv-1m").unionByName(items(spark, ["NQ.c.0"], "trades"))
     )
-    order = inventory.inventory_order(listed, ["dataset"]).orderBy("position").collect()
+    order = inventory.inventory_order(spark, listed, ["dataset"]).orderBy("position").collect()
     assert [(r.symbol, r.schema_) for r in order] == [
         ("AAPL", "ohlcv-1d"), ("ES.v.0", "ohlcv-1d"), ("NQ.c.0", "ohlcv-1d"),
         ("NQ.c.0", "ohlcv-1m"), ("NQ.c.0", "trades"), ("NQZ24", "ohlcv-1d"),
@@ -199,6 +200,18 @@ def test_listing_order(spark):
     ]
 
 
+def test_positions_over_many_partitions(spark):
+    rows = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, 9).otherwise(F.col("id") % 5).alias("listing"),
+        F.pmod(F.col("id") * 7919, F.lit(20011)).alias("number"),
+    )
+    numbered = ranking.with_position(spark, rows, ["listing"], ["number"])
+    exact = Window.partitionBy("listing").orderBy("number")
+    wrong = numbered.withColumn("exact", F.row_number().over(exact))
+    assert numbered.count() == 20000
+    assert wrong.filter("exact <> position").count() == 0
+
+
 def test_totals(spark):
     row = inventory.inventory_totals(items(spark, ["A", "B"])).first()
     assert (row.n_items, row.size_bytes) == (2, 20)

@@ -167,6 +167,16 @@ def test_against_brute_force(spark, calendar, seed):
         assert got[ds, s, sc, start, end] == (len(wanted), len(have), text)
 
 
+def test_presence_adds_up(spark):
+    one = tick_rows(spark, [(*ES, "2024-01-10", 1), (*BARS, "2024-01-10", 1)])
+    two = tick_rows(spark, [(*ES, "2024-01-12", 1), (*BARS, "2024-05-10", 1)])
+    merged = coverage.merge_present(
+        coverage.present_partitions(one), coverage.present_partitions(two)
+    )
+    whole = coverage.present_partitions(one.unionByName(two))
+    assert sorted(merged.collect()) == sorted(whole.collect())
+
+
 def test_labels(spark):
     rows = spark.createDataFrame([(2024, 3, 0), (2024, 3, 7)], "year int, month int, day int")
     labels = [r[0] for r in rows.select(coverage.partition_label()).collect()]

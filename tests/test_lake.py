@@ -147,6 +147,22 @@ def test_delete_keeps_other_symbols_and_drops_empty_folders(spark, lake_path):
     assert not os.path.exists(f"{lake_path}/dataset=GLBX.MDP3/schema_=trades/year=2024/month=1/day=10")
 
 
+def test_files_are_read_together(spark, tmp_path):
+    assert lake.read_files(spark, []).count() == 0
+    for i, name in enumerate(("b", "a")):
+        tick_rows(spark, [(*ES, f"2024-01-1{i}", i)]).write.parquet(str(tmp_path / name))
+    paths = [str(tmp_path / n) for n in ("b", "a")]
+    assert lake.read_files(spark, paths).count() == 2
+    assert lake.read_files(spark, paths, start=d("2024-01-11")).first().price == 1.0
+
+
+def test_rows_in_windows_come_once(spark):
+    rows = tick_rows(spark, [(*ES, f"2024-01-{i:02}", i) for i in range(1, 20)])
+    windows = ranges(spark, [("2024-01-03", "2024-01-05"), ("2024-01-04", "2024-01-06")], ES)
+    kept = lake.rows_in_windows(rows, windows).collect()
+    assert sorted(r.price for r in kept) == [3.0, 4.0, 5.0, 6.0]
+
+
 def test_layout_is_read_with_keys_from_paths(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
