@@ -9,6 +9,9 @@ from bourselake.functions.vocab import MONTH_LETTERS, SUPPORTED_ROOTS
 
 # Symbol patterns.
 CONTRACT_PATTERN = r"(?i)^([A-Z0-9]{1,4})([FGHJKMNQUVXZ])([0-9]{2})$"
+SUPPORTED_PATTERN = (
+    rf"(?i)^({'|'.join(SUPPORTED_ROOTS)})[{MONTH_LETTERS}][0-9]{{2}}$"
+)
 CONTINUOUS_PATTERN = r"^[A-Z0-9]+\.[cvn]\.[0-9]+$"
 PARENT_PATTERN = r"^[A-Z0-9]+\.(FUT|OPT|SPOT)$"
 
@@ -48,7 +51,8 @@ def vendor_symbol(root: Column, year: Column, month: Column) -> Column:
 
 
 def is_supported_contract(symbol: Column) -> Column:
-    return F.coalesce(contract_root(symbol).isin(*SUPPORTED_ROOTS), F.lit(False))
+    """Does the symbol parse, with a root of the vocabulary?"""
+    return F.coalesce(symbol.rlike(SUPPORTED_PATTERN), F.lit(False))
 
 
 def is_supported_root(symbol: Column) -> Column:

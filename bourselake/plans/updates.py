@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bourselake.functions import symbols
-from bourselake.functions.vocab import SUPPORTED_ROOTS
 from bourselake.operators import contracts as futures
 from bourselake.operators import coverage
 from bourselake.operators.coverage import KEY
@@ -212,21 +211,3 @@ def ensure_split(
         "gap_start",
         "gap_end",
     )
-
-
-def rejected_symbols(rows: DataFrame) -> DataFrame:
-    """Distinct symbols that are no contract of a supported root."""
-    return (
-        rows.select("symbol")
-        .distinct()
-        .filter(~symbols.is_supported_contract(F.col("symbol")))
-    )
-
-
-def supported_roots(rows: DataFrame) -> DataFrame:
-    """Distinct symbols that are bare supported roots, in any case."""
-    return (
-        rows.select("symbol")
-        .distinct()
-        .filter(F.upper("symbol").isin(*SUPPORTED_ROOTS))
-    )

@@ -726,14 +726,28 @@ _oracle(
   CAST(sum(volume) AS BIGINT) AS volume, count(DISTINCT symbol) AS n_spellings
 FROM feed GROUP BY 1""",
 )
+NEXT_SYMBOL = """root || CASE WHEN month >= 12 OR month < 3 THEN 'H'
+    WHEN month < 6 THEN 'M' WHEN month < 9 THEN 'U' ELSE 'Z' END
+    || lpad(CAST((CASE WHEN month = 12 THEN year + 1 ELSE year END) % 100 AS VARCHAR),
+      2, '0')"""
+
+_oracle(
+    "symbol_master",
+    FEED,
+    select=f"""SELECT f.symbol, {STYPE} AS stype, CASE WHEN contains(symbol, '.')
+    THEN upper(split_part(symbol, '.', 1)) || substr(symbol, strpos(symbol, '.'))
+    ELSE upper(symbol) END AS canonical, replace(symbol, '.', '_') AS path_name,
+  regexp_matches(symbol, '\\.[vn]\\.') AS has_lookahead,
+  coalesce(list_contains({ROOTS}, root), false) AS is_supported, root, year, month,
+  root || substr({LETTERS}, CAST(month AS INTEGER), 1) || CAST(year % 10 AS VARCHAR)
+    AS vendor_symbol, {NEXT_SYMBOL} AS next_symbol
+FROM feed_symbols f LEFT JOIN parsed p USING (symbol)""",
+)
 _oracle(
     "next_contract",
     FEED,
-    select="""SELECT symbol, volume,
-  root || CASE WHEN month >= 12 OR month < 3 THEN 'H' WHEN month < 6 THEN 'M'
-    WHEN month < 9 THEN 'U' ELSE 'Z' END
-    || lpad(CAST((CASE WHEN month = 12 THEN year + 1 ELSE year END) % 100 AS VARCHAR),
-      2, '0') AS next_symbol,
+    select=f"""SELECT symbol, volume,
+  {NEXT_SYMBOL} AS next_symbol,
   root || CASE WHEN month <= 3 THEN 'Z' WHEN month <= 6 THEN 'H' WHEN month <= 9 THEN 'M'
     ELSE 'U' END
     || lpad(CAST((CASE WHEN month <= 3 THEN year - 1 ELSE year END) % 100 AS VARCHAR),

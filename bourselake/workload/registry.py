@@ -19,6 +19,7 @@ from bourselake.operators import (
     inventory,
     quality,
 )
+from bourselake.operators import symbol_master as masters
 from bourselake.operators.coverage import KEY
 from bourselake.plans import updates
 from bourselake.session import scratch_path
@@ -257,12 +258,12 @@ def supported_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def supported_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return updates.supported_roots(views.symbol_feed(spark, sf_dir))
+    return masters.supported_roots(views.symbol_feed(spark, sf_dir))
 
 
 @query
 def rejected_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return updates.rejected_symbols(views.symbol_feed(spark, sf_dir))
+    return masters.rejected_symbols(views.symbol_feed(spark, sf_dir))
 
 
 @query
@@ -460,6 +461,11 @@ def front_month_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def symbol_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masters.symbol_master(views.symbol_feed(spark, sf_dir))
+
+
 @query
 def symbol_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     symbol = F.col("symbol")

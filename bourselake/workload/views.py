@@ -17,7 +17,7 @@ from bourselake.functions import eventtime, symbols
 from bourselake.functions.vocab import MONTH_LETTERS, SUPPORTED_ROOTS
 from bourselake.operators import calendars, intervals
 from bourselake.operators import contracts as futures
-from bourselake.operators.coverage import KEY
+from bourselake.operators.coverage import KEY, partition_columns
 from bourselake.sources.dimensions import stored
 
 TICKS_AS_OF = date(2024, 2, 1)
@@ -286,23 +286,27 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partition_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File paths of all partitions of ticks and bars, with their row counts."""
-    day = F.col("trade_date")
-    name = F.when(
-        F.col("schema_") == "trades", F.date_format(day, "yyyy/MM/dd")
-    ).otherwise(F.date_format(day, "yyyy/MM"))
+    year, month, day = partition_columns(F.col("schema_"), F.col("trade_date"))
+    counted = (
+        rows_of_both(spark, sf_dir)
+        .groupBy(*KEY, year, month, day)
+        .agg(F.count("*").alias("n_rows"))
+    )
+
+    def two(name: str) -> Column:
+        return F.lpad(F.col(name).cast("string"), 2, "0")
+
     path = F.concat_ws(
         "/",
         F.lit("/store"),
         "dataset",
         symbols.path_symbol(F.col("symbol")),
         "schema_",
-        name,
-    )
-    return (
-        rows_of_both(spark, sf_dir)
-        .groupBy(F.concat(path, F.lit(".parquet")).alias("path"))
-        .agg(F.count("*").alias("n_rows"))
+        F.col("year").cast("string"),
+        two("month"),
+        F.when(F.col("day") > 0, two("day")),  # nulls are left out
     )
+    return counted.select(F.concat(path, F.lit(".parquet")).alias("path"), "n_rows")
 
 
 def symbol_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
