@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,28 +31,15 @@ def build_session(master: str, shuffle_partitions: int, **extra: str) -> SparkSe
     return spark
 
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
-def _scratch_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="bourselake-")
-    return _LOCAL_ROOTS[context.applicationId]
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder path under the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session without the setting, as in tests, gets a folder of its own machine.
+    That is the folder in ``spark.checkpoint.dir``; where it is unset, a folder
+    of the session's warehouse, which executors share as well.
     """
-    return f"{_scratch_root(spark)}/bourselake/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
+    return f"{root.rstrip('/')}/bourselake/{name}-{uuid.uuid4().hex}"
 
 
 def staged(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:

@@ -9,9 +9,16 @@ from bourselake.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "local[8]", 8, **{"spark.driver.memory": "6g", "spark.default.parallelism": "8"}
+        "local[8]",
+        8,
+        **{
+            "spark.driver.memory": "6g",
+            "spark.default.parallelism": "8",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
     )
     yield session
     session.stop()

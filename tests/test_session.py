@@ -1,31 +1,25 @@
-import os
 from types import SimpleNamespace
 
-import pytest
 from pyspark.sql import functions as F
 
 from bourselake import session
 
 
-def fake(folder, master):
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda name, default: folder),
-        sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"),
-    )
+def fake(**conf):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, *default: conf.get(name)))
 
 
 def test_scratch_lies_in_the_folder_the_cluster_names():
-    first = session.scratch_path(fake("/shared/x/", "yarn"), "lake")
-    second = session.scratch_path(fake("/shared/x/", "yarn"), "lake")
+    named = fake(**{"spark.checkpoint.dir": "/shared/x/"})
+    first = session.scratch_path(named, "lake")
+    second = session.scratch_path(named, "lake")
     assert first.startswith("/shared/x/bourselake/lake-")
     assert first != second
 
 
-def test_only_local_sessions_get_a_folder_of_their_own():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.scratch_path(fake(None, "yarn"), "lake")
-    path = session.scratch_path(fake(None, "local[2]"), "lake")
-    assert os.path.isdir(os.path.dirname(os.path.dirname(path)))
+def test_without_that_folder_scratch_lies_in_the_warehouse():
+    path = session.scratch_path(fake(**{"spark.sql.warehouse.dir": "s3://w"}), "lake")
+    assert path.startswith("s3://w/_scratch/bourselake/lake-")
 
 
 def test_broadcast_only_below_the_limit(spark):
