@@ -75,16 +75,23 @@ def mark_possible(
     )
 
 
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and every row whole as ``_row``.
+
+    Columns an operator adds cannot clash with names inside the struct.
+    """
+    return docs.select(*needed, F.struct("*").alias("_row"))
+
+
 def without_ids(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """Documents whose doc_id is not among ``dropped``; null ids stay.
 
     Rows that cannot match pass by a bit filter; only the rest is joined.
     """
-    marked = mark_possible(docs, dropped, "doc_id", "_maybe")
-    columns = docs.columns
-    clear = marked.filter(~F.col("_maybe")).select(*columns)
-    checked = marked.filter("_maybe").select(*columns).join(dropped, "doc_id", "left_anti")
-    return clear.unionByName(checked.select(*columns))
+    marked = mark_possible(packed(docs, "doc_id"), dropped, "doc_id", "_maybe")
+    clear = marked.filter(~F.col("_maybe")).select("_row.*")
+    checked = marked.filter("_maybe").join(dropped, "doc_id", "left_anti")
+    return clear.unionByName(checked.select("_row.*"))
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:

@@ -70,13 +70,14 @@ def simhash(text: str | None, size: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, fingerprint bigint) of every document."""
 
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = np.array([simhash(t, shingle) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fingerprint": own.view(np.int64)})
-
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(
-        compute, "doc_id bigint, fingerprint bigint"
+    @F.pandas_udf("bigint")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            own = np.array([simhash(t, shingle) for t in texts], dtype=np.uint64)
+            yield pd.Series(own.view(np.int64))
+
+    return docs.select(
+        F.col("doc_id").cast("bigint"), compute("text").alias("fingerprint")
     )
 
 

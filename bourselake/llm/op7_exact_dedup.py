@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourselake.llm import golomb
-from bourselake.llm.common import mark_possible, part_count
+from bourselake.llm.common import mark_possible, packed, part_count
 from bourselake.session import staged
 
 #: Hashes that one owner merges, about; owners grow with the input.
@@ -157,11 +157,10 @@ def duplicate_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def without_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One whole document of each group, that with the largest doc_id."""
-    rows = with_suspicion(spark, docs)
-    columns = docs.columns
-    alone = rows.filter(~F.col("_suspect")).select(*columns)
-    whole = F.struct(*columns)
-    best = F.max_by(whole, F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint")))
+    rows = with_suspicion(spark, packed(docs, "doc_id", "text"))
+    alone = rows.filter(~F.col("_suspect")).select("_row.*")
+    least = F.lit(-(1 << 63)).cast("bigint")
+    best = F.max_by("_row", F.coalesce(F.col("doc_id").cast("bigint"), least))
     kept = (
         rows.filter("_suspect")
         .groupBy("_fingerprint", normalised(F.col("text")).alias("_text"))

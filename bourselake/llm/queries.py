@@ -6,7 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bourselake.llm import op1_simhash, op7_exact_dedup
+from bourselake.llm import (
+    op1_simhash,
+    op2_language_id,
+    op3_mixing,
+    op7_exact_dedup,
+    op10_packing,
+)
 from bourselake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +24,13 @@ def _over_documents(build: Callable[[SparkSession, DataFrame], DataFrame]) -> Qu
 
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": _over_documents(op1_simhash.query),
+    "op2_language_id": _over_documents(op2_language_id.query),
+    "op3_source_mixing": _over_documents(op3_mixing.query),
     "op7_exact_dedup": _over_documents(op7_exact_dedup.query),
+    "op10_best_fit_packing": _over_documents(op10_packing.query),
 }
 
 ORACLES: dict[str, str] = {
+    "op3_source_mixing": op3_mixing.ORACLE,
     "op7_exact_dedup": op7_exact_dedup.ORACLE,
 }
