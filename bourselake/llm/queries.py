@@ -10,7 +10,9 @@ from bourselake.llm import (
     op1_simhash,
     op2_language_id,
     op3_mixing,
+    op4_licenses,
     op7_exact_dedup,
+    op9_quality,
     op10_packing,
 )
 from bourselake.llm.common import documents
@@ -22,11 +24,18 @@ def _over_documents(build: Callable[[SparkSession, DataFrame], DataFrame]) -> Qu
     return lambda spark, sf_dir: build(spark, documents(spark, sf_dir))
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return op9_quality.query(spark, documents(spark, sf_dir), labels)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": _over_documents(op1_simhash.query),
     "op2_language_id": _over_documents(op2_language_id.query),
     "op3_source_mixing": _over_documents(op3_mixing.query),
+    "op4_license_scan": _over_documents(op4_licenses.query),
     "op7_exact_dedup": _over_documents(op7_exact_dedup.query),
+    "op9_quality_classifier": _quality,
     "op10_best_fit_packing": _over_documents(op10_packing.query),
 }
 
