@@ -34,6 +34,8 @@ END = 0
 SHARD_PIECES, OPEN_BINS = 20_000, 64
 #: Words whose ids a task remembers; beyond it starts anew.
 REMEMBERED = 400_000
+#: Texts whose unknown words are collected, and strings given to the tokenizer at once.
+TOGETHER, ENCODED = 64, 512
 #: A space before white space or at the end may belong to a longer token.
 UNEVEN_SPACES = re.compile(r" (?:\s|$)")
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -52,17 +54,23 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text, encoded a few at a time: encodings are far larger than ids."""
+        for start in range(0, len(texts), ENCODED):
+            some = texts[start : start + ENCODED]
+            for found in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
+                yield np.array(found.ids, dtype="<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text; unknown words of all texts are encoded together."""
+        """Ids of each text; unknown words of some texts are encoded together."""
+        for start in range(0, len(texts), TOGETHER):
+            yield from self._some(texts[start : start + TOGETHER])
+
+    def _some(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > REMEMBERED:
             self.known = {}
         split = [None if UNEVEN_SPACES.search(t) else t.split(" ") for t in texts]
-        fresh = {w for words in split if words for w in words[1:]} - self.known.keys()
-        fresh = list(fresh)
+        fresh = list({w for words in split if words for w in words[1:]} - self.known.keys())
         self.known.update(zip(fresh, self._encode([" " + w for w in fresh]), strict=True))
         whole = [t if words is None else words[0] for t, words in zip(texts, split, strict=True)]
         for first, words in zip(self._encode(whole), split, strict=True):
