@@ -11,7 +11,10 @@ from bourselake.llm import (
     op2_language_id,
     op3_mixing,
     op4_licenses,
+    op5_minhash,
+    op6_pii,
     op7_exact_dedup,
+    op8_ppm,
     op9_quality,
     op10_packing,
 )
@@ -34,7 +37,10 @@ QUERIES: dict[str, Query] = {
     "op2_language_id": _over_documents(op2_language_id.query),
     "op3_source_mixing": _over_documents(op3_mixing.query),
     "op4_license_scan": _over_documents(op4_licenses.query),
+    "op5_minhash_fingerprints": _over_documents(op5_minhash.query),
+    "op6_personal_data": _over_documents(op6_pii.query),
     "op7_exact_dedup": _over_documents(op7_exact_dedup.query),
+    "op8_ppm_scores": _over_documents(op8_ppm.query),
     "op9_quality_classifier": _quality,
     "op10_best_fit_packing": _over_documents(op10_packing.query),
 }
