@@ -27,11 +27,12 @@ from bourselake.session import staged
 KINDS = ("email", "ip", "card", "phone")
 # The base expressions. A run is entered at its start only, or where the
 # last match ended: elsewhere in it the outcome is the same, and long runs stay cheap.
+# Possessive repeats match the same, as nothing follows them, without deep recursion.
 _MAIL = "[A-Za-z0-9._%+-]"
 EXPRESSIONS = {
-    "email": rf"(?:\G|(?<!{_MAIL})){_MAIL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": rf"(?:\G|(?<!{_MAIL})){_MAIL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
-    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _TOKEN = "[A-Za-z0-9@._%+-]"
