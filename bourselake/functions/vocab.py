@@ -3,47 +3,10 @@
 # Schemas stored one partition per day.
 TICK_SCHEMAS = ("trades", "mbp-1", "mbp-10", "mbo", "tbbo", "bbo-1s", "bbo-1m")
 
-# Schemas stored one partition per month.
-MONTHLY_SCHEMAS = (
-    "ohlcv-1s",
-    "ohlcv-1m",
-    "ohlcv-1h",
-    "ohlcv-1d",
-    "statistics",
-    "definition",
-    "status",
-)
-
 # Bar schemas from coarse to fine, for inventory listings.
 BAR_SCHEMA_RANK = {"ohlcv-1d": 0, "ohlcv-1h": 1, "ohlcv-1m": 2, "ohlcv-1s": 3}
 OTHER_SCHEMA_RANK = 99
 
-# Dataset codes.
-DATASETS = (
-    "GLBX.MDP3",
-    "OPRA.PILLAR",
-    "IFEU.IMPACT",
-    "IFLL.IMPACT",
-    "IFUS.IMPACT",
-    "NDEX.IMPACT",
-    "XEUR.EOBI",
-    "DBEQ.BASIC",
-    "XNAS.ITCH",
-    "XNYS.PILLAR",
-    "ARCX.PILLAR",
-    "XBOS.ITCH",
-    "BATS.PITCH",
-    "BATY.PITCH",
-    "EDGA.PITCH",
-    "EDGX.PITCH",
-    "IEXG.TOPS",
-    "MEMX.MEMOIR",
-    "XASE.PILLAR",
-    "XCHI.PILLAR",
-    "XNAS.BASIC",
-    "XPSX.ITCH",
-)
-
 # Datasets that do not follow the default calendar.
 FUTURES_CALENDAR = "CMES"
 DEFAULT_CALENDAR = "XNYS"

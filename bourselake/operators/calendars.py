@@ -1,7 +1,7 @@
 """Exchange calendars as a dimension table, and the joins that use it.
 
-The dimension has one row per (calendar, day): three calendars over 71 years,
-78 thousand rows whatever the size of the lake. That fixed size is why it is
+The dimension has one row per (calendar, day): three calendars over 110 years,
+121 thousand rows whatever the size of the lake. That fixed size is why it is
 broadcast everywhere.
 """
 
@@ -17,7 +17,8 @@ from bourselake.functions import daymask
 from bourselake.functions.vocab import DATASET_CALENDAR, DEFAULT_CALENDAR
 
 FIRST_DAY = date(1990, 1, 1)
-LAST_DAY = date(2060, 12, 31)
+# The last contracts are of December 2099; their month needs its neighbours.
+LAST_DAY = date(2100, 1, 31)
 
 # Time zone, open time, whether the open is on the previous day,
 # regular close and early close, all local.

@@ -134,23 +134,25 @@ def validate_catalog(catalog: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def fix_catalog(
-    catalog: DataFrame, rows: DataFrame, single_range: bool = False
+    catalog: DataFrame, rows: DataFrame, single_range: bool = True
 ) -> DataFrame:
     """The catalog after validation and repair, in long form.
 
-    Wrong and orphan keys get the ranges seen in the rows: true islands, or one
-    [first, last] range per key if ``single_range``. Right keys stay as they are.
+    Wrong and orphan keys get one [first, last] range as seen in the rows, which
+    validates as ok, or the true islands of days if ``single_range`` is false. Right keys
+    stay as they are. One range per key is found with a single join of both sides.
     """
     findings = validate_catalog(catalog, rows)
-    wrong = findings.filter(F.col("finding").isin("mismatch", "orphan"))
     if single_range:
-        fixed = wrong.select(
+        repaired = F.col("finding").isin("mismatch", "orphan")
+        return findings.select(
             *KEY,
-            F.col("first_date").alias("range_start"),
-            F.col("last_date").alias("range_end"),
+            F.when(repaired, F.col("first_date")).otherwise(F.col("recorded_start")).alias("range_start"),
+            F.when(repaired, F.col("last_date")).otherwise(F.col("recorded_end")).alias("range_end"),
+            symbols.symbol_type(F.col("symbol")).alias("stype"),
         )
-    else:
-        fixed = observed_ranges(rows).join(wrong.select(*KEY), KEY, "left_semi")
+    wrong = findings.filter(F.col("finding").isin("mismatch", "orphan"))
+    fixed = observed_ranges(rows).join(wrong.select(*KEY), KEY, "left_semi")
     kept = catalog.select(*KEY, "range_start", "range_end").join(
         wrong.select(*KEY), KEY, "left_anti"
     )
@@ -184,7 +186,7 @@ def verify_catalog(
     catalog: DataFrame, present: DataFrame, calendar: DataFrame
 ) -> DataFrame:
     """Recorded ranges whose partitions are not all there."""
-    checked = coverage.coverage_status(catalog, present, calendar)
+    checked = coverage.coverage_status(catalog, catalog, present, calendar)
     return checked.filter(F.col("status") != "COMPLETE")
 
 

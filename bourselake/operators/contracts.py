@@ -1,7 +1,7 @@
 """Futures contracts as a dimension, and the range joins that use it.
 
-The dimension is bounded by its construction: 21 roots, 12 months, 61 years is
-15,372 contracts, and a quarterly contract's window touches five months at most.
+The dimension is bounded by its construction: 21 roots, 12 months, 100 years is
+25,200 contracts, and a quarterly contract's window touches five months at most.
 Both are broadcast for that reason.
 """
 
@@ -18,7 +18,7 @@ from bourselake.functions.vocab import (
 )
 
 FIRST_YEAR = 2000  # two-digit years are 20xx
-LAST_YEAR = 2060  # last year of the calendar dimension
+LAST_YEAR = 2099
 
 # Sessions to step back from the last session of the month.
 SESSIONS_BEFORE_MONTH_END = {"treasury": 7, "metals": 2}

@@ -155,31 +155,169 @@ def cached_partitions(
     return _list_partitions(buckets, F.col("present_mask"))
 
 
+def request_months(
+    requests: DataFrame,
+    recorded: DataFrame,
+    present: DataFrame,
+    calendar: DataFrame,
+    keys: list[str] = KEY,
+    verify_files: bool = True,
+) -> DataFrame:
+    """What each request has in each month: total, cached, and the days of its gaps.
+
+    A partition counts as cached if every requested day of it is recorded in the
+    catalog and, with ``verify_files``, it has rows. One row per request and month:
+    recorded days, presence and sessions meet as bit masks.
+    """
+    tick = is_tick(F.col("schema_"))
+    asked = requests.select(*keys, "range_start", "range_end").distinct()
+    first = daymask.month_first(F.col("month_no"))
+    months = (
+        intervals.split_months(asked, asked.columns)
+        .withColumnRenamed("day_mask", "window_mask")
+        .withColumn("bucket", _bucket(first))
+        .withColumn("_calendar", F.when(tick, calendars.calendar_of(F.col("dataset"))))
+    )
+    sessions = calendars.session_months(calendar).withColumnRenamed("calendar", "_calendar")
+    known = intervals.ranges_to_months(recorded, keys).withColumnRenamed(
+        "day_mask", "_recorded"
+    )
+    every, none = (F.lit(n).cast("bigint") for n in (daymask.ALL_DAYS, 0))
+    joined = (
+        months.join(F.broadcast(sessions), ["_calendar", "month_no"], "left")
+        .join(known, [*keys, "month_no"], "left")
+        .join(present, [*keys, "bucket"], "left")
+    )
+    window, seen = F.col("window_mask"), F.coalesce("slot_mask", none)
+    recorded_days = F.coalesce("_recorded", none)
+    day_seen = F.when(tick, seen).otherwise(
+        F.when(F.getbit(seen, F.month(first) - 1) == 1, every).otherwise(none)
+    )
+    sound = recorded_days.bitwiseAND(day_seen) if verify_files else recorded_days
+    wanted = F.when(tick, window.bitwiseAND(F.coalesce("session_mask", every))).otherwise(window)
+    gap = daymask.minus(wanted, sound)
+    whole = (gap == 0).cast("bigint")
+    return joined.select(
+        *asked.columns,
+        "month_no",
+        gap.alias("gap_mask"),
+        F.when(tick, F.bit_count(wanted)).otherwise(F.lit(1)).cast("bigint").alias("n_total"),
+        F.when(tick, F.bit_count(daymask.minus(wanted, gap))).otherwise(whole).cast("bigint").alias("n_cached"),
+    )
+
+
+def _with_status(counted: DataFrame) -> DataFrame:
+    missing = F.col("total_partitions") - F.col("cached_partitions")
+    return counted.withColumn("missing_partitions", missing).withColumn(
+        "status",
+        F.when(F.col("missing_partitions") == 0, "COMPLETE")
+        .when(F.col("cached_partitions") == 0, "EMPTY")
+        .otherwise("PARTIAL"),
+    )
+
+
 def coverage_status(
     requests: DataFrame,
+    recorded: DataFrame,
     present: DataFrame,
     calendar: DataFrame,
     keys: list[str] = KEY,
+    verify_files: bool = True,
 ) -> DataFrame:
     """COMPLETE, PARTIAL or EMPTY per request, with partition counts.
 
     A request that expects no partition at all is COMPLETE: nothing to load.
     """
-    buckets = _with_present(_request_buckets(requests, calendar, keys), present, keys)
-    have = F.col("expected_mask").bitwiseAND(F.col("present_mask"))
-    counted = buckets.groupBy(*keys, "range_start", "range_end").agg(
-        F.sum(F.bit_count("expected_mask")).alias("total_partitions"),
-        F.sum(F.bit_count(have)).alias("cached_partitions"),
+    months = request_months(requests, recorded, present, calendar, keys, verify_files)
+    counted = months.groupBy(*keys, "range_start", "range_end").agg(
+        F.sum("n_total").alias("total_partitions"),
+        F.sum("n_cached").alias("cached_partitions"),
     )
-    missing = F.col("total_partitions") - F.col("cached_partitions")
-    return counted.select(
-        "*",
-        missing.alias("missing_partitions"),
-        F.when(missing == 0, "COMPLETE")
-        .when(F.col("cached_partitions") == 0, "EMPTY")
-        .otherwise("PARTIAL")
-        .alias("status"),
+    return _with_status(counted)
+
+
+def status_and_gaps(
+    requests: DataFrame,
+    recorded: DataFrame,
+    present: DataFrame,
+    calendar: DataFrame,
+    keys: list[str] = KEY,
+) -> DataFrame:
+    """Status of each request with an array of its gaps as (gap_start, gap_end).
+
+    The counts and the gaps come from the same rows; a request's array has at most as
+    many gaps as it has days.
+    """
+    request = [*keys, "range_start", "range_end"]
+    months = request_months(requests, recorded, present, calendar, keys)
+    month = F.struct("month_no", F.col("gap_mask").alias("day_mask"))
+    counted = _with_status(
+        months.groupBy(*request).agg(
+            F.sum("n_total").alias("total_partitions"),
+            F.sum("n_cached").alias("cached_partitions"),
+            F.sort_array(F.collect_list(F.when(F.col("gap_mask") != 0, month))).alias("_gaps"),
+        )
+    )
+    runs = F.flatten(
+        F.transform(
+            "_gaps",
+            lambda m: F.transform(
+                daymask.runs_in(m["day_mask"]),
+                lambda r: F.struct(
+                    daymask.date_of(m["month_no"], r["first"]).alias("gap_start"),
+                    daymask.date_of(m["month_no"], r["last"]).alias("gap_end"),
+                ),
+            ),
+        )
+    )
+    none = F.array().cast("array<struct<gap_start:date,gap_end:date>>")
+    # A run that ends a month goes on in the next one if that starts with a run.
+    joined = F.aggregate(
+        runs,
+        none,
+        lambda done, run: F.when(
+            (F.size(done) > 0)
+            & (F.date_add(F.try_element_at(done, F.lit(-1))["gap_end"], 1) == run["gap_start"]),
+            F.concat(
+                F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
+                F.array(
+                    F.struct(
+                        F.try_element_at(done, F.lit(-1))["gap_start"].alias("gap_start"),
+                        run["gap_end"].alias("gap_end"),
+                    )
+                ),
+            ),
+        ).otherwise(F.concat(done, F.array(run))),
+    )
+    return counted.withColumn("gaps", joined).drop("_gaps")
+
+
+def days_to_load(
+    requests: DataFrame, recorded: DataFrame, present: DataFrame, calendar: DataFrame
+) -> DataFrame:
+    """(key, month_no, day_mask) that completes all requests and loses nothing.
+
+    A monthly partition is replaced as a whole: its load spans the first to the last of
+    the missing and the recorded days of that month. Of tick schemas the missing
+    sessions are loaded, each a partition of its own.
+    """
+    months = request_months(requests, recorded, present, calendar)
+    known = intervals.ranges_to_months(recorded, KEY).withColumnRenamed("day_mask", "_known")
+    merged = (
+        months.groupBy(*KEY, "month_no")
+        .agg(F.bit_or("gap_mask").alias("gap"))
+        .filter("gap <> 0")
+        .join(known, [*KEY, "month_no"], "left")
+    )
+    month = F.col("month_no")
+    span = F.col("gap").bitwiseOR(F.coalesce("_known", F.lit(0).cast("bigint")))
+    whole = daymask.span_mask(
+        month,
+        daymask.date_of(month, daymask.lowest(span)),
+        daymask.date_of(month, daymask.highest(span)),
     )
+    mask = F.when(is_tick(F.col("schema_")), F.col("gap")).otherwise(whole)
+    return merged.select(*KEY, "month_no", mask.alias("day_mask"))
 
 
 def _month_ranges(present: DataFrame) -> DataFrame:

@@ -43,7 +43,10 @@ def update_plan(
     """
     wanted = F.lit(end) if end is not None else F.date_sub(F.lit(as_of), 1)
     last = catalog.groupBy(*keys).agg(F.max("range_end").alias("last_date"))
-    bounded = _with_expiration(last, contracts).join(available, "dataset", "left")
+    # One row per dataset: the fixed vocabulary bounds it, a shuffle would meet on it.
+    bounded = _with_expiration(last, contracts).join(
+        F.broadcast(available), "dataset", "left"
+    )
     start = F.date_add("last_date", 1)
     until = F.least(wanted, "available_end", "expiration")  # least ignores nulls
     expired = F.coalesce(F.col("last_date") >= F.col("expiration"), F.lit(False))
@@ -153,6 +156,7 @@ def available_contracts(
 def batch_plan(
     spans: DataFrame,
     contracts: DataFrame,
+    recorded: DataFrame,
     present: DataFrame,
     calendar: DataFrame,
     as_of: date,
@@ -166,7 +170,7 @@ def batch_plan(
         F.col("window_start").alias("range_start"),
         F.col("window_end").alias("range_end"),
     )
-    checked = coverage.coverage_status(wanted, present, calendar, keys)
+    checked = coverage.coverage_status(wanted, recorded, present, calendar, keys)
     skip = (F.col("status") == "COMPLETE") & ~F.lit(force)
     return checked.withColumn("action", F.when(skip, "skip").otherwise("load"))
 
@@ -185,29 +189,48 @@ def front_month_windows(
 
 
 def ensure_split(
-    requests: DataFrame, present: DataFrame, calendar: DataFrame
+    requests: DataFrame, recorded: DataFrame, present: DataFrame, calendar: DataFrame
 ) -> DataFrame:
     """Split requests: complete ones are served, the others load their gaps.
 
     One row per served request, one per gap of the others.
     """
-    status = coverage.coverage_status(requests, present, calendar).select(
+    found = coverage.status_and_gaps(requests, recorded, present, calendar)
+    action = F.when(F.col("status") == "COMPLETE", "serve").otherwise("load")
+    return found.select(
         *KEY,
         F.col("range_start").alias("request_start"),
         F.col("range_end").alias("request_end"),
-        "status",
+        action.alias("action"),
+        F.inline_outer("gaps"),
     )
-    gaps = coverage.missing_partition_ranges(requests, present, calendar).select(
-        *KEY,
-        "request_start",
-        "request_end",
-        F.col("range_start").alias("gap_start"),
-        F.col("range_end").alias("gap_end"),
-    )
-    request = [*KEY, "request_start", "request_end"]
-    return status.join(gaps, request, "left").select(
-        *request,
-        F.when(F.col("status") == "COMPLETE", "serve").otherwise("load").alias("action"),
-        "gap_start",
-        "gap_end",
+
+
+def resolve_requests(requests: DataFrame, contracts: DataFrame, as_of: date) -> DataFrame:
+    """Bounds of every request, or the reason why it has none.
+
+    Both bounds are taken as they are. Without either, a supported contract gets its
+    window, capped at the day before ``as_of``. All else is rejected: one bound alone,
+    a symbol whose dates cannot be told, a contract that has not begun.
+    """
+    end, available = futures.capped_window(
+        F.lit(as_of), F.col("window_start"), F.col("expiration")
+    )
+    windows = contracts.select(F.col("symbol").alias("_symbol"), "window_start", end, available)
+    start, until = F.col("range_start"), F.col("range_end")
+    both, neither = start.isNotNull() & until.isNotNull(), start.isNull() & until.isNull()
+    reason = (
+        F.when(~both & ~neither, "one_bound")
+        .when(neither & F.col("_symbol").isNull(), "no_dates")
+        .when(neither & ~F.col("is_available"), "not_begun")
+    )
+    auto = neither & F.col("is_available")
+    return (
+        requests.join(F.broadcast(windows), F.upper("symbol") == F.col("_symbol"), "left")
+        .select(
+            *[c for c in requests.columns if c not in ("range_start", "range_end")],
+            F.when(both, start).when(auto, F.col("window_start")).alias("range_start"),
+            F.when(both, until).when(auto, F.col("window_end")).alias("range_end"),
+            reason.alias("reject_reason"),
+        )
     )

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,13 +49,27 @@ def staged(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     Overwriting a table that the same plan reads loses data if a task fails;
     staging first separates the two, and a retry starts from stored rows.
     """
-    path = scratch_path(spark, name)
+    return _stored_at(spark, rows, scratch_path(spark, name))
+
+
+def _stored_at(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def broadcast_if_small(rows: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Broadcast hint for stored rows counted to be few; a plain join otherwise."""
-    if rows.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(rows)
-    return rows
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function that stages tables until the block ends, then removes them all."""
+    root = scratch_path(spark, "staging")
+    try:
+        yield lambda rows, name: _stored_at(spark, rows, f"{root}/{name}")
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything lies at the path, in whatever store it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)

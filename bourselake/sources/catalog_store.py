@@ -51,24 +51,36 @@ def read_entry_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _latest_version(spark: SparkSession, path: str) -> int | None:
-    """Highest version whose write job has finished."""
+def _versions(spark: SparkSession, path: str, finished: bool = True) -> list[int]:
+    """Version numbers in order; only those whose write job has finished by default."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = files.globStatus(jvm.org.apache.hadoop.fs.Path(root, "version=*/_SUCCESS"))
-    versions = [int(f.getPath().getParent().getName().split("=")[1]) for f in done]
-    return max(versions, default=None)
+    pattern = "version=*/_SUCCESS" if finished else "version=*"
+    found = [f.getPath() for f in files.globStatus(jvm.org.apache.hadoop.fs.Path(root, pattern))]
+    names = [(p.getParent() if finished else p).getName() for p in found]
+    return sorted(int(n.split("=")[1]) for n in names)
+
+
+def _latest_version(spark: SparkSession, path: str) -> int | None:
+    return max(_versions(spark, path), default=None)
 
 
 def save_catalog(spark: SparkSession, catalog: DataFrame, path: str) -> int:
     """Write the catalog as the next version; readers see it once it is whole.
 
-    The new version may be computed from the current one, which stays readable.
+    The new version may be computed from the current one, which stays readable. Of two
+    writers that take the same number the later one fails. Versions before the current
+    one are dropped once the new one is whole.
     """
-    latest = _latest_version(spark, path)
-    version = 1 if latest is None else latest + 1
-    catalog.write.mode("overwrite").parquet(f"{path}/version={version}")
+    done = _versions(spark, path)
+    version = max(_versions(spark, path, finished=False), default=0) + 1
+    catalog.write.mode("errorifexists").parquet(f"{path}/version={version}")
+    jvm = spark.sparkContext._jvm
+    for old in done[:-1]:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(folder, True)
     return version
 
 

@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from bourselake.functions import daymask, eventtime
 from bourselake.operators import coverage, intervals
 from bourselake.operators.coverage import KEY, PARTITION
-from bourselake.session import broadcast_if_small, staged
+from bourselake.session import path_exists, staged, staging
 
 FOLDERS = ["dataset", "schema_", *PARTITION]
 LOGICAL_PARTITION = [*KEY, *PARTITION]
@@ -31,8 +31,8 @@ def with_partitions(rows: DataFrame) -> DataFrame:
     return rows.select("*", year, month, day)
 
 
-def write_partitions(rows: DataFrame, path: str) -> None:
-    """Replace exactly the partitions present in ``rows``; others stay untouched."""
+def _overwrite_folders(rows: DataFrame, path: str) -> None:
+    """Replace the folders present in ``rows``, with all the symbols they hold."""
     (
         rows.hint("rebalance", *FOLDERS)
         .sortWithinPartitions(*FOLDERS, "symbol", "ts_event_ns")
@@ -43,6 +43,37 @@ def write_partitions(rows: DataFrame, path: str) -> None:
     )
 
 
+def write_partitions(rows: DataFrame, path: str) -> None:
+    """Replace exactly the logical partitions in ``rows``, key and day or month.
+
+    Other symbols in the same folders are carried over, so loading one symbol never
+    loses another. The path may not exist yet. Rows are stored before anything is
+    overwritten, and again with what is carried: a retry starts from stored rows.
+    """
+    spark = rows.sparkSession
+    with staging(spark) as stage:
+        fresh = stage(rows, "fresh")
+        if path_exists(spark, path):
+            replaced = fresh.select(*LOGICAL_PARTITION).distinct()
+            touched = replaced.select(*FOLDERS).distinct()
+            carried = (
+                _read_stored(spark, path)
+                .join(touched, FOLDERS, "left_semi")
+                .join(replaced, LOGICAL_PARTITION, "left_anti")
+            )
+            fresh = stage(fresh.unionByName(carried, allowMissingColumns=True), "merged")
+        _overwrite_folders(fresh, path)
+
+
+def _read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the lake; nanosecond timestamps are read as integers.
+
+    A lake whose partitions have all been deleted is an empty folder without schema.
+    """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    return spark.read.parquet(path)
+
+
 def _in_partition_window(start: date | None, end: date | None) -> Column:
     """Predicate on partition columns only, so folders outside are never opened."""
     year_month = F.col("year") * 100 + F.col("month")
@@ -68,6 +99,7 @@ def read_lake(
     merge_schema: bool = False,
 ) -> DataFrame:
     """Rows of the inclusive date window; prunes partitions, then filters rows."""
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     rows = spark.read.option("mergeSchema", merge_schema).parquet(path)
     return date_window(rows.filter(_in_partition_window(start, end)), start, end)
 
@@ -81,6 +113,7 @@ def read_files(
     """Rows of the given Parquet files in the window; no files, an empty frame."""
     if not paths:
         return spark.createDataFrame([], StructType([]))
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     rows = spark.read.option("mergeSchema", True).parquet(*sorted(paths))
     return date_window(rows, start, end)
 
@@ -119,8 +152,8 @@ def load_window(
 ) -> None:
     """Load an inclusive window of landing rows, replacing whole partitions.
 
-    The window should cover whole partitions; use ``load_missing`` to fill gaps
-    of partitions that hold other rows too.
+    The window should cover whole partitions: a partition of the same key keeps no
+    row that is not in the window. Other keys are not touched.
     """
     write_partitions(with_partitions(date_window(landing, start, end)), path)
 
@@ -155,21 +188,53 @@ def _mark(rows: DataFrame, days: DataFrame) -> DataFrame:
     )
 
 
-def _stored_days(
-    spark: SparkSession, days: DataFrame
-) -> tuple[DataFrame, date | None, date | None]:
-    """A day set as a stored table, broadcast if small, and the months it spans."""
-    table = staged(spark, days, "days")
+def _span(days: DataFrame) -> tuple[date | None, date | None]:
+    """First and last day of the months a stored day set spans; one row is read."""
     first = daymask.month_first(F.min("month_no"))
     last = F.last_day(daymask.month_first(F.max("month_no")))
-    start, end = table.agg(first, last).first()
-    return broadcast_if_small(table), start, end
+    return tuple(days.agg(first, last).first())
 
 
 def rows_in_windows(rows: DataFrame, windows: DataFrame) -> DataFrame:
-    """Rows whose date lies in a (key, range_start, range_end) window, once each."""
-    marked = _mark(rows, intervals.ranges_to_months(windows, KEY))
-    return marked.filter("_hit").drop("_hit")
+    """Rows whose date lies in a (key, range_start, range_end) window, once each.
+
+    The windows' outer bounds go to the scan; rows without a window of their key and
+    month drop out in the join, and the planner broadcasts the day sets if they are small.
+    """
+    days = staged(rows.sparkSession, intervals.ranges_to_months(windows, KEY), "days")
+    start, end = _span(days)
+    if start is None:
+        return rows.limit(0)
+    return _only_days(date_window(rows, start, end), days)
+
+
+def _only_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    bit = F.dayofmonth("trade_date") - 1
+    return (
+        rows.withColumn("month_no", daymask.month_no(F.col("trade_date")))
+        .join(days, [*KEY, "month_no"])
+        .filter(F.getbit("day_mask", bit) == 1)
+        .select(*rows.columns)
+    )
+
+
+def load_days(landing: DataFrame, path: str, days: DataFrame) -> DataFrame:
+    """Load the landing rows of a (key, month_no, day_mask) day set.
+
+    Their logical partitions are replaced. Returns the loaded counts by partition; a
+    partition without rows is not there and leaves no trace in the lake.
+    """
+    spark = landing.sparkSession
+    days = staged(spark, days, "days")
+    start, end = _span(days)
+    wanted = landing.limit(0) if start is None else _only_days(date_window(landing, start, end), days)
+    with staging(spark) as stage:
+        fresh = stage(with_partitions(wanted), "fresh")
+        counts = fresh.groupBy(*LOGICAL_PARTITION).agg(F.count("*").alias("n_rows"))
+        counts = staged(spark, counts, "loaded")
+        if not fresh.isEmpty():
+            write_partitions(fresh, path)
+    return counts
 
 
 def load_missing(
@@ -177,25 +242,10 @@ def load_missing(
 ) -> DataFrame:
     """Load only the missing logical partitions; running it twice changes nothing.
 
-    ``missing`` lists (dataset, symbol, schema_, year, month, day). Landing and
-    lake are read for the months concerned only. Rows of other symbols in the
-    same folders are carried over. Returns the loaded counts.
+    ``missing`` lists (dataset, symbol, schema_, year, month, day). The lake need not
+    exist yet. Returns the loaded counts.
     """
-    days, start, end = _stored_days(spark, _wanted_days(missing))
-    if start is None:
-        return with_partitions(landing.limit(0)).groupBy(*LOGICAL_PARTITION).agg(
-            F.count("*").alias("n_rows")
-        )
-    wanted = _mark(date_window(landing, start, end), days).filter("_hit").drop("_hit")
-    fresh = staged(spark, with_partitions(wanted), "fresh")
-    touched = staged(spark, fresh.select(*FOLDERS).distinct(), "touched")
-    existing = spark.read.parquet(path).filter(_in_partition_window(start, end))
-    carried = _mark(
-        existing.join(broadcast_if_small(touched), FOLDERS, "left_semi"), days
-    ).filter("not _hit")
-    merged = carried.select(*fresh.columns).unionByName(fresh)
-    write_partitions(staged(spark, merged, "merged"), path)
-    return fresh.groupBy(*LOGICAL_PARTITION).agg(F.count("*").alias("n_rows"))
+    return load_days(landing, path, _wanted_days(missing))
 
 
 def delete_windows(spark: SparkSession, path: str, windows: DataFrame) -> DataFrame:
@@ -204,24 +254,21 @@ def delete_windows(spark: SparkSession, path: str, windows: DataFrame) -> DataFr
     Rows outside the windows survive, also within a monthly partition. Folders
     left without rows are dropped. Returns the deleted logical partitions.
     """
-    days, start, end = _stored_days(spark, intervals.ranges_to_months(windows, KEY))
-    lake = spark.read.parquet(path).filter(_in_partition_window(start, end))
+    days = staged(spark, intervals.ranges_to_months(windows, KEY), "days")
+    start, end = _span(days)
+    lake = _read_stored(spark, path).filter(_in_partition_window(start, end))
     doomed = (
-        _mark(lake, days)
-        .filter("_hit")
-        .groupBy(*LOGICAL_PARTITION)
-        .agg(F.count("*").alias("n_rows"))
+        _only_days(lake, days).groupBy(*LOGICAL_PARTITION).agg(F.count("*").alias("n_rows"))
     )
     deleted = staged(spark, doomed, "deleted")
-    touched = staged(spark, deleted.select(*FOLDERS).distinct(), "touched")
-    survivors = _mark(
-        lake.join(broadcast_if_small(touched), FOLDERS, "left_semi"), days
-    ).filter("not _hit")
-    kept = staged(spark, survivors.select(*lake.columns), "survivors")
-    write_partitions(kept, path)
-    # A dynamic overwrite leaves a partition it gets no rows for as it was.
-    emptied = touched.join(kept.select(*FOLDERS).distinct(), FOLDERS, "left_anti")
-    _drop_folders(spark, path, emptied)
+    with staging(spark) as stage:
+        touched = stage(deleted.select(*FOLDERS).distinct(), "touched")
+        survivors = _mark(lake.join(touched, FOLDERS, "left_semi"), days).filter("not _hit")
+        kept = stage(survivors.select(*lake.columns), "survivors")
+        _overwrite_folders(kept, path)
+        # A dynamic overwrite leaves a partition it gets no rows for as it was.
+        emptied = touched.join(kept.select(*FOLDERS).distinct(), FOLDERS, "left_anti")
+        _drop_folders(spark, path, emptied)
     return deleted
 
 

@@ -5,13 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from bourselake.sources import lake
 
-LOAD_FOLDERS = ["load_id", *lake.FOLDERS]
-
 
 def ingest_available(
     spark: SparkSession,
@@ -24,22 +21,16 @@ def ingest_available(
 ) -> None:
     """Take all landing files not yet seen, then stop.
 
-    Each micro-batch overwrites only its own ``load_id`` partitions, so a batch
-    replayed after a failure replaces itself and never duplicates rows. The
-    checkpoint remembers the files done; a later call takes only new ones.
+    Each micro-batch replaces the logical partitions it delivers, as any load does, so
+    a batch replayed after a failure or a partition delivered again never doubles rows,
+    and the lake stays one that loads and deletes can work on. The checkpoint remembers
+    the files done; a later call takes only new ones.
     """
 
     def write_batch(batch: DataFrame, load_id: int) -> None:
         rows = lake.with_partitions(to_rows(batch))
-        (
-            rows.withColumn("load_id", F.lit(load_id))
-            .hint("rebalance", *lake.FOLDERS)
-            .sortWithinPartitions(*lake.FOLDERS, "symbol", "ts_event_ns")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*LOAD_FOLDERS)
-            .parquet(path)
-        )
+        if not rows.isEmpty():
+            lake.write_partitions(rows, path)
 
     query = (
         spark.readStream.schema(schema)

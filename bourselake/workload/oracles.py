@@ -360,7 +360,7 @@ _oracle(
     "partition_replace",
     TICKS,
     select=f"""SELECT {TICK_FOLDER}, count(*) AS n_rows,
-  CAST(sum(CASE WHEN dataset = 'XNAS.ITCH' AND trade_date BETWEEN DATE '2024-01-10'
+  CAST(sum(CASE WHEN dataset = 'XNAS.ITCH' AND symbol[1] = 'N' AND trade_date BETWEEN DATE '2024-01-10'
     AND DATE '2024-01-12' THEN 2 * price_cents ELSE price_cents END) AS BIGINT)
     AS price_cents
 FROM ticks GROUP BY ALL""",
@@ -889,7 +889,44 @@ status AS (SELECT *, total_partitions - missing_partitions AS cached_partitions,
       WHEN missing_partitions = total_partitions THEN 'EMPTY' ELSE 'PARTIAL' END AS status
   FROM counted)"""
 
-_oracle("coverage_status", ALL_REQUESTS, STATUS, select="SELECT * FROM status")
+KNOWN_DAYS = """
+known_days AS (SELECT * FROM recorded_days UNION
+  SELECT dataset, symbol, schema_, CAST(unnest(generate_series(range_start, range_end,
+    INTERVAL 1 DAY)) AS DATE) FROM catalog)"""
+# Partitions of which a requested day is not recorded, or that have no rows.
+KNOWN_PARTS = f"""
+known_parts AS (SELECT {", ".join("e." + k for k in KEY.split(", "))}, e.range_start,
+    e.range_end, e.year, e.month, e.day, count(*) AS n
+  FROM expected e JOIN known_days k ON k.dataset = e.dataset AND k.symbol = e.symbol
+    AND k.schema_ = e.schema_ AND k.day BETWEEN e.part_start AND e.part_end
+  GROUP BY ALL),
+unknown_parts AS (SELECT e.* FROM expected e LEFT JOIN known_parts k
+    USING ({KEY}, range_start, range_end, year, month, day)
+  WHERE coalesce(k.n, 0) < e.part_end - e.part_start + 1)"""
+LACKING = f"""{KNOWN_PARTS},
+lacking AS (SELECT * FROM missing UNION SELECT * FROM unknown_parts)"""
+FULL_STATUS = STATUS.replace("FROM missing", "FROM lacking")
+
+_oracle(
+    "coverage_status",
+    ALL_REQUESTS,
+    RECORDED_DAYS,
+    CATALOG,
+    KNOWN_DAYS,
+    LACKING,
+    FULL_STATUS,
+    select="SELECT * FROM status",
+)
+_oracle(
+    "coverage_status_catalog",
+    ALL_REQUESTS,
+    RECORDED_DAYS,
+    CATALOG,
+    KNOWN_DAYS,
+    KNOWN_PARTS,
+    STATUS.replace("FROM missing", "FROM unknown_parts"),
+    select="SELECT * FROM status",
+)
 _oracle(
     "observed_range",
     TICKS,
@@ -907,7 +944,12 @@ _oracle(
     TICK_REQUESTS,
     "bar_requests AS (SELECT * FROM tick_requests WHERE false)",
     EXPECTED,
-    STATUS,
+    CATALOG,
+    f"""
+known_days AS (SELECT {KEY}, CAST(unnest(generate_series(range_start, range_end,
+    INTERVAL 1 DAY)) AS DATE) AS day FROM catalog)""",
+    LACKING,
+    FULL_STATUS,
     select=f"""SELECT event_id, {KEY}, trade_date, price_cents FROM ticks t
 WHERE EXISTS (SELECT 1 FROM status s WHERE s.status = 'COMPLETE'
   AND s.dataset = t.dataset AND s.symbol = t.symbol
@@ -1147,8 +1189,15 @@ wanted AS (SELECT s.book, s.dataset, s.root, q.symbol, s.schema_,
 wanted_months AS (SELECT w.*, unnest(range(
     year(range_start) * 12 + month(range_start),
     year(range_end) * 12 + month(range_end) + 1)) AS month_no FROM wanted w),
-held_months AS (SELECT DISTINCT book, dataset, root, symbol, feed AS schema_,
+row_months AS (SELECT DISTINCT book, dataset, root, symbol, feed AS schema_,
     year(trade_date) * 12 + month(trade_date) AS month_no FROM sliced),
+held_months AS (SELECT w.* EXCLUDE (range_start, range_end) FROM (SELECT *,
+      make_date((month_no - 1) // 12, (month_no - 1) % 12 + 1, 1) AS first
+    FROM wanted_months) w
+  JOIN row_months USING (book, dataset, root, symbol, schema_, month_no)
+  JOIN holdings h USING (book, dataset, symbol, schema_)
+  WHERE h.range_start <= greatest(w.first, w.range_start)
+    AND h.range_end >= least(last_day(w.first), w.range_end)),
 counted AS (SELECT w.book, w.dataset, w.root, w.symbol, w.schema_, w.range_start,
     w.range_end, count(*) AS total_partitions, count(h.month_no) AS cached_partitions
   FROM wanted_months w LEFT JOIN held_months h
@@ -1162,11 +1211,20 @@ FROM counted""",
 _oracle(
     "ensure_split",
     ALL_REQUESTS,
-    STATUS,
+    RECORDED_DAYS,
+    CATALOG,
+    KNOWN_DAYS,
+    LACKING,
+    FULL_STATUS,
     f"""
-gap_days AS (SELECT {KEY}, range_start AS request_start, range_end AS request_end,
+absent_days AS (SELECT {KEY}, range_start AS request_start, range_end AS request_end,
     CAST(unnest(generate_series(part_start, part_end, INTERVAL 1 DAY)) AS DATE) AS day
   FROM missing),
+lacking_days AS (SELECT {KEY}, range_start AS request_start, range_end AS request_end,
+    CAST(unnest(generate_series(part_start, part_end, INTERVAL 1 DAY)) AS DATE) AS day
+  FROM lacking),
+gap_days AS (SELECT * FROM absent_days UNION
+  SELECT l.* FROM lacking_days l ANTI JOIN known_days USING ({KEY}, day)),
 gaps AS ({_islands("gap_days", REQUEST_KEY)})""",
     select=f"""SELECT {", ".join("s." + k for k in KEY.split(", "))},
   s.range_start AS request_start, s.range_end AS request_end,
@@ -1192,3 +1250,170 @@ _oracle(
     TICKS,
     select=f"SELECT {TICK_FOLDER}, count(*) AS n_rows FROM ticks GROUP BY ALL",
 )
+
+# --- load jobs -------------------------------------------------------------
+
+# A tick stays or arrives: loaded before the snapshot, or on a January session.
+STORE = f"""
+loaded_rows AS (SELECT t.* EXCLUDE (calendar), t.trade_date <= t.snapshot_date AS was_there
+  FROM tick_calendar t JOIN cal c ON c.calendar = t.calendar AND c.day = t.trade_date
+  WHERE t.trade_date <= t.snapshot_date
+    OR (c.is_session AND t.trade_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31')),
+catalog_days AS (SELECT {KEY}, CAST(unnest(generate_series(range_start, range_end,
+    INTERVAL 1 DAY)) AS DATE) AS day FROM catalog),
+store_days AS (SELECT * FROM catalog_days UNION
+  SELECT {KEY}, trade_date FROM loaded_rows WHERE NOT was_there)"""
+
+
+def _store(rows: str, days: str, extra: str = "") -> str:
+    return f"""SELECT {KEY}, coalesce(n_rows, 0) AS n_rows,
+  CAST(coalesce(price_cents, 0) AS BIGINT) AS price_cents,
+  coalesce(n_recorded_days, 0) AS n_recorded_days,
+  coalesce(n_partitions, 0) AS n_partitions{extra}
+FROM (SELECT {KEY}, count(*) AS n_rows, sum(price_cents) AS price_cents,
+    count(DISTINCT trade_date) AS n_partitions FROM {rows} GROUP BY ALL)
+FULL JOIN (SELECT {KEY}, count(*) AS n_recorded_days FROM {days} GROUP BY ALL)
+  USING ({KEY})"""
+
+
+_oracle(
+    "load_job", CALENDAR, TICKS, CATALOG, STORE, select=_store("loaded_rows", "store_days")
+)
+_oracle(
+    "load_job_again",
+    CALENDAR,
+    TICKS,
+    CATALOG,
+    STORE,
+    select=_store("loaded_rows", "store_days", ", 0::BIGINT AS n_loaded_again"),
+)
+_oracle(
+    "clear_window",
+    CALENDAR,
+    TICKS,
+    TICK_REQUESTS,
+    CATALOG,
+    STORE,
+    f"""
+cleared AS (SELECT {KEY}, CAST(unnest(generate_series(range_start, range_end,
+    INTERVAL 1 DAY)) AS DATE) AS day FROM tick_requests),
+left_rows AS (SELECT r.* FROM loaded_rows r ANTI JOIN (SELECT {KEY}, day AS trade_date
+    FROM cleared) c USING ({KEY}, trade_date) WHERE was_there),
+left_days AS (SELECT d.* FROM catalog_days d ANTI JOIN cleared USING ({KEY}, day))""",
+    select=_store("left_rows", "left_days"),
+)
+_oracle(
+    "verify_fix",
+    CALENDAR,
+    TICKS,
+    CATALOG,
+    f"""
+held AS (SELECT DISTINCT {KEY}, trade_date AS day FROM tick_calendar
+  WHERE trade_date <= snapshot_date)""",
+    select="""SELECT dataset, symbol, schema_, range_start, range_end FROM catalog k
+WHERE NOT EXISTS (SELECT 1 FROM cal c
+  WHERE c.calendar = CASE k.dataset WHEN 'GLBX.MDP3' THEN 'CMES' ELSE 'XNYS' END
+    AND c.is_session AND c.day BETWEEN k.range_start AND k.range_end
+    AND NOT EXISTS (SELECT 1 FROM held h WHERE h.dataset = k.dataset
+      AND h.symbol = k.symbol AND h.day = c.day))""",
+)
+_oracle(
+    "update_all_run",
+    CALENDAR,
+    TICKS,
+    CONTRACTS,
+    CATALOG,
+    SERIES_PLAN,
+    f"""
+arrived AS (SELECT p.dataset, p.symbol, p.schema_, count(*) AS n FROM plan p
+  JOIN tick_calendar t ON t.dataset = p.dataset AND t.symbol = p.symbol
+    AND t.trade_date BETWEEN p.range_start AND p.range_end
+  JOIN cal c ON c.calendar = t.calendar AND c.day = t.trade_date AND c.is_session
+  GROUP BY ALL)""",
+    select=f"""SELECT {KEY}, CASE WHEN state <> 'due' THEN state WHEN n > 0 THEN 'updated'
+    ELSE 'error' END AS outcome, coalesce(n, 0) AS n_rows
+FROM plan LEFT JOIN arrived USING ({KEY})""",
+)
+_oracle(
+    "catalog_fix_then_validate",
+    TICKS,
+    CATALOG,
+    FINDINGS,
+    select=f"""SELECT {KEY}, coalesce(first_date, recorded_start) AS recorded_start,
+  coalesce(last_date, recorded_end) AS recorded_end,
+  CASE WHEN first_date IS NULL THEN recorded_ranges ELSE 1 END AS recorded_ranges,
+  first_date, last_date,
+  CASE WHEN first_date IS NULL THEN 'no_rows' ELSE 'ok' END AS finding
+FROM findings""",
+)
+
+# Sessions of 1999 to 2100 by rule; Easter by the lunar tables of the computus.
+FAR_CONTRACTS = f"""
+years AS (SELECT unnest(range(1999, 2101)) AS y),
+moons AS (SELECT y, (y % 19) AS g, y // 100 AS c FROM years),
+epacts AS (SELECT *, (c - c // 4 - (8 * c + 13) // 25 + 19 * g + 15) % 30 AS h FROM moons),
+fulls AS (SELECT *, h - (h // 28) * (1 - (29 // (h + 1)) * ((21 - g) // 11)) AS i FROM epacts),
+easters AS (SELECT y, i - (y + y // 4 + i + 2 - c + c // 4) % 7 AS l FROM fulls),
+good_fridays AS (SELECT make_date(y, 3 + (l + 40) // 44, l + 28 - 31 * ((3 + (l + 40) // 44) // 4))
+    - 2 AS day FROM easters),
+far_days AS (SELECT CAST(unnest(generate_series(DATE '1999-09-01', DATE '2099-12-31',
+    INTERVAL 1 DAY)) AS DATE) AS day),
+far_sessions AS (SELECT day, row_number() OVER (PARTITION BY date_trunc('month', day)
+    ORDER BY day DESC) AS from_end FROM far_days
+  WHERE isodow(day) < 6 AND day NOT IN (SELECT day FROM good_fridays)
+    AND strftime(day, '%m%d') NOT IN ('0101', '1225')
+    AND NOT (isodow(day) = 1 AND strftime(day, '%m%d') IN ('0102', '1226'))
+    AND NOT (isodow(day) = 5 AND strftime(day, '%m%d') = '1224')),
+far_expiry AS (
+  SELECT 'treasury' AS rule, date_trunc('month', day) AS m, day FROM far_sessions
+  WHERE from_end = 8
+  UNION ALL SELECT 'metals', date_trunc('month', day), day FROM far_sessions
+  WHERE from_end = 3
+  UNION ALL SELECT 'third_friday', date_trunc('month', f.day), max(s.day)
+  FROM far_days f JOIN far_sessions s ON s.day BETWEEN f.day - 6 AND f.day
+  WHERE isodow(f.day) = 5 AND day(f.day) BETWEEN 15 AND 21 GROUP BY f.day),
+far_roots AS (SELECT root, CASE WHEN root IN {TREASURY} THEN 'treasury'
+    WHEN root IN {METALS} THEN 'metals' ELSE 'third_friday' END AS rule
+  FROM (SELECT unnest({ROOTS}) AS root)),
+far_dim AS (SELECT r.root, r.rule, year(e.m) AS year, month(e.m) AS month,
+    r.root || substr({LETTERS}, CAST(month(e.m) AS INTEGER), 1)
+      || lpad(CAST(year(e.m) % 100 AS VARCHAR), 2, '0') AS symbol, e.day AS expiration,
+    p.day - 14 AS window_start, e.m
+  FROM far_roots r JOIN far_expiry e USING (rule) JOIN far_expiry p ON p.rule = r.rule
+    AND p.m = date_trunc('quarter', e.m) - INTERVAL 1 MONTH
+  WHERE year(e.m) >= 2000)"""
+
+_oracle(
+    "far_contracts",
+    FAR_CONTRACTS,
+    f"""
+far_feed AS (SELECT {ROOTS}[(l_partkey % 21) + 1]
+    || substr({LETTERS}, CAST(l_suppkey % 12 AS INTEGER) + 1, 1)
+    || CAST(60 + l_orderkey % 40 AS VARCHAR) AS symbol,
+  CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS volume FROM lineitem GROUP BY 1)""",
+    select=f"""SELECT f.symbol, f.volume, rule, year, month, expiration, window_start,
+  {NEXT_SYMBOL} AS next_symbol
+FROM far_feed f LEFT JOIN far_dim d ON d.symbol = f.symbol""",
+)
+_oracle(
+    "request_resolution",
+    FEED,
+    FAR_CONTRACTS,
+    """
+open_requests AS (SELECT symbol, volume,
+    CASE WHEN volume % 4 < 2 THEN DATE '2015-01-01' + CAST(volume % 2000 AS INTEGER) END AS a,
+    CASE WHEN volume % 2 = 0 THEN DATE '2021-12-31' END AS b
+  FROM feed_symbols)""",
+    select="""SELECT r.symbol, r.volume,
+  CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN a
+    WHEN a IS NULL AND b IS NULL AND d.window_start <= DATE '2021-12-30'
+    THEN d.window_start END AS range_start,
+  CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN b
+    WHEN a IS NULL AND b IS NULL AND d.window_start <= DATE '2021-12-30'
+    THEN least(d.expiration, DATE '2021-12-30') END AS range_end,
+  CASE WHEN (a IS NULL) <> (b IS NULL) THEN 'one_bound'
+    WHEN a IS NULL AND d.symbol IS NULL THEN 'no_dates'
+    WHEN a IS NULL AND d.window_start > DATE '2021-12-30' THEN 'not_begun' END
+    AS reject_reason
+FROM open_requests r LEFT JOIN far_dim d ON d.symbol = upper(r.symbol)""",
+)

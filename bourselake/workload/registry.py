@@ -21,7 +21,7 @@ from bourselake.operators import (
 )
 from bourselake.operators import symbol_master as masters
 from bourselake.operators.coverage import KEY
-from bourselake.plans import updates
+from bourselake.plans import loading, updates
 from bourselake.session import scratch_path
 from bourselake.sources import catalog_store, lake, layout
 from bourselake.streaming import ingest
@@ -78,6 +78,7 @@ def served_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _lake_rows(spark, sf_dir)
     status = coverage.coverage_status(
         views.tick_requests(spark, sf_dir),
+        views.catalog(spark, sf_dir),
         coverage.present_partitions(rows),
         views.calendar(spark),
     )
@@ -94,11 +95,11 @@ def partition_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases of three days are delivered again with doubled prices."""
+    """Single symbols' purchases of three days are delivered again, prices doubled."""
     rows = _lake_rows(spark, sf_dir)
     path = _new_lake(spark, rows)
     again = lake.date_window(
-        rows.filter(F.col("dataset") == "XNAS.ITCH"),
+        rows.filter((F.col("dataset") == "XNAS.ITCH") & F.col("symbol").startswith("N")),
         date(2024, 1, 10),
         date(2024, 1, 12),
     ).withColumn("price_cents", F.col("price_cents") * 2)
@@ -545,9 +546,7 @@ def subtract_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def missing_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recorded = views.recorded_ranges(spark, sf_dir).unionByName(
-        views.catalog(spark, sf_dir).drop("stype")
-    )
+    recorded = views.known_ranges(spark, sf_dir)
     present = coverage.present_partitions(views.rows_of_both(spark, sf_dir))
     return coverage.missing_union(
         views.requests(spark, sf_dir), recorded, present, views.calendar(spark)
@@ -645,7 +644,23 @@ def missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coverage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     present = coverage.present_partitions(views.rows_of_both(spark, sf_dir))
     return coverage.coverage_status(
-        views.requests(spark, sf_dir), present, views.calendar(spark)
+        views.requests(spark, sf_dir),
+        views.known_ranges(spark, sf_dir),
+        present,
+        views.calendar(spark),
+    )
+
+
+@query
+def coverage_status_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status by the catalog alone, without a look at the partitions."""
+    nothing = coverage.present_partitions(views.ticks(spark, sf_dir).filter("false"))
+    return coverage.coverage_status(
+        views.requests(spark, sf_dir),
+        views.known_ranges(spark, sf_dir),
+        nothing,
+        views.calendar(spark),
+        verify_files=False,
     )
 
 
@@ -758,7 +773,15 @@ def catalog_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def catalog_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.fix_catalog(
-        views.catalog(spark, sf_dir), views.ticks(spark, sf_dir)
+        views.catalog(spark, sf_dir), views.ticks(spark, sf_dir), single_range=False
+    )
+
+
+@query
+def catalog_fix_then_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.ticks(spark, sf_dir)
+    return catalog.validate_catalog(
+        catalog.fix_catalog(views.catalog(spark, sf_dir), rows), rows
     )
 
 
@@ -845,9 +868,13 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year(F.max("trade_date")).alias("to_year"),
     )
     present = coverage.present_partitions(rows, [*scope, "symbol", "schema_"])
+    recorded = views.holdings(spark, sf_dir).withColumn(
+        "root", symbols.contract_root(F.col("symbol"))
+    )
     return updates.batch_plan(
         spans,
         views.contracts(spark),
+        recorded,
         present,
         views.calendar(spark),
         views.BARS_AS_OF,
@@ -859,7 +886,142 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ensure_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     present = coverage.present_partitions(views.rows_of_both(spark, sf_dir))
     return updates.ensure_split(
-        views.requests(spark, sf_dir), present, views.calendar(spark)
+        views.requests(spark, sf_dir),
+        views.known_ranges(spark, sf_dir),
+        present,
+        views.calendar(spark),
+    )
+
+
+@query
+def request_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return updates.resolve_requests(
+        views.open_requests(spark, sf_dir), views.contracts(spark), views.BARS_AS_OF
+    )
+
+
+@query
+def far_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts of the second half of the century, with their dates."""
+    counted = views.far_feed(spark, sf_dir).groupBy("symbol").agg(
+        F.sum("volume").cast("bigint").alias("volume")
+    )
+    dim = views.contracts(spark).select(
+        "symbol", "rule", "year", "month", "expiration", "window_start", "next_symbol"
+    )
+    return counted.join(F.broadcast(dim), "symbol", "left")
+
+
+# --- load jobs -------------------------------------------------------------
+
+
+def _snapshot_store(spark: SparkSession, sf_dir: str) -> loading.Store:
+    """The ticks up to the snapshot dates, with the catalog of that time."""
+    rows = _lake_rows(spark, sf_dir)
+    loaded = F.col("trade_date") <= views.snapshot_date(F.col("dataset"))
+    return loading.start_store(
+        spark,
+        scratch_path(spark, "store"),
+        rows.filter(loaded),
+        views.catalog(spark, sf_dir),
+        views.UPDATED_AT,
+    )
+
+
+def _january(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        views.ticks(spark, sf_dir)
+        .select(*KEY)
+        .distinct()
+        .select(
+            *KEY,
+            F.lit(views.TICKS_START).alias("range_start"),
+            F.lit(views.TICKS_END).alias("range_end"),
+        )
+    )
+
+
+def _store_summary(store: loading.Store) -> DataFrame:
+    """Rows, recorded days and present partitions of every key."""
+    rows = store.rows().groupBy(*KEY).agg(
+        F.count("*").alias("n_rows"),
+        F.sum("price_cents").cast("bigint").alias("price_cents"),
+    )
+    days = F.datediff("range_end", "range_start") + 1
+    known = store.recorded().groupBy(*KEY).agg(F.sum(days).alias("n_recorded_days"))
+    slots = store.present().groupBy(*KEY).agg(
+        F.sum(F.bit_count("slot_mask")).alias("n_partitions")
+    )
+    zero = F.lit(0).cast("bigint")
+    return (
+        rows.join(known, KEY, "full")
+        .join(slots, KEY, "full")
+        .select(
+            *KEY,
+            *[
+                F.coalesce(c, zero).alias(c)
+                for c in ("n_rows", "price_cents", "n_recorded_days", "n_partitions")
+            ],
+        )
+    )
+
+
+@query
+def load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key's January is completed from the landing ticks."""
+    store = _snapshot_store(spark, sf_dir)
+    loading.load_job(
+        store,
+        _january(spark, sf_dir),
+        _lake_rows(spark, sf_dir),
+        views.calendar(spark),
+        views.UPDATED_AT,
+    )
+    return _store_summary(store)
+
+
+@query
+def load_job_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run twice, the job loads nothing more and changes nothing."""
+    store = _snapshot_store(spark, sf_dir)
+    for _ in range(2):
+        loaded = loading.load_job(
+            store,
+            _january(spark, sf_dir),
+            _lake_rows(spark, sf_dir),
+            views.calendar(spark),
+            views.UPDATED_AT,
+        )
+    again = loaded.groupBy(*KEY).agg(F.count("*").alias("n_loaded_again"))
+    none = F.coalesce("n_loaded_again", F.lit(0).cast("bigint"))
+    return _store_summary(store).join(again, KEY, "left").withColumn("n_loaded_again", none)
+
+
+@query
+def clear_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request's window goes from rows, catalog and presence."""
+    store = _snapshot_store(spark, sf_dir)
+    loading.clear(store, views.tick_requests(spark, sf_dir), views.UPDATED_AT)
+    return _store_summary(store)
+
+
+@query
+def verify_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded ranges that lack a partition are dropped; what is left."""
+    store = _snapshot_store(spark, sf_dir)
+    loading.verify_and_fix(store, views.calendar(spark), views.UPDATED_AT)
+    return store.recorded()
+
+
+@query
+def update_all_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The update plan of all series is carried out."""
+    return loading.update_all(
+        _snapshot_store(spark, sf_dir),
+        _series_plan(spark, sf_dir),
+        _lake_rows(spark, sf_dir),
+        views.calendar(spark),
+        views.UPDATED_AT,
     )
 
 
@@ -896,16 +1058,18 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks arrive twice, by two streams, and are there once."""
     path = scratch_path(spark, "stream")
     # A glob, so that one file as well as a folder of files can be the source.
-    ingest.ingest_available(
-        spark,
-        landing=f"{sf_dir}/events.parque[t]",
-        schema=views.table(spark, sf_dir, "events").schema,
-        to_rows=lambda events: views.ticks_from_events(events).select(*LAKE_COLUMNS),
-        path=path,
-        checkpoint=scratch_path(spark, "stream-state"),
-    )
+    for _ in range(2):
+        ingest.ingest_available(
+            spark,
+            landing=f"{sf_dir}/events.parque[t]",
+            schema=views.table(spark, sf_dir, "events").schema,
+            to_rows=lambda events: views.ticks_from_events(events).select(*LAKE_COLUMNS),
+            path=path,
+            checkpoint=scratch_path(spark, "stream-state"),
+        )
     return lake.partition_row_counts(lake.read_lake(spark, path))
 
 

@@ -225,6 +225,43 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def known_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded ranges of ticks and bars."""
+    return recorded_ranges(spark, sf_dir).unionByName(
+        catalog(spark, sf_dir).drop("stype")
+    )
+
+
+def open_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every symbol of the feed, with both bounds, one of them, or none."""
+    volume = F.col("volume")
+    start = F.when(volume % 4 < 2, F.date_add(F.lit(BARS_START), (volume % 2000).cast("int")))
+    return (
+        symbol_feed(spark, sf_dir)
+        .groupBy("symbol")
+        .agg(F.sum("volume").alias("volume"))
+        .select(
+            "symbol",
+            volume.cast("bigint").alias("volume"),
+            start.alias("range_start"),
+            F.when(volume % 2 == 0, F.lit(BARS_END)).alias("range_end"),
+        )
+    )
+
+
+def far_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts of 2060 to 2099, one per order line."""
+    year = (60 + F.col("l_orderkey") % 40).cast("int")
+    letter = F.substring(
+        F.lit(MONTH_LETTERS), (F.col("l_suppkey") % 12 + 1).cast("int"), F.lit(1)
+    )
+    root = _pick(SUPPORTED_ROOTS, F.col("l_partkey"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(root, letter, year.cast("string")).alias("symbol"),
+        F.col("l_quantity").cast("bigint").alias("volume"),
+    )
+
+
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One notice per event; those of error events name dates of poor quality."""
     kind = F.when(F.col("price") < 20, "degraded").otherwise("missing")

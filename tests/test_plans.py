@@ -102,9 +102,14 @@ def test_batch_plan_skips_complete_contracts(spark, contract, calendar):
     rows = tick_rows(spark, [("GLBX.MDP3", s, "ohlcv-1d", x, 1) for x in months
                              for s in ("NQH24", "NQM24")])
     present = coverage.present_partitions(rows)
+    recorded = ranges(
+        spark, [("2023-12-01", "2024-03-31")], ("GLBX.MDP3", "NQH24", "ohlcv-1d")
+    ).unionByName(
+        ranges(spark, [("2024-03-01", "2024-04-30")], ("GLBX.MDP3", "NQM24", "ohlcv-1d"))
+    )
     for force in (False, True):
         planned = updates.batch_plan(
-            spans, contract, present, calendar, d("2024-08-01"), ["dataset"], force
+            spans, contract, recorded, present, calendar, d("2024-08-01"), ["dataset"], force
         )
         got = {r.symbol: (r.status, r.action) for r in planned.collect()}
         assert got == {
@@ -118,7 +123,8 @@ def test_ensure_serves_or_loads(spark, calendar):
     key = ("OPRA.PILLAR", "SPX", "trades")
     rows = tick_rows(spark, [(*key, x, 1) for x in ("2024-01-10", "2024-01-11")])
     asked = ranges(spark, [("2024-01-10", "2024-01-11"), ("2024-01-10", "2024-01-16")], key)
-    split = updates.ensure_split(asked, coverage.present_partitions(rows), calendar)
+    recorded = ranges(spark, [("2024-01-10", "2024-01-16")], key)
+    split = updates.ensure_split(asked, recorded, coverage.present_partitions(rows), calendar)
     assert sorted(
         (str(r.request_end), r.action, str(r.gap_start), str(r.gap_end)) for r in split.collect()
     ) == [

@@ -1,7 +1,5 @@
 from types import SimpleNamespace
 
-from pyspark.sql import functions as F
-
 from bourselake import session
 
 
@@ -22,9 +20,9 @@ def test_without_that_folder_scratch_lies_in_the_warehouse():
     assert path.startswith("s3://w/_scratch/bourselake/lake-")
 
 
-def test_broadcast_only_below_the_limit(spark):
-    rows = spark.range(10)
-    for limit, hinted in ((9, False), (10, True)):
-        sized = session.broadcast_if_small(rows, limit)
-        joined = spark.range(5).withColumn("k", F.col("id")).join(sized, "id")
-        assert ("strategy=broadcast" in joined._jdf.queryExecution().toString()) is hinted
+def test_staged_tables_live_until_the_block_ends(spark):
+    with session.staging(spark) as stage:
+        rows = stage(spark.range(10), "ten")
+        path = rows.inputFiles()[0]
+        assert rows.count() == 10 and session.path_exists(spark, path)
+    assert not session.path_exists(spark, path)
