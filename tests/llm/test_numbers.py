@@ -104,7 +104,7 @@ TEXTS = [
 def test_packing_is_an_exact_round_trip(spark):
     from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(op10_packing.tokenizer_path())
+    plain = Tokenizer.from_file(op10_packing.tokenizer_paths()[0])
     found = op10_packing.query(spark, documents(spark, TEXTS)).collect()
     for doc_id, text in enumerate(TEXTS):
         ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")
