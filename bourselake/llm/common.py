@@ -13,8 +13,16 @@ from bourselake.session import staged
 FILTER_WORDS = 1 << 20
 
 SPACES = "\\x20\\x09-\\x0D"
-#: Keeps whole texts of any length from filling a batch between Spark and Python.
-BATCH_ROWS = "256"
+#: Rows that go to Python at once. Whole texts are long, and both sides hold a batch.
+BATCH_ROWS = 512
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let at most ``BATCH_ROWS`` rows go to Python at once in this session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name, "10000"))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourselake.llm.common import components, without_ids, words_of
+from bourselake.llm.common import bound_batches, components, without_ids, words_of
 from bourselake.session import staged
 
 POSITIONS = 8
@@ -151,6 +151,7 @@ def near_duplicates(
     shared = POSITIONS - max_bits
     if not 1 <= shared < POSITIONS:
         raise ValueError("max_bits must lie between 1 and 7")
+    bound_batches(spark)
     own = staged(spark, fingerprints(docs, shingle), "fingerprints")
     entries = staged(
         spark, own.groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "entries"

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bourselake.llm.common import id_remainder, packed
+from bourselake.llm.common import bound_batches, id_remainder, packed
 
 UNKNOWN = "und"
 #: Training pieces per language, and the bytes taken from the middle of each text.
@@ -137,6 +137,7 @@ def prediction(content: dict[str, bytes]):
 
 
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    bound_batches(spark)
     own = docs.select(
         "doc_id",
         (id_remainder(3) == 1).alias("held_out"),
@@ -147,5 +148,6 @@ def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def recognised(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents whose language is decided."""
+    bound_batches(spark)
     found = packed(docs, "text").withColumn("_found", prediction(fit(docs))("text"))
     return found.filter(~F.col("_found.rejected")).select("_row.*")

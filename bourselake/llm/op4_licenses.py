@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourselake.llm import license_rules
+from bourselake.llm.common import bound_batches
 
 #: ASCII other than letters and digits separates words; A-Z is lower-cased.
 WORD_BYTES = bytes(
@@ -133,4 +134,5 @@ def scan_column():
 
 
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    bound_batches(spark)
     return docs.select("doc_id", scan_column()("text").alias("s")).select("doc_id", "s.*")

@@ -20,7 +20,6 @@ likely and base_score is 0; rows with equal ids are scored each. No rows give no
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourselake.llm.common import id_remainder, mark_possible
+from bourselake.llm.common import bound_batches, id_remainder, mark_possible
 from bourselake.session import staged
 
 PAIRS, TRIPLE_BITS = 1 << 16, 18
@@ -174,6 +174,7 @@ class Model:
 def fit(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, name: str = "quality", sample: int = SAMPLE
 ) -> Model:
+    bound_batches(spark)
     rows = staged(spark, labelled_rows(docs, labels, name), "labelled")
     counted = class_counts(rows).toPandas()  # at most FEATURES + 1 rows
     ratios, zeros, ones = log_ratios(counted)
