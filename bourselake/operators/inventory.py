@@ -107,6 +107,35 @@ def inventory_groups(items: DataFrame, listing: list[str]) -> DataFrame:
     )
 
 
+def inventory_listing(items: DataFrame, listing: list[str]) -> DataFrame:
+    """The grouped inventory: contract groups, and every other item as a single."""
+    groups = inventory_groups(items, listing).select(F.lit("group").alias("kind"), "*")
+    zero = F.lit(0).cast("bigint")
+    singles = (
+        items.filter(~symbols.is_supported_contract(F.col("symbol")))
+        .groupBy(*listing, "symbol", "schema_")
+        .agg(
+            F.sum("size_bytes").cast("bigint").alias("size_bytes"),
+            F.sum("n_issues").cast("bigint").alias("n_issues"),
+        )
+        .select(
+            F.lit("single").alias("kind"),
+            *listing,
+            F.lit(None).cast("string").alias("root"),
+            "schema_",
+            zero.alias("n_contracts"),
+            F.col("symbol").alias("first_symbol"),
+            F.col("symbol").alias("last_symbol"),
+            "size_bytes",
+            "n_issues",
+            zero.alias("n_quarterly"),
+            zero.alias("expected_quarterly"),
+            F.lit(False).alias("has_gaps"),
+        )
+    )
+    return groups.unionByName(singles)
+
+
 def chain_gaps(items: DataFrame, listing: list[str]) -> DataFrame:
     """Groups with absent quarterly contracts, and how many are absent."""
     return (

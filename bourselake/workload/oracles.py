@@ -963,6 +963,26 @@ _oracle(
     HOLDINGS,
     select="""SELECT *, n_quarterly < expected_quarterly AS has_gaps FROM held_groups""",
 )
+_oracle(
+    "inventory_listing",
+    TICKS,
+    """
+items AS (SELECT dataset, symbol, schema_, contains(symbol, '.') AS alone,
+    left(symbol, length(symbol) - 3) AS root,
+    CASE symbol[-3] WHEN 'H' THEN 1 WHEN 'M' THEN 2 WHEN 'U' THEN 3 ELSE 4 END AS quarter,
+    CAST(sum(n_bytes) AS BIGINT) AS size_bytes,
+    count(*) FILTER (WHERE price_cents < 100) AS n_issues
+  FROM ticks GROUP BY ALL)""",
+    select="""SELECT 'group' AS kind, dataset, root, schema_, count(*) AS n_contracts,
+  arg_min(symbol, quarter) AS first_symbol, arg_max(symbol, quarter) AS last_symbol,
+  CAST(sum(size_bytes) AS BIGINT) AS size_bytes, CAST(sum(n_issues) AS BIGINT) AS n_issues,
+  count(*) AS n_quarterly, CAST(max(quarter) - min(quarter) + 1 AS BIGINT) AS expected_quarterly,
+  count(*) < max(quarter) - min(quarter) + 1 AS has_gaps
+FROM items WHERE NOT alone GROUP BY dataset, root, schema_
+UNION ALL
+SELECT 'single', dataset, NULL, schema_, 0, symbol, symbol, size_bytes, n_issues, 0, 0, false
+FROM items WHERE alone""",
+)
 _oracle(
     "contract_chain_gaps",
     HOLDINGS,

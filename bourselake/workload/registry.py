@@ -685,6 +685,20 @@ def inventory_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.inventory_groups(views.holdings(spark, sf_dir), BOOK)
 
 
+@query
+def inventory_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tick symbols of each dataset: contracts in groups, all others by themselves."""
+    items = (
+        views.ticks(spark, sf_dir)
+        .groupBy("dataset", "symbol", "schema_")
+        .agg(
+            F.sum("n_bytes").cast("bigint").alias("size_bytes"),
+            F.count_if(F.col("price_cents") < 100).alias("n_issues"),
+        )
+    )
+    return inventory.inventory_listing(items, ["dataset"])
+
+
 @query
 def contract_chain_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.chain_gaps(views.holdings(spark, sf_dir), BOOK)
