@@ -120,7 +120,7 @@ def test_counts_and_days_agree(spark, calendar):
             ("GLBX.MDP3", "2024-01-12", "2024-01-17"),
             ("OPRA.PILLAR", "2024-01-13", "2024-01-15"),
             ("IFEU.IMPACT", "2023-12-20", "2024-03-31"),
-            ("XEUR.EOBI", "2060-12-30", "2061-01-02"),
+            ("XEUR.EOBI", "2100-01-30", "2100-02-02"),
             ("NO.SUCH", "1989-12-30", "1990-01-03"),
             ("NO.SUCH", "1980-01-01", "1980-03-31"),
         ],
