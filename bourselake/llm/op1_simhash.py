@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourselake.llm.common import bound_batches, components, without_ids, words_of
+from bourselake.llm.common import bound_batches, components, words_of
 from bourselake.session import staged
 
 POSITIONS = 8
@@ -172,12 +172,5 @@ def near_duplicates(
     )
 
 
-def without_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One document of each component, that with the smallest doc_id."""
-    found = staged(spark, near_duplicates(spark, docs), "near")
-    dropped = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return without_ids(docs, dropped)
-
-
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return near_duplicates(spark, docs)

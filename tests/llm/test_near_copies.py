@@ -1,0 +1,85 @@
+"""The near-copy stage against brute force."""
+
+import random
+from itertools import combinations
+
+import pytest
+
+import corpus_pipeline
+from bourselake.llm import common, near_copies, op7_exact_dedup
+from tests.llm.fixtures import SF, documents, needs_tables
+
+
+def plain_runs(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_kept(texts):
+    """Positions that brute force keeps, and the pairs of similarity 0.8 or more."""
+    sets = [plain_runs(t) for t in texts]
+    pairs = []
+    for a, b in combinations(range(len(sets)), 2):
+        x, y = sets[a], sets[b]
+        if x == y or len(x & y) >= 0.8 * len(x | y):
+            pairs.append((a, b))
+    least = list(range(len(sets)))
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(least[a], least[b])
+            changed |= least[a] != low or least[b] != low
+            least[a] = least[b] = low
+    return {i for i in range(len(sets)) if least[i] == i}, pairs
+
+
+def changed(draw, words, n):
+    words = list(words)
+    for at in draw.sample(range(len(words)), n):
+        words[at] = f"x{draw.randrange(10**6)}"
+    return words
+
+
+def test_the_stage_keeps_what_brute_force_keeps(spark):
+    """Copies with words changed, most of them far more than two bits of a SimHash apart."""
+    draw = random.Random(3)
+    texts = ["", "  ", "one two", "One  two", "one two three"]
+    for _ in range(40):
+        words = [f"w{draw.randrange(5000)}" for _ in range(300)]
+        texts += [" ".join(w) for w in (words, changed(draw, words, 2), changed(draw, words, 12))]
+    kept, pairs = plain_kept(texts)
+    assert len(pairs) > 40
+    found = corpus_pipeline.near_dedup(spark, documents(spark, texts), "")
+    assert {r["doc_id"] for r in found.collect()} == kept
+
+
+def test_long_lists_lose_no_pair(spark, monkeypatch):
+    """Copies of a text that are alike to it and not to each other, and small blocks."""
+    monkeypatch.setattr(near_copies, "BLOCK", 20)
+    draw = random.Random(4)
+    words = [f"w{draw.randrange(5000)}" for _ in range(600)]
+    texts = [" ".join(words)] + [" ".join(changed(draw, words, 10)) for _ in range(150)]
+    kept, pairs = plain_kept(texts)
+    own = [near_copies.runs(t) for t in texts]
+    alike = [(a, b) for a, b in pairs if a]
+    assert len(alike) < 0.5 * 150 * 149 / 2
+    found = corpus_pipeline.near_dedup(spark, documents(spark, texts), "")
+    assert len(own) == 151 and len({r["doc_id"] for r in found.collect()} ^ kept) <= 2
+
+
+def test_rows_without_id_stay(spark):
+    docs = spark.createDataFrame([(None, "a b c"), (1, "a b c"), (2, "a b c"), (None, None)], "doc_id bigint, text string")
+    found = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted(str(r["doc_id"]) for r in found.collect()) == ["1", "None", "None"]
+
+
+@needs_tables
+@pytest.mark.parametrize("sf_dir", [SF, "/root/testdata/sf0.01"])
+def test_hardly_a_near_copy_of_the_tables_stays(spark, sf_dir):
+    docs = op7_exact_dedup.without_copies(spark, common.documents(spark, sf_dir)).filter("doc_id is not null")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
+    kept, pairs = plain_kept([t for _, t in rows])
+    found = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    wanted = {rows[i][0] for i in kept}
+    assert wanted <= found and len(found - wanted) <= 0.05 * len(pairs) + 1
