@@ -64,9 +64,13 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
     try:
         yield lambda rows, name: _stored_at(spark, rows, f"{root}/{name}")
     finally:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        drop_path(spark, root)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all that lies in it, in whatever store it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from bourselake.session import drop_path, path_exists
 from bourselake.sources import lake
 
 
@@ -21,16 +22,18 @@ def ingest_available(
 ) -> None:
     """Take all landing files not yet seen, then stop.
 
-    Each micro-batch replaces the logical partitions it delivers, as any load does, so
-    a batch replayed after a failure or a partition delivered again never doubles rows,
-    and the lake stays one that loads and deletes can work on. The checkpoint remembers
-    the files done; a later call takes only new ones.
+    The call replaces the logical partitions it delivers, as any load does, so a partition
+    delivered again never doubles rows, and the lake stays one that loads and deletes can
+    work on. ``max_files`` only bounds a micro-batch: all of them are stored beside the
+    checkpoint, by number, so that a batch replayed after a failure replaces itself, and
+    the lake is written once from their union. A call that was stopped is finished by the
+    next one. The checkpoint remembers the files done; a later call takes only new ones.
     """
+    pending = f"{checkpoint.rstrip('/')}-pending"
 
     def write_batch(batch: DataFrame, load_id: int) -> None:
         rows = lake.with_partitions(to_rows(batch))
-        if not rows.isEmpty():
-            lake.write_partitions(rows, path)
+        rows.write.mode("overwrite").parquet(f"{pending}/batch_no={load_id}")
 
     query = (
         spark.readStream.schema(schema)
@@ -42,3 +45,8 @@ def ingest_available(
         .start()
     )
     query.awaitTermination()
+    if path_exists(spark, pending):
+        rows = spark.read.parquet(pending).drop("batch_no")
+        if not rows.isEmpty():
+            lake.write_partitions(rows, path)
+        drop_path(spark, pending)

@@ -256,6 +256,32 @@ def test_stream_equals_batch_and_takes_files_once(spark, tmp_path):
     assert take() == sorted((str(r.trade_date), r.price) for r in kept.collect())
 
 
+def test_a_partition_spread_over_micro_batches_is_whole(spark, tmp_path):
+    landing, path, state = (str(tmp_path / n) for n in ("landing", "lake", "state"))
+    for price in (1, 2, 3):
+        rows = tick_rows(spark, [(*ES, "2024-01-10", price)])
+        rows.coalesce(1).write.mode("append").parquet(landing)
+    for _ in range(2):
+        ingest.ingest_available(spark, landing, rows.schema, lambda r: r, path, state, max_files=1)
+        assert sorted(p for *_, p in held(spark, path)) == [1.0, 2.0, 3.0]
+
+
+def test_a_stopped_ingest_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    landing, path, state = (str(tmp_path / n) for n in ("landing", "lake", "state"))
+    rows = tick_rows(spark, [(*ES, "2024-01-10", 1), (*ES, "2024-01-10", 2)])
+    rows.repartition(2).write.parquet(landing)
+
+    def take():
+        ingest.ingest_available(spark, landing, rows.schema, lambda r: r, path, state, max_files=1)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(lake, "write_partitions", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            take()
+    take()
+    assert sorted(p for *_, p in held(spark, path)) == [1.0, 2.0]
+
+
 def test_a_load_keeps_other_symbols_of_the_same_day(spark, lake_path):
     write(spark, lake_path, [(*ES, "2024-01-10", 1), (*NQ, "2024-01-10", 2)])
     again = tick_rows(spark, [(*ES, "2024-01-10", 9), (*ES, "2024-01-10", 8)])
