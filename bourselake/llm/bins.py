@@ -65,7 +65,13 @@ def _improve(
     room: int,
 ) -> bool:
     """One improving exchange out of ``bin_``; false if there is none."""
-    own = sorted(bins[bin_], key=lambda i: -sizes[i])
+    # Items of equal size are alike: one of each size is tried, and two for pairs.
+    own, twins = [], {}
+    for item in sorted(bins[bin_], key=lambda i: -sizes[i]):
+        if own and sizes[own[-1]] == sizes[item]:
+            twins.setdefault(own[-1], item)
+        else:
+            own.append(item)
     given = [[i] for i in own]
     space = room - fill
     space[bin_] = -1
@@ -78,7 +84,9 @@ def _improve(
             if fill[other] + size > fill[bin_]:
                 _exchange(bin_, other, out, [], bins, sizes, home, fill)
                 return True
-    given += [[i, j] for k, i in enumerate(own) for j in own[k + 1 :]]
+    for k, i in enumerate(own):
+        given += [[i, twins[i]]] if i in twins else []
+        given += [[i, j] for j in own[k + 1 :]]
     item_space = space[home]
     for out in given:
         gain = int(sizes[out].sum()) - sizes

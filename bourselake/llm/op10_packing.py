@@ -4,7 +4,8 @@ Texts become token ids in the scan; only (id, piece, start, length, checksum) of
 piece go on. Full pieces are sequences of their own. The others are dealt at random to
 shards of bounded size; each shard is packed best fit first, then improved by moves and
 swaps. The emptiest bins of all shards are opened again and their pieces packed anew
-in far fewer shards, until one shard is left, so shards cost no sequences.
+in far fewer shards, until one shard is left, so shards cost no sequences. After the first
+round a shard opens bins with at most half of its pieces, so each round places the others.
 
 Random shards hold alike mixes of lengths, whatever source or group of copies has most
 rows. Each round is written to the shared scratch folder.
@@ -113,7 +114,11 @@ def pack_shards(items: DataFrame, shards: int, round_: int, capacity: int) -> Da
         reopened = set()
         if shards > 1:
             under = np.flatnonzero(fills < capacity)
-            reopened = set(under[np.argsort(fills[under], kind="stable")][:OPEN_BINS].tolist())
+            under = under[np.argsort(fills[under], kind="stable")][:OPEN_BINS]
+            if round_:  # else few bins of many short pieces would all be opened for ever
+                held = np.cumsum([len(packed[b]) for b in under])
+                under = under[held <= len(sizes) // 2]
+            reopened = set(under.tolist())
         number = np.empty(len(sizes), dtype=np.int64)
         offset = np.empty(len(sizes), dtype=np.int64)
         for bin_, own in enumerate(packed):

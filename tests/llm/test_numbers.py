@@ -10,6 +10,7 @@ from fractions import Fraction
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bourselake.llm import bins, common, mincost, op3_mixing, op5_minhash, op6_pii, op10_packing
@@ -139,6 +140,15 @@ def test_packing_needs_hardly_more_sequences_than_the_words_fill(spark):
     assert _gapless(found, 2048) <= least + 2
 
 
+def test_many_copies_of_one_short_text_are_packed(spark):
+    """Length 3 does not divide 2048, so no bin is full and few bins hold all pieces."""
+    docs = spark.range(50_000).select(F.col("id").alias("doc_id"), F.lit("hello world").alias("text"))
+    found = op10_packing.query(spark, docs).collect()
+    assert len({r["doc_id"] for r in found}) == len(found) == 50_000
+    least = -(-50_000 // (2048 // found[0]["length"]))
+    assert _gapless(found, 2048) <= least + 4
+
+
 def test_local_search_empties_bins_that_best_fit_leaves():
     """Falling sizes mislead best fit here; swaps of two against one repair it."""
     draw = np.random.default_rng(0)
