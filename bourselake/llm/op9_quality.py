@@ -199,9 +199,11 @@ def fit(
         [vectors[i] for i in used], np.where(targets[used] == 1, 1.0, -1.0), PASSES, PENALTY
     )
     margins = np.array([weights[vectors[i][0]] @ vectors[i][1] + bias for i in held])
-    # Scores speak of the labelled rows, in which the classes are not equally many.
+    # Scores speak of the labelled rows; the curve knows the shares of the chosen ones.
     slope, offset = calibrate(margins, targets[held])
-    return Model(ratios, weights, bias, slope, offset + float(np.log(ones / zeros)))
+    taken = int(targets.sum())
+    prior = np.log(ones / zeros) - np.log(taken / (len(targets) - taken))
+    return Model(ratios, weights, bias, slope, offset + float(prior))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -108,6 +108,22 @@ def test_held_out_quality(spark):
     assert all(r["predicted"] == (r["score"] >= 0.7) for r in found)
 
 
+@needs_tables
+@pytest.mark.parametrize("sample", [op9_quality.SAMPLE, 600])
+def test_scores_are_calibrated_whether_the_sample_is_balanced_or_not(spark, sample):
+    """All labelled rows are in the larger sample, and as many of each class in the smaller."""
+    docs = common.documents(spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = op9_quality.fit(spark, docs, labels, sample=sample)
+    held = docs.join(labels.filter("quality is not null"), "doc_id").filter(common.id_remainder(4) == 2)
+    found = held.select("quality", "text").collect()
+    scores = np.array([model.score(r["text"]) for r in found])
+    good = np.array([r["quality"] == 1 for r in found])
+    assert abs(scores.mean() - good.mean()) < 0.02
+    assert np.mean(scores[~good] < op9_quality.ACCEPT) > 0.9
+    assert np.mean(scores[good] >= op9_quality.ACCEPT) > 0.9
+
+
 def test_class_counts_equal_a_plain_count(spark):
     rows = spark.createDataFrame([("abab", 1), ("abc", 0), ("", 1), (None, 0)], "text string, label int")
     found = {r["feature"]: (r["with_0"], r["with_1"]) for r in op9_quality.class_counts(rows).collect()}
