@@ -17,6 +17,7 @@ from bourselake.llm import (
     op8_ppm,
     op9_quality,
     op10_packing,
+    op13_orchard,
 )
 from bourselake.llm.common import documents
 
@@ -32,6 +33,10 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_quality.query(spark, documents(spark, sf_dir), labels)
 
 
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": _over_documents(op1_simhash.query),
     "op2_language_id": _over_documents(op2_language_id.query),
@@ -43,9 +48,11 @@ QUERIES: dict[str, Query] = {
     "op8_ppm_scores": _over_documents(op8_ppm.query),
     "op9_quality_classifier": _quality,
     "op10_best_fit_packing": _over_documents(op10_packing.query),
+    "op13_orchard_codes": lambda spark, sf_dir: op13_orchard.query(spark, _embeddings(spark, sf_dir)),
 }
 
 ORACLES: dict[str, str] = {
     "op3_source_mixing": op3_mixing.ORACLE,
     "op7_exact_dedup": op7_exact_dedup.ORACLE,
+    "op13_orchard_codes": op13_orchard.ORACLE,
 }
