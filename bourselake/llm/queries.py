@@ -17,6 +17,7 @@ from bourselake.llm import (
     op8_ppm,
     op9_quality,
     op10_packing,
+    op11_merkle,
     op13_orchard,
 )
 from bourselake.llm.common import documents
@@ -48,11 +49,13 @@ QUERIES: dict[str, Query] = {
     "op8_ppm_scores": _over_documents(op8_ppm.query),
     "op9_quality_classifier": _quality,
     "op10_best_fit_packing": _over_documents(op10_packing.query),
+    "op11_merkle_manifest": _over_documents(op11_merkle.query),
     "op13_orchard_codes": lambda spark, sf_dir: op13_orchard.query(spark, _embeddings(spark, sf_dir)),
 }
 
 ORACLES: dict[str, str] = {
     "op3_source_mixing": op3_mixing.ORACLE,
     "op7_exact_dedup": op7_exact_dedup.ORACLE,
+    "op11_merkle_manifest": op11_merkle.ORACLE,
     "op13_orchard_codes": op13_orchard.ORACLE,
 }
