@@ -16,6 +16,10 @@ row to its parent; each hop appends the siblings of the levels it passes, left t
 folds the hash, which may be that of a tampered text, with them. It ends above the root, so
 the rows whose link is null carry the whole proof and the folded root.
 
+Near a root few rows are left and all leaves pass them. A row with more than ``SHARE``
+leaves below is therefore stored in copies, and a leaf goes to one of them by the hash of its place: no
+key of the climb has more than about that many leaves, also at the root.
+
 Positions come from a range partitioning by (source, doc_id) and counts per partition, so a
 source with a third of all rows is sorted, hashed and climbed by many tasks.
 
@@ -35,6 +39,8 @@ from bourselake.session import staged
 
 FAN, HOPS = 3, 5
 SPAN = FAN**HOPS
+#: Leaves that climb through one copy of a node row.
+SHARE = 60_000
 #: Bytes of a hash, and hex digits of a run of children.
 BYTES, RUN = 32, 64 * FAN
 TOP = -1
@@ -87,14 +93,16 @@ def _next_level(nodes: Column) -> Column:
 
 
 def node_rows(nodes: DataFrame) -> DataFrame:
-    """The rows above (tree, n, position, hash): ``n`` nodes of a tree at one height.
+    """The rows above (tree, n, position, hash, covers): ``n`` nodes of a tree at one height.
 
     ``levels`` holds, for each level passed, the width of its nodes in children and their
-    hashes; ``hash`` is what the row stands for. A group holds at most 3^HOPS nodes.
+    hashes; ``hash`` is what the row stands for and ``covers`` its leaves. A group holds at
+    most 3^HOPS nodes.
     """
     place = F.floor(F.col("position") / SPAN).cast("bigint")
     groups = nodes.groupBy("tree", "n", place.alias("place")).agg(
-        F.sort_array(F.collect_list(F.struct("position", F.hex("hash").alias("h")))).alias("own")
+        F.sort_array(F.collect_list(F.struct("position", F.hex("hash").alias("h")))).alias("own"),
+        F.sum("covers").alias("covers"),
     )
     steps = levels_until_one(F.col("n"))
     bottom = F.lower(F.array_join(F.transform("own", lambda x: x["h"]), ""))
@@ -116,14 +124,14 @@ def node_rows(nodes: DataFrame) -> DataFrame:
         ),
     )
     return (
-        groups.select("tree", "n", "place", bottom.alias("_bottom"), steps.alias("_steps"))
+        groups.select("tree", "n", "place", "covers", bottom.alias("_bottom"), steps.alias("_steps"))
         .withColumn("_up", climbed)
-        .select("tree", "n", "place", F.unhex("_up.now").alias("hash"), F.col("_up.levels").alias("levels"))
+        .select("tree", "n", "place", "covers", F.unhex("_up.now").alias("hash"), F.col("_up.levels").alias("levels"))
     )
 
 
 def build_tree(spark: SparkSession, bottom: DataFrame, parents: DataFrame | None) -> DataFrame:
-    """All node rows above (tree, n, position, hash), linked to their parents.
+    """All node rows above (tree, n, position, hash, covers), linked to their parents.
 
     ``parents`` gives for each tree where its last row is linked to (tree, up_place,
     up_slot), null for the end. Each round is written and is 1/3^HOPS of the one before.
@@ -141,6 +149,7 @@ def build_tree(spark: SparkSession, bottom: DataFrame, parents: DataFrame | None
         end_tree = F.when(F.col("up_place").isNotNull(), F.lit(TOP))
         linked = above.select(
             *LINK,
+            "covers",
             "hash",
             "levels",
             F.when(last, end_tree).otherwise(F.col("tree")).cast("bigint").alias("up_tree"),
@@ -149,12 +158,21 @@ def build_tree(spark: SparkSession, bottom: DataFrame, parents: DataFrame | None
             F.when(last, F.col("up_slot")).otherwise(F.col("place") % SPAN).cast("int").alias("up_slot"),
         )
         rows = linked if rows is None else rows.unionByName(linked)
-        now = made.filter(F.col("n") > SPAN).select("tree", rest.alias("n"), F.col("place").alias("position"), "hash")
+        now = made.filter(F.col("n") > SPAN).select("tree", rest.alias("n"), F.col("place").alias("position"), "hash", "covers")
         if now.isEmpty():
             return rows
         height += 1
 
 
+def with_shares(nodes: DataFrame) -> DataFrame:
+    """Node rows in as many copies as their leaves need, with the number of their parent's."""
+    copies = F.ceil(F.col("covers") / SHARE).cast("int")
+    up = [f"up_{c}" for c in LINK]
+    parents = nodes.select(*[F.col(c).alias(f"up_{c}") for c in LINK], copies.alias("up_shares"))
+    shares = F.explode(F.sequence(F.lit(0), copies - 1)).alias("share")
+    return nodes.join(parents, up, "left").select(*LINK, shares, "hash", "levels", *up, "up_slot", "up_shares")
+
+
 def manifest(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The leaves with their place and the linked node rows of all trees."""
     placed = ranking.with_position(
@@ -186,26 +204,28 @@ def manifest(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame
         F.floor(F.col("tree") / SPAN).cast("bigint").alias("up_place"),
         (F.col("tree") % SPAN).cast("int").alias("up_slot"),
     )
-    bottom = own.select("tree", "n", "position", F.col("leaf").alias("hash"))
+    bottom = own.select("tree", "n", "position", F.col("leaf").alias("hash"), F.lit(1).cast("bigint").alias("covers"))
     below = build_tree(spark, bottom, ends)
     subroots = below.filter(F.col("up_tree") == TOP).select(
         F.lit(TOP).cast("bigint").alias("tree"),
         F.lit(sources.count()).alias("n"),
         F.col("tree").alias("position"),
         "hash",
+        "covers",
     )
     top = build_tree(spark, staged(spark, subroots, "subroots"), None)
-    return own, staged(spark, below.unionByName(top), "manifest")
+    linked = staged(spark, below.unionByName(top), "linked")
+    return own, staged(spark, with_shares(linked), "manifest")
 
 
 CLIMB = f"""
-WITH RECURSIVE climb (doc_id, leaf, subroot, root, state, tree, height, place, slot) AS (
-  SELECT doc_id, leaf, CAST(NULL AS binary), CAST(NULL AS binary),
+WITH RECURSIVE climb (doc_id, leaf, salt, subroot, root, state, tree, height, place, share, slot) AS (
+  SELECT doc_id, leaf, xxhash64(tree, position), CAST(NULL AS binary), CAST(NULL AS binary),
          named_struct('folded', folded, 'proof', CAST('' AS binary)),
-         tree, 0, position div {SPAN}, CAST(position % {SPAN} AS int)
+         tree, 0, position div {SPAN}, 0, CAST(position % {SPAN} AS int)
   FROM {{leaves}}
   UNION ALL
-  SELECT c.doc_id, c.leaf,
+  SELECT c.doc_id, c.leaf, c.salt,
          CASE WHEN n.up_tree = {TOP} AND n.tree <> {TOP} THEN n.hash ELSE c.subroot END,
          CASE WHEN n.up_tree IS NULL THEN n.hash END,
          aggregate(n.levels, c.state, (s, l) -> named_struct(
@@ -220,8 +240,9 @@ WITH RECURSIVE climb (doc_id, leaf, subroot, root, state, tree, height, place, s
                        c.slot div l.width % {FAN} * {BYTES}),
              substring(l.nodes, (c.slot div l.width + 1) * {BYTES} + 1,
                        ({FAN - 1} - c.slot div l.width % {FAN}) * {BYTES})))),
-         n.up_tree, n.up_height, n.up_place, n.up_slot
-  FROM climb c JOIN {{nodes}} n ON c.tree = n.tree AND c.height = n.height AND c.place = n.place
+         n.up_tree, n.up_height, n.up_place, CAST(pmod(c.salt, n.up_shares) AS int), n.up_slot
+  FROM climb c JOIN {{nodes}} n
+    ON c.tree = n.tree AND c.height = n.height AND c.place = n.place AND c.share = n.share
 )
 SELECT doc_id, lower(hex(leaf)) AS leaf, lower(hex(subroot)) AS subroot, lower(hex(root)) AS root,
        sha2(lower(hex(state.proof)), 256) AS proof_sha256,
