@@ -18,6 +18,7 @@ from bourselake.llm import (
     op9_quality,
     op10_packing,
     op11_merkle,
+    op12_signature_trees,
     op13_orchard,
 )
 from bourselake.llm.common import documents
@@ -50,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_classifier": _quality,
     "op10_best_fit_packing": _over_documents(op10_packing.query),
     "op11_merkle_manifest": _over_documents(op11_merkle.query),
+    "op12_signature_trees": _over_documents(op12_signature_trees.query),
     "op13_orchard_codes": lambda spark, sf_dir: op13_orchard.query(spark, _embeddings(spark, sf_dir)),
 }
 
@@ -57,5 +59,6 @@ ORACLES: dict[str, str] = {
     "op3_source_mixing": op3_mixing.ORACLE,
     "op7_exact_dedup": op7_exact_dedup.ORACLE,
     "op11_merkle_manifest": op11_merkle.ORACLE,
+    "op12_signature_trees": op12_signature_trees.ORACLE,
     "op13_orchard_codes": op13_orchard.ORACLE,
 }
