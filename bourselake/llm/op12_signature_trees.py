@@ -10,17 +10,24 @@ already are dropped as well: what is asked for are the parts.
 
 One tree over everything does not spread over tasks, and bits of a million texts are all
 set. So there is one tree per routing key, and every linked pair meets in a tree: two sets
-of similarity 0.9 differ in at most k = (|a| + |b|) / 19 tokens, hence of k + 1 buckets of
-the hashed tokens at least one is equal in both. k follows from a band of sizes; sizes of
+of similarity 0.9 differ in at most k = (|a| + |b|) / 19 tokens, hence at least one of k + 1
+buckets of the hashed tokens is equal in both. k follows from a band of sizes; sizes of
 linked sets lie in one band or in two neighbours, so a set has the keys of its own band and
-of the one below. Equal sets are one set before that. Keys with the same sets are one key.
-
-Round one gives each set to one tree, that of its fullest key, which joins groups of near
-copies. Round two takes the keys that still hold sets of several parts, and takes them
-whole. A tree has at most about ``SETS`` sets or ``TOKENS`` tokens. Larger keys are cut into
-blocks, each of them the tree below one node; large parts get blocks of their own. The node
-pairs of these blocks are joined by Spark with the same tests, and only the pairs that pass
-are descended, so a large group of copies costs its size.
+of the one below. There are a few buckets more than that, so that empty ones, in which
+strangers agree, need no key unless a set has more of them than were added. Equal sets are
+one set before all this, and keys with the same sets are one key.
+
+Keys with the same smallest set are a family: mostly the copies of one text, in many
+subsets. A family goes to one task, each set once, and its trees share the parts found, so
+that the second tree of a family has little left to do.
+
+A family of more than ``FAMILY`` tokens goes two rounds. In the first, each set is in one
+tree, that of its fullest key. The second takes the keys that still hold several parts,
+whole. Keys of more than ``SETS`` sets or ``TOKENS`` tokens are cut into blocks, each of them
+the tree below one node; large parts get blocks of their own. The node pairs of these blocks
+are joined by Spark with the same tests, and only pairs that pass are descended, so a large
+group of copies costs its size. What is quadratic in the worst case are the blocks of one
+key whose sets are unlike each other and still pass the tests.
 
 The tests never drop a linked pair, so the parts are those of the exact join. Tokens are
 64-bit hashes of shingles.
@@ -45,8 +52,8 @@ from bourselake.llm.op1_simhash import SEED, shingle_hashes
 from bourselake.session import staged
 
 SHINGLE = 3
-#: Sets and tokens of a tree, children of a node, tokens that go to Python at once.
-SETS, TOKENS, FAN, TASK_TOKENS = 2_000, 1_000_000, 8, 4_000_000
+#: Sets and tokens of a tree, children of a node, tokens of a family and of a task.
+SETS, TOKENS, FAN, FAMILY, TASK_TOKENS = 2_000, 1_000_000, 8, 1_000_000, 4_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,9 +77,14 @@ def largest(band: int) -> int:
     return int(BANDS[band + 1]) - 1
 
 
-def buckets(band: int) -> int:
-    """One more than the tokens that linked sets meeting in this band can differ in."""
-    return (largest(band) + 10 * largest(band) // 9) // 19 + 1
+def differing(band: int) -> int:
+    """The tokens at most that linked sets meeting in this band differ in."""
+    return (largest(band) + 10 * largest(band) // 9) // 19
+
+
+def spare(band: int) -> int:
+    """Buckets beyond those needed: this many may be empty and have no key."""
+    return 2 + differing(band) // 500
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -92,18 +104,22 @@ def set_id(tokens: np.ndarray) -> int:
 def routing_keys(tokens: np.ndarray) -> np.ndarray:
     """Keys of the set's band and the one below: band in the top byte, then bucket contents.
 
-    In bands of one bucket only equal sets are linked, so they have no key.
+    In bands without difference only equal sets are linked, so they have no key.
     """
     if not len(tokens):
         return np.empty(0, dtype=np.int64)
     own = int(np.searchsorted(BANDS, len(tokens), side="right")) - 1
     keys = []
     for band in (own, own - 1):
-        if band < 0 or buckets(band) == 1:
+        if band < 0 or differing(band) == 0:
             continue
-        sums = np.zeros(buckets(band), dtype=np.uint64)
-        np.add.at(sums, (tokens % np.uint64(len(sums))).astype(np.int64), mixed(tokens))
+        sums = np.zeros(differing(band) + 1 + spare(band), dtype=np.uint64)
+        bucket = (tokens % np.uint64(len(sums))).astype(np.int64)
+        np.add.at(sums, bucket, mixed(tokens))
         named = mixed(sums ^ mixed(np.arange(1, len(sums) + 1, dtype=np.uint64) * GOLDEN))
+        filled = np.bincount(bucket, minlength=len(sums)) > 0
+        if (~filled).sum() <= spare(band):
+            named = named[filled]
         keys.append((named >> np.uint64(8)) | np.uint64(band << 56))
     return np.concatenate(keys).view(np.int64) if keys else np.empty(0, dtype=np.int64)
 
@@ -130,17 +146,42 @@ def can_overlap(maps, excess, low, high, x: int, y: int) -> bool:
     return 190 * min(most, common) >= 90 * least
 
 
+class Sets:
+    """Token sets with the parts they are in, and what the trees over them have learnt."""
+
+    def __init__(self, sets: list[np.ndarray], parts: np.ndarray):
+        self.sets, self.sizes = sets, np.array([len(s) for s in sets])
+        self.parts = np.unique(parts, return_inverse=True)[1]
+        self.first = np.array([s[0] for s in sets])
+        self.links: list[tuple[int, int]] = []
+        self.unlike: set[tuple[int, int]] = set()
+
+    def compare(self, x: int, y: int) -> None:
+        pair = (min(x, y), max(x, y))
+        if pair in self.unlike:
+            return
+        a, b = self.sets[x], self.sets[y]
+        if alike(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b)):
+            self.links.append(pair)
+            self.parts[self.parts == self.parts[y]] = self.parts[x]
+        else:
+            self.unlike.add(pair)
+
+    def join(self, key: int, members: np.ndarray) -> None:
+        """Link the members of a key, by its tree, as far as they are in several parts."""
+        if (self.parts[members] != self.parts[members[0]]).any():
+            Tree(self, members, bitmap_bits(key)).join()
+
+
 class Tree:
-    """A signature tree over token sets; ``parts`` says which of them are joined already."""
+    """A signature tree over some of the sets."""
 
-    def __init__(self, sets: list[np.ndarray], parts: np.ndarray, bits: int):
-        sizes = np.array([len(s) for s in sets])
+    def __init__(self, sets: Sets, members: np.ndarray, bits: int):
         # Near copies mostly share their smallest token, which brings them under one node.
-        self.order = np.lexsort((sizes, [s[0] for s in sets], parts))
-        self.sets = [sets[i] for i in self.order]
-        self.parts = np.unique(parts[self.order], return_inverse=True)[1]
-        sizes = sizes[self.order]
-        maps = np.stack([bitmap(s, bits) for s in self.sets])
+        by = np.lexsort((sets.sizes[members], sets.first[members], sets.parts[members]))
+        self.sets, self.leaves = sets, members[by]
+        sizes = sets.sizes[self.leaves]
+        maps = np.stack([bitmap(sets.sets[i], bits) for i in self.leaves])
         excess = sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
         self.levels = [(maps, excess, sizes, sizes)]
         while len(self.levels[-1][0]) > 1:
@@ -154,20 +195,15 @@ class Tree:
                     np.maximum.reduceat(high, starts),
                 )
             )
-        self.found: list[tuple[int, int]] = []
 
-    def links(self) -> list[tuple[int, int]]:
-        """Pairs of positions in the given sets that join all parts that are linked."""
+    def join(self) -> None:
         self._descend(len(self.levels) - 1, 0, 0)
-        return [(int(self.order[a]), int(self.order[b])) for a, b in self.found]
 
     def _one_part(self, level: int, x: int, y: int) -> bool:
         width = FAN**level
-        first = self.parts[x * width]
-        return bool(
-            (self.parts[x * width : (x + 1) * width] == first).all()
-            and (self.parts[y * width : (y + 1) * width] == first).all()
-        )
+        of = self.sets.parts
+        left, right = (self.leaves[i * width : (i + 1) * width] for i in (x, y))
+        return bool((of[left] == of[left[0]]).all() and (of[right] == of[left[0]]).all())
 
     def _descend(self, level: int, x: int, y: int) -> None:
         if self._one_part(level, x, y):
@@ -175,7 +211,7 @@ class Tree:
         if x != y and not can_overlap(*self.levels[level], x, y):
             return
         if level == 0:
-            self._compare(x, y)
+            self.sets.compare(int(self.leaves[x]), int(self.leaves[y]))
             return
         last = len(self.levels[level - 1][0])
         left = range(x * FAN, min(last, (x + 1) * FAN))
@@ -188,12 +224,6 @@ class Tree:
                 if x != y or i < j:
                     self._descend(level - 1, i, j)
 
-    def _compare(self, x: int, y: int) -> None:
-        a, b = self.sets[x], self.sets[y]
-        if alike(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b)):
-            self.found.append((x, y))
-            self.parts[self.parts == self.parts[y]] = self.parts[x]
-
 
 def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, row_key, set_id, n, keys) of every document; no set has a null set_id."""
@@ -223,7 +253,10 @@ def row_key() -> Column:
 
 
 def shared_keys(routes: DataFrame) -> DataFrame:
-    """Keys of two or more sets, one of those that have the same sets."""
+    """(key, lo) of keys with two or more sets; one key of those that have the same sets.
+
+    ``lo`` is the smallest of the sets, which names the family.
+    """
     mark = F.xxhash64("set_id")
     return (
         routes.groupBy("key")
@@ -231,7 +264,7 @@ def shared_keys(routes: DataFrame) -> DataFrame:
         .filter(F.xxhash64("lo") != F.col("all"))
         .groupBy("lo", "all")
         .agg(F.min("key").alias("key"))
-        .select("key")
+        .select("key", "lo")
     )
 
 
@@ -260,20 +293,49 @@ def token_sets(docs: DataFrame, entries: DataFrame, wanted: DataFrame) -> DataFr
     )
 
 
+def family_links(spark: SparkSession, families: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) from the trees of families (lo, set_id, n, keys), many to a task."""
+    tasks = part_count(spark, families.agg(F.sum("n")).first()[0] or 0, TASK_TOKENS)
+
+    def descend(rows: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, family in rows.sort_values(["lo", "set_id"]).groupby("lo", sort=False):
+            names = family["set_id"].to_numpy()
+            sets = Sets([np.frombuffer(t, dtype=np.uint64) for t in family["tokens"]], names)
+            keys = family["keys"].to_numpy()
+            at = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+            flat = np.concatenate(keys)
+            order = np.argsort(flat, kind="stable")
+            values, starts = np.unique(flat[order], return_index=True)
+            trees = np.split(at[order], starts[1:])
+            for i in sorted(range(len(trees)), key=lambda i: (-len(trees[i]), values[i])):
+                sets.join(int(values[i]), trees[i])
+            found += [(names[a], names[b]) for a, b in sets.links]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    task = F.pmod(F.xxhash64("lo"), F.lit(tasks)).alias("task")
+    return (
+        families.select("lo", "set_id", "keys", task)
+        .join(sets, "set_id")
+        .groupBy("task")
+        .applyInPandas(descend, "a bigint, b bigint")
+    )
+
+
 def tree_links(spark: SparkSession, trees: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) from the trees (key, p, q, set_id, n, part), many small ones to a task."""
     trees = staged(spark, trees, "trees")
-    total = trees.agg(F.sum("n")).first()[0] or 0
-    tasks = part_count(spark, total, TASK_TOKENS)
+    tasks = part_count(spark, trees.agg(F.sum("n")).first()[0] or 0, TASK_TOKENS)
 
     def descend(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["key", "p", "q", "set_id"], ignore_index=True)
+        rows = rows.sort_values(["key", "p", "q", "set_id"])
         found = []
         for (key, _, _), tree in rows.groupby(["key", "p", "q"], sort=False):
             own = [np.frombuffer(t, dtype=np.uint64) for t in tree["tokens"]]
             names = tree["set_id"].to_numpy()
-            links = Tree(own, tree["part"].to_numpy(), bitmap_bits(int(key))).links()
-            found += [(names[a], names[b]) for a, b in links]
+            sets = Sets(own, tree["part"].to_numpy())
+            sets.join(int(key), np.arange(len(names)))
+            found += [(names[a], names[b]) for a, b in sets.links]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     task = F.pmod(F.xxhash64("key", "p", "q"), F.lit(tasks)).alias("task")
@@ -282,7 +344,6 @@ def tree_links(spark: SparkSession, trees: DataFrame, sets: DataFrame) -> DataFr
         .join(sets, "set_id")
         .groupBy("task")
         .applyInPandas(descend, "a bigint, b bigint")
-        .distinct()
     )
 
 
@@ -398,15 +459,22 @@ def linked_parts(spark: SparkSession, docs: DataFrame, entries: DataFrame) -> Da
     routes = entries.select("set_id", "n", F.explode("keys").alias("key"))
     keys = staged(spark, shared_keys(routes), "keys")
     maybe = mark_possible(routes, keys, "key", "_maybe").filter("_maybe")
-    members = staged(spark, maybe.join(keys, "key").select("key", "set_id", "n"), "members")
+    members = staged(spark, maybe.join(keys, "key").select("key", "lo", "set_id", "n"), "members")
     sets = staged(spark, token_sets(docs, entries, members.select("set_id")), "sets")
-    links = staged(spark, tree_links(spark, home_trees(members), sets), "links")
-    parts = staged(spark, components(spark, links), "parts")
-    rest = staged(spark, open_members(members, parts), "open")
-    if rest.isEmpty():
-        return parts
-    more = tree_links(spark, open_trees(spark, rest, sets), sets)
-    return components(spark, staged(spark, links.unionByName(more), "links"))
+    grown = members.groupBy("lo", "set_id").agg(F.first("n").alias("n"))
+    large = staged(spark, grown.groupBy("lo").agg(F.sum("n").alias("t")).filter(F.col("t") > FAMILY), "large")
+    small = members.join(large, "lo", "left_anti")
+    families = small.groupBy("lo", "set_id").agg(F.first("n").alias("n"), F.collect_list("key").alias("keys"))
+    links = staged(spark, family_links(spark, staged(spark, families, "families"), sets), "links")
+    rest = staged(spark, members.join(large, "lo", "left_semi"), "rest")
+    if not rest.isEmpty():
+        first = staged(spark, tree_links(spark, home_trees(rest), sets), "links")
+        links = links.unionByName(first)
+        open_ = staged(spark, open_members(rest, components(spark, links)), "open")
+        if not open_.isEmpty():
+            more = tree_links(spark, open_trees(spark, open_, sets), sets)
+            links = links.unionByName(staged(spark, more, "links"))
+    return components(spark, links)
 
 
 def similarity_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
