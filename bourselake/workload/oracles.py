@@ -1373,18 +1373,18 @@ years AS (SELECT unnest(range(1999, 2101)) AS y),
 moons AS (SELECT y, (y % 19) AS g, y // 100 AS c FROM years),
 epacts AS (SELECT *, (c - c // 4 - (8 * c + 13) // 25 + 19 * g + 15) % 30 AS h FROM moons),
 fulls AS (SELECT *, h - (h // 28) * (1 - (29 // (h + 1)) * ((21 - g) // 11)) AS i FROM epacts),
-easters AS (SELECT y, i - (y + y // 4 + i + 2 - c + c // 4) % 7 AS l FROM fulls),
-good_fridays AS (SELECT make_date(y, 3 + (l + 40) // 44, l + 28 - 31 * ((3 + (l + 40) // 44) // 4))
+easters AS MATERIALIZED (SELECT y, i - (y + y // 4 + i + 2 - c + c // 4) % 7 AS l FROM fulls),
+good_fridays AS MATERIALIZED (SELECT make_date(y, 3 + (l + 40) // 44, l + 28 - 31 * ((3 + (l + 40) // 44) // 4))
     - 2 AS day FROM easters),
-far_days AS (SELECT CAST(unnest(generate_series(DATE '1999-09-01', DATE '2099-12-31',
+far_days AS MATERIALIZED (SELECT CAST(unnest(generate_series(DATE '1999-09-01', DATE '2099-12-31',
     INTERVAL 1 DAY)) AS DATE) AS day),
-far_sessions AS (SELECT day, row_number() OVER (PARTITION BY date_trunc('month', day)
+far_sessions AS MATERIALIZED (SELECT day, row_number() OVER (PARTITION BY date_trunc('month', day)
     ORDER BY day DESC) AS from_end FROM far_days
   WHERE isodow(day) < 6 AND day NOT IN (SELECT day FROM good_fridays)
     AND strftime(day, '%m%d') NOT IN ('0101', '1225')
     AND NOT (isodow(day) = 1 AND strftime(day, '%m%d') IN ('0102', '1226'))
     AND NOT (isodow(day) = 5 AND strftime(day, '%m%d') = '1224')),
-far_expiry AS (
+far_expiry AS MATERIALIZED (
   SELECT 'treasury' AS rule, date_trunc('month', day) AS m, day FROM far_sessions
   WHERE from_end = 8
   UNION ALL SELECT 'metals', date_trunc('month', day), day FROM far_sessions
@@ -1395,7 +1395,7 @@ far_expiry AS (
 far_roots AS (SELECT root, CASE WHEN root IN {TREASURY} THEN 'treasury'
     WHEN root IN {METALS} THEN 'metals' ELSE 'third_friday' END AS rule
   FROM (SELECT unnest({ROOTS}) AS root)),
-far_dim AS (SELECT r.root, r.rule, year(e.m) AS year, month(e.m) AS month,
+far_dim AS MATERIALIZED (SELECT r.root, r.rule, year(e.m) AS year, month(e.m) AS month,
     r.root || substr({LETTERS}, CAST(month(e.m) AS INTEGER), 1)
       || lpad(CAST(year(e.m) % 100 AS VARCHAR), 2, '0') AS symbol, e.day AS expiration,
     p.day - 14 AS window_start, e.m
