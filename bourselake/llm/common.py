@@ -91,17 +91,6 @@ def packed(docs: DataFrame, *needed: str) -> DataFrame:
     return docs.select(*needed, F.struct("*").alias("_row"))
 
 
-def without_ids(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Documents whose doc_id is not among ``dropped``; null ids stay.
-
-    Rows that cannot match pass by a bit filter; only the rest is joined.
-    """
-    marked = mark_possible(packed(docs, "doc_id"), dropped, "doc_id", "_maybe")
-    clear = marked.filter(~F.col("_maybe")).select("_row.*")
-    checked = marked.filter("_maybe").join(dropped, "doc_id", "left_anti")
-    return clear.unionByName(checked.select("_row.*"))
-
-
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, by alternating stars.
 

@@ -218,7 +218,9 @@ def manifest(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame
     return own, staged(spark, with_shares(linked), "manifest")
 
 
-CLIMB = f"""
+def climb_sql() -> str:
+    """The recursive query over {leaves} and {nodes}."""
+    return f"""
 WITH RECURSIVE climb (doc_id, leaf, salt, subroot, root, state, tree, height, place, share, slot) AS (
   SELECT doc_id, leaf, xxhash64(tree, position), CAST(NULL AS binary), CAST(NULL AS binary),
          named_struct('folded', folded, 'proof', CAST('' AS binary)),
@@ -251,6 +253,9 @@ FROM climb WHERE tree IS NULL
 """
 
 
+CLIMB = climb_sql()
+
+
 def climb(spark: SparkSession, own: DataFrame, nodes: DataFrame) -> DataFrame:
     """Each leaf with its proof and folded root, by the recursive query over the node rows.
 

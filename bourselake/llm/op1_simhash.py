@@ -6,9 +6,9 @@ the guaranteed minimum of the count filter. Posting lists of single bytes would
 1/256 of the corpus each and grow with its square. The index therefore has one list
 for every choice of that many positions with their bytes: two fingerprints meet in a
 list exactly if their tally of shared positional bytes reaches the minimum. A list has
-at most 2^16 distinct fingerprints at any corpus size, the two open bytes. Within
-a list the tally and the differing bits of a pair are verified on the open bytes;
-each fingerprint then links to one representative of its connected part, so that no
+at most 2^16 distinct fingerprints at any corpus size, the two open bytes. The key of a
+list is thus the count filter: sharing it is reaching the tally. Within a list the differing
+bits of a pair are verified; each fingerprint then links to one representative of its connected part, so that no
 list emits its pairs.
 
 Equal fingerprints are one entry before the index, so copies cost nothing.
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourselake.llm.common import bound_batches, components, words_of
+from bourselake.llm.common import bound_batches, components, mark_possible, words_of
 from bourselake.session import staged
 
 POSITIONS = 8
@@ -67,8 +67,8 @@ def simhash(text: str | None, size: int) -> int:
     return int.from_bytes(np.packbits(bits).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fingerprint bigint) of every document."""
+def fingerprints(docs: DataFrame, shingle: int, *more: str) -> DataFrame:
+    """(doc_id, more columns, fingerprint bigint) of every document."""
 
     @F.pandas_udf("bigint")
     def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
             yield pd.Series(own.view(np.int64))
 
     return docs.select(
-        F.col("doc_id").cast("bigint"), compute("text").alias("fingerprint")
+        F.col("doc_id").cast("bigint"), *more, compute("text").alias("fingerprint")
     )
 
 
@@ -144,15 +144,13 @@ def fingerprint_links(lists: DataFrame, max_bits: int, shared: int) -> DataFrame
     return lists.mapInPandas(link, "a bigint, b bigint")
 
 
-def near_duplicates(
-    spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2
+def fingerprint_classes(
+    spark: SparkSession, own: DataFrame, max_bits: int
 ) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every document."""
+    """(fingerprint, component_id) of every fingerprint in ``own`` (doc_id, fingerprint)."""
     shared = POSITIONS - max_bits
     if not 1 <= shared < POSITIONS:
         raise ValueError("max_bits must lie between 1 and 7")
-    bound_batches(spark)
-    own = staged(spark, fingerprints(docs, shingle), "fingerprints")
     entries = staged(
         spark, own.groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "entries"
     )
@@ -164,7 +162,16 @@ def near_duplicates(
         .drop("component")
     )
     smallest = named.groupBy("part").agg(F.min("node").alias("component_id"))
-    classes = named.join(smallest, "part").select("fingerprint", "component_id")
+    return named.join(smallest, "part").select("fingerprint", "component_id", "part")
+
+
+def near_duplicates(
+    spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2
+) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every document."""
+    bound_batches(spark)
+    own = staged(spark, fingerprints(docs, shingle), "fingerprints")
+    classes = fingerprint_classes(spark, own, max_bits).drop("part")
     return own.join(classes, "fingerprint").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
@@ -172,5 +179,41 @@ def near_duplicates(
     )
 
 
+def without_near_duplicates(
+    spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2
+) -> DataFrame:
+    """One whole document of each component: that with the smallest doc_id.
+
+    Rows are told apart by id and text, so rows that share an id are decided each by its own
+    text; of equal ids in a component the row with the smallest hash stays, of equal rows
+    one. Rows that are surely neither dropped nor repeated pass without a shuffle.
+    """
+    bound_batches(spark)
+    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")).alias("row_key")
+    keyed = docs.select("doc_id", "text", key)
+    own = staged(spark, fingerprints(keyed, shingle, "row_key"), "fingerprints")
+    parts = fingerprint_classes(spark, own, max_bits).select("fingerprint", "part")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    rows = own.groupBy("fingerprint", "doc_id", "row_key").agg(F.count("*").alias("n"))
+    rows = staged(spark, rows.join(parts, "fingerprint"), "rows")
+    first = rows.groupBy("part").agg(F.min(order).alias("first"))
+    decided = (
+        rows.join(first, "part")
+        .select("row_key", "n", (F.col("row_key") == F.col("first.row_key")).alias("_stays"))
+        .filter(~F.col("_stays") | (F.col("n") > 1))
+        .select("row_key", "_stays")
+        .distinct()
+    )
+    decided = staged(spark, decided, "decided")
+    whole = docs.select(key, F.struct("*").alias("_row"))
+    marked = mark_possible(whole, decided, "row_key", "_maybe")
+    checked = marked.filter("_maybe").join(decided, "row_key", "left")
+    once = checked.filter("_stays").groupBy("row_key").agg(F.first("_row").alias("_row"))
+    kept = marked.filter(~F.col("_maybe")).select("_row").unionByName(
+        checked.filter(F.col("_stays").isNull()).select("_row")
+    )
+    return kept.unionByName(once.select("_row")).select("_row.*")
+
+
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return near_duplicates(spark, docs)

@@ -14,12 +14,15 @@ from bourselake.llm import (
     op8_ppm,
     op9_quality,
     op10_packing,
+    op11_merkle,
+    op12_signature_trees,
+    op13_orchard,
 )
 from tests.llm.fixtures import awkward, awkward_rows, empty
 
 MODULES = [
     op1_simhash, op2_language_id, op3_mixing, op4_licenses, op5_minhash, op6_pii,
-    op7_exact_dedup, op8_ppm, op10_packing,
+    op7_exact_dedup, op8_ppm, op10_packing, op11_merkle, op12_signature_trees,
 ]
 
 
@@ -78,3 +81,26 @@ def test_stage_decisions_on_awkward_rows(spark):
     assert 1 in ids(near) and 2 not in ids(near)
     mixed = stages["mixing"](spark, docs, "").collect()
     assert all(r["text"] and r["text"].strip() for r in mixed)
+
+
+def test_packing_takes_clashing_column_names(spark):
+    pack = dict(corpus_pipeline.STAGES)["packing"]
+    found = pack(spark, awkward(spark), "").filter("piece = 0").collect()
+    assert ids(found) == WANTED
+    assert pack(spark, empty(spark), "").collect() == []
+
+
+def test_vectors_on_awkward_rows(spark):
+    nan, far = float("nan"), float("inf")
+    rows = [
+        (3, [0.5] * 20, 1, "x"), (1, [0.25] * 20, None, "x"), (1, [0.25] * 20, None, "x"),
+        (2, None, 1, "x"), (4, [nan] * 20, 1, "x"), (5, [0.1] * 19 + [None], 1, "x"),
+        (6, [far] * 20, 1, "x"), (7, [], 1, "x"), (8, [1.0], 1, "x"), (None, [1e30] * 20, 2, "x"),
+        (9, [-0.001] * 20, 1, None),
+    ]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int, part string")
+    found = op13_orchard.query(spark, table).collect()
+    assert ids([{"doc_id": r["vec_id"]} for r in found]) == [1, 1, 3, 9, None]
+    assert len({r["codebooks_sha256"] for r in found}) == 1
+    assert all(r["error"] == 0 and len(r["code"]) == 32 for r in found)
+    assert op13_orchard.query(spark, table.limit(0)).collect() == []

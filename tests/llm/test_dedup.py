@@ -135,8 +135,6 @@ def test_a_full_key_filter_still_gives_whole_results(spark):
     marked = common.mark_possible(docs, keys, "doc_id", "_maybe", words=1)
     assert marked.filter("_maybe").count() > 250
     assert marked.filter("not _maybe and doc_id % 2 = 0").count() == 0
-    left = common.without_ids(docs, keys)
-    assert sorted(r["doc_id"] for r in left.collect()) == list(range(1, 500, 2))
 
 
 @settings(max_examples=60, deadline=None)
@@ -160,3 +158,22 @@ def test_exact_stage_keeps_what_the_operator_keeps(spark):
     assert stage.agg(F.count_distinct(op7_exact_dedup.normalised(F.col("text")))).first()[0] == (
         stage.count()
     )
+
+
+def test_near_stage_keeps_the_smallest_id_of_each_brute_force_component(spark):
+    texts = near_texts(9)
+    own = [plain_simhash(t) for t in texts]
+    links = [(a, b) for a, b in combinations(range(len(own)), 2) if (own[a] ^ own[b]).bit_count() <= 2]
+    parts = plain_components(links, range(len(own)))
+    kept = op1_simhash.without_near_duplicates(spark, documents(spark, texts))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(parts.values()))
+    assert 0 < len(set(parts.values())) < len(texts)
+
+
+def test_near_stage_decides_rows_that_share_an_id_by_their_texts(spark):
+    words = " ".join(f"w{i}" for i in range(400))
+    rows = [(1, words), (5, words + " x"), (5, "another text"), (5, "another text"), (None, words), (None, "alone")]
+    assert (plain_simhash(words) ^ plain_simhash(words + " x")).bit_count() <= 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted((str(r[0]), r[1]) for r in op1_simhash.without_near_duplicates(spark, docs).collect())
+    assert kept == [("1", words), ("5", "another text"), ("None", "alone")]
