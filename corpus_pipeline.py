@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bourselake.llm import (
-    near_copies,
+    op1_simhash,
     op2_language_id,
     op3_mixing,
     op7_exact_dedup,
@@ -30,8 +30,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest id."""
-    return near_copies.without_near_copies(spark, docs)
+    """One document of each group of near copies stays, that with the smallest id.
+
+    Shingles of three words and at most two differing bits, as in op 1's own query.
+    """
+    return op1_simhash.without_near_duplicates(spark, docs, shingle=3, max_bits=2)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
