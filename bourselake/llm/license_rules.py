@@ -258,7 +258,7 @@ PASSAGES = (
     ("proprietary", "reserved", r"all rights (?:are )?reserved"),
     ("proprietary", "confidential", r"(?:proprietary and )?confidential (?:information )?(?:of|do not distribute)"),
     ("proprietary", "strictly", r"unauthorized (?:copying|reproduction|distribution) .{1,80}? is strictly prohibited"),
-    ("proprietary", "trade", r"contains (?:proprietary|confidential) (?:and trade secret )?information"),
+    ("proprietary", "contains", r"contains (?:proprietary|confidential) (?:and trade secret )?information"),
     ("proprietary", "eula", r"end user licen[cs]e agreement eula"),
     ("proprietary", "reproduced", r"no part of this (?:publication|work|document|book) may be reproduced"),
     ("proprietary", "permission", r"may not be (?:copied|reproduced|redistributed)(?: or distributed)? without (?:the )?(?:prior )?(?:written |express )?permission"),

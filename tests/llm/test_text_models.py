@@ -113,15 +113,13 @@ def test_a_version_is_named_only_where_the_text_has_it(text, labels):
 
 
 def test_every_written_notice_is_found_through_its_keyword():
-    scanner = op4_licenses.Scanner()
-    for label, keyword, words in license_rules.PASSAGES:
-        said = re.sub(r"\.\{\d+,\d+\}\?", "some one", re.sub(r"\(\?:[^()]*(?:\([^()]*\)[^()]*)*\)\?", "", words))
-        while "(?:" in said:
-            said = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)", r"\1", said)
-        said = re.sub(" +", " ", said.replace("non ?", "non ").replace(" ?", " ").replace("[cs]", "s").replace("[1-4] [05]", "4 0"))
-        found = scanner.scan(f"x {said} x")[2]
-        if "(" not in said:
-            assert label in {d.label for d in found}, (label, keyword, said)
+    """Notices without alternatives read as they are written."""
+    scanner, read = op4_licenses.Scanner(), 0
+    for label, _, words in license_rules.PASSAGES:
+        if not re.search(r"[(|?.\[\\]", words):
+            read += 1
+            assert label in {d.label for d in scanner.scan(f"x {words} x")[2]}, (label, words)
+    assert read > 60
 
 
 @needs_tables
