@@ -1,26 +1,36 @@
 """The load job: from requests to a lake, a catalog and a presence table that agree.
 
-Each step reads stored tables and writes whole ones, so that a job that broke off can
-be run again: partitions it has loaded are replaced by the same rows, and the catalog
-records a partition only after its rows are in the lake.
+Each step reads stored tables and writes whole ones. A load goes in waves of months, and a
+wave is recorded before the next one starts: a job that broke off loads only the waves that
+are left when it is run again. The catalog records a partition only after its rows are in
+the lake, and a journal lists the waves done.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourselake.functions import daymask, symbols
 from bourselake.operators import catalog as entries
-from bourselake.operators import coverage, intervals
+from bourselake.operators import coverage, intervals, quality
 from bourselake.operators.coverage import KEY
-from bourselake.session import path_exists, staged
+from bourselake.plans import updates
+from bourselake.session import path_exists, staged, staging
 from bourselake.sources import catalog_store, lake
 
 RANGE = [*KEY, "range_start", "range_end"]
 RANGE_KIND = "dataset string, symbol string, schema_ string, range_start date, range_end date"
+ISSUE_KIND = (
+    "dataset string, symbol string, schema_ string, issue_date date, issue_type string, "
+    "message string, arrival bigint"
+)
+JOURNAL_KIND = (
+    "wave int, first_month int, last_month int, n_partitions bigint, n_rows bigint, "
+    "updated_at timestamp"
+)
 PRESENT_KIND = "dataset string, symbol string, schema_ string, bucket int, slot_mask bigint"
 
 
@@ -29,8 +39,8 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
-        self.lake, self.catalog, self.presence = (
-            f"{root}/{part}" for part in ("lake", "catalog", "presence")
+        self.lake, self.catalog, self.presence, self.issue_table, self.log = (
+            f"{root}/{part}" for part in ("lake", "catalog", "presence", "issues", "journal")
         )
 
     def recorded(self) -> DataFrame:
@@ -39,6 +49,22 @@ class Store:
     def present(self) -> DataFrame:
         return self._table(self.presence, PRESENT_KIND)
 
+    def issues(self) -> DataFrame:
+        """Quality issues by key and date."""
+        return self._table(self.issue_table, ISSUE_KIND)
+
+    def journal(self) -> DataFrame:
+        """The waves that load jobs have done, in order of ``updated_at`` and number."""
+        if path_exists(self.spark, self.log):
+            return self.spark.read.schema(JOURNAL_KIND).parquet(self.log)
+        return self.spark.createDataFrame([], JOURNAL_KIND)
+
+    def merge_notices(self, notices: DataFrame) -> None:
+        """Keep the issues that notices (keys, arrival, text) name; stored ones stay."""
+        found = quality.extract_issues(notices)
+        merged = staged(self.spark, quality.merge_issues(self.issues(), found), "issues")
+        catalog_store.save_catalog(self.spark, merged, self.issue_table)
+
     def _table(self, path: str, kind: str) -> DataFrame:
         if path_exists(self.spark, path):
             return catalog_store.load_catalog(self.spark, path)
@@ -70,41 +96,154 @@ def start_store(
     return store
 
 
-def load_job(
-    store: Store, requests: DataFrame, landing: DataFrame, calendar: DataFrame, updated_at: datetime
-) -> DataFrame:
-    """Load what the requests lack, and nothing else; safe to run again.
+def _bit(position: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), position)
 
-    Gaps come from catalog and presence together. A monthly partition is loaded from its
-    first to its last missing or recorded day, since it is replaced whole; of tick
-    schemas the missing sessions are loaded. Partitions for which nothing has landed
-    stay unrecorded. Returns the loaded row counts by partition.
+
+def _month_no() -> Column:
+    return (F.col("year") * 12 + F.col("month") - 1).cast("int").alias("month_no")
+
+
+def _record(store: Store, loaded: DataFrame, known: DataFrame, updated_at: datetime) -> None:
+    """Add loaded partitions to the presence table and known days to the recorded ranges."""
+    spark = store.spark
+    ranges = intervals.merge_ranges(
+        store.recorded().unionByName(intervals.month_runs(known, KEY)), KEY
+    )
+    day = F.make_date("year", "month", F.greatest(F.col("day"), F.lit(1)))
+    added = coverage.present_partitions(loaded.select(*KEY, day.alias("trade_date")))
+    merged = coverage.merge_present(
+        store.present(), added.withColumn("bucket", F.col("bucket").cast("int"))
+    )
+    with staging(spark) as stage:
+        store.save(stage(ranges, "ranges"), stage(merged, "present"), updated_at)
+
+
+def record_delivery(store: Store, rows: DataFrame, updated_at: datetime) -> None:
+    """Record partitions that ``rows`` have replaced whole, with nothing known of them before.
+
+    Of tick schemas the delivered days are known; of others, each month from its first to
+    its last delivered day, and no other day of it any more.
     """
     spark = store.spark
-    recorded, present = store.recorded(), store.present()
-    days = staged(
-        spark, coverage.days_to_load(requests, recorded, present, calendar), "to-load"
+    days = intervals.days_to_months(rows, KEY, "trade_date")
+    month = F.col("month_no")
+    tick = coverage.is_tick(F.col("schema_"))
+    span = daymask.span_mask(
+        month,
+        daymask.date_of(month, daymask.lowest(F.col("day_mask"))),
+        daymask.date_of(month, daymask.highest(F.col("day_mask"))),
     )
+    with staging(spark) as stage:
+        known = stage(
+            days.select(*KEY, "month_no", F.when(tick, F.col("day_mask")).otherwise(span).alias("day_mask")),
+            "known",
+        )
+        first = daymask.month_first(month)
+        months = known.filter(~tick).select(
+            *KEY, first.alias("range_start"), F.last_day(first).alias("range_end")
+        )
+        left = stage(intervals.subtract_ranges(store.recorded(), months, KEY), "left")
+        parts = rows.groupBy(*lake.LOGICAL_PARTITION).agg(F.count("*").alias("n_rows"))
+        parts = stage(parts, "parts")
+        store.save(left, store.present(), updated_at)
+        _record(store, parts, known, updated_at)
+
+
+def _load_wave(
+    store: Store, days: DataFrame, landing: DataFrame, updated_at: datetime
+) -> DataFrame:
+    """Load a day set and record what has arrived; returns the row counts by partition."""
     loaded = lake.load_days(landing, store.lake, days)
     if loaded.isEmpty():
         return loaded
     tick = coverage.is_tick(F.col("schema_"))
-    month = (F.col("year") * 12 + F.col("month") - 1).cast("int").alias("month_no")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.greatest(F.col("day") - 1, F.lit(0)))
-    arrived = loaded.groupBy(*KEY, month).agg(F.bit_or(bit).alias("_bits"))
+    bit = _bit(F.greatest(F.col("day") - 1, F.lit(0)))
+    arrived = loaded.groupBy(*KEY, _month_no()).agg(F.bit_or(bit).alias("_bits"))
     # Of a month that got rows the whole loaded window is known; of ticks each session.
     mask = F.when(tick, F.col("day_mask").bitwiseAND(F.col("_bits"))).otherwise(F.col("day_mask"))
     known = days.join(arrived, [*KEY, "month_no"]).select(*KEY, "month_no", mask.alias("day_mask"))
-    ranges = intervals.merge_ranges(
-        recorded.unionByName(intervals.month_runs(known, KEY)), KEY
-    )
-    day = F.make_date("year", "month", F.greatest(F.col("day"), F.lit(1)))
-    added = coverage.present_partitions(loaded.select(*KEY, day.alias("trade_date")))
-    merged = coverage.merge_present(present, added.withColumn("bucket", F.col("bucket").cast("int")))
-    store.save(staged(spark, ranges, "ranges"), staged(spark, merged, "present"), updated_at)
+    _record(store, loaded, known, updated_at)
     return loaded
 
 
+def _waves(days: DataFrame, waves: int) -> list[tuple[int, int]]:
+    """First and last month of each wave; a row per month is read.
+
+    A month is not cut. Of more months than waves, waves are about equal in days.
+    """
+    months = days.groupBy("month_no").agg(F.sum(F.bit_count("day_mask")).alias("n"))
+    rows = sorted((r["month_no"], r["n"]) for r in months.collect())
+    total, so_far, cut = sum(n for _, n in rows), 0, []
+    for place, (month, n) in enumerate(rows):
+        wave = place if len(rows) <= waves else min(waves - 1, so_far * waves // total)
+        so_far += n
+        if cut and cut[-1][0] == wave:
+            cut[-1] = (wave, cut[-1][1], month)
+        else:
+            cut.append((wave, month, month))
+    return [(first, last) for _, first, last in cut]
+
+
+def load_job(
+    store: Store,
+    requests: DataFrame,
+    landing: DataFrame,
+    calendar: DataFrame,
+    updated_at: datetime,
+    waves: int = 1,
+    notices: DataFrame | None = None,
+) -> DataFrame:
+    """Load what the requests lack, and nothing else; safe to run again.
+
+    Gaps come from catalog and presence together. A monthly partition is loaded from its
+    first to its last missing or recorded day, since it is replaced whole; of tick
+    schemas the missing sessions are loaded. Partitions for which nothing has landed
+    stay unrecorded. The months are loaded in waves, each recorded before the next. Quality
+    ``notices`` of the requested keys (keys, arrival, text) become issues before the rows
+    they warn of. Returns the loaded row counts by partition.
+    """
+    spark = store.spark
+    if notices is not None:
+        asked = requests.select(*KEY).distinct()
+        store.merge_notices(notices.join(asked, KEY, "left_semi"))
+    days = staged(
+        spark,
+        coverage.days_to_load(requests, store.recorded(), store.present(), calendar),
+        "to-load",
+    )
+    done = None
+    for wave, (first, last) in enumerate(_waves(days, waves)):
+        part = days.filter(F.col("month_no").between(first, last))
+        loaded = _load_wave(store, part, landing, updated_at)
+        n, rows = loaded.agg(F.count("*"), F.sum("n_rows")).first()
+        entry = [(wave, first, last, n, rows or 0, updated_at)]
+        spark.createDataFrame(entry, JOURNAL_KIND).coalesce(1).write.mode("append").parquet(store.log)
+        done = loaded if done is None else done.unionByName(loaded)
+    if done is None:
+        return lake.load_days(landing, store.lake, days)
+    return done
+
+
+def ensure(
+    store: Store,
+    requests: DataFrame,
+    landing: DataFrame,
+    calendar: DataFrame,
+    updated_at: datetime,
+    waves: int = 1,
+) -> DataFrame:
+    """Load what the requests lack, then serve the rows of those that are complete."""
+    with staging(store.spark) as stage:
+        asked = stage(requests.select(*RANGE).distinct(), "asked")
+        load_job(store, asked, landing, calendar, updated_at, waves)
+        status = coverage.coverage_status(asked, store.recorded(), store.present(), calendar)
+        served = staged(store.spark, status.filter("status = 'COMPLETE'").select(*RANGE), "served")
+    if not lake.has_rows(store.spark, store.lake):
+        return landing.limit(0)
+    return lake.rows_in_windows(store.rows(), served)
+
+
 def clear(store: Store, windows: DataFrame, updated_at: datetime) -> DataFrame:
     """Delete windows from the lake, the recorded ranges and the presence table alike."""
     spark = store.spark
@@ -169,3 +308,33 @@ def update_all(
         .alias("outcome"),
         F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"),
     )
+
+
+def roll_all(
+    store: Store,
+    contracts: DataFrame,
+    landing: DataFrame,
+    calendar: DataFrame,
+    as_of: date,
+    updated_at: datetime,
+) -> DataFrame:
+    """Load the successors of expired contracts that are held whole, in the same schemas.
+
+    rolled: rows of the successor arrived; error: it is due, but nothing arrived. A roll is
+    planned once: a successor that is recorded is not planned again, and one that got
+    nothing is.
+    """
+    spark = store.spark
+    plan = updates.auto_roll_plan(store.recorded(), contracts, as_of, ["dataset"])
+    wanted = staged(
+        spark,
+        plan.select("dataset", "symbol", F.explode("schemas").alias("schema_"), "range_start", "range_end"),
+        "rolls",
+    )
+    loaded = load_job(store, wanted, landing, calendar, updated_at)
+    counts = loaded.groupBy(*KEY).agg(F.sum("n_rows").alias("n_rows"))
+    return wanted.join(counts, KEY, "left").select(
+        *RANGE,
+        F.when(F.col("n_rows") > 0, "rolled").otherwise("error").alias("outcome"),
+        F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"),
+    )

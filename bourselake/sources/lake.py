@@ -1,11 +1,16 @@
 """Reading and writing the partitioned lake.
 
-A lake is Parquet partitioned by dataset, schema_, year, month, day (day 0 for
-monthly schemas); the symbol is a sort column, not a folder. Rows carry symbol,
-ts_event_ns, trade_date and their payload.
+A lake is Parquet partitioned by dataset, schema_, year, month, day (day 0 for monthly
+schemas) and symbol_bucket, a hash of the symbol: one symbol's load, deletion or read opens
+one bucket of its days, not all symbols of them. How many buckets a lake has is kept as the
+name of a marker file and never changes. Rows carry symbol, ts_event_ns, trade_date and
+their payload; readers do not see the bucket.
 
-Writes rebalance by partition: adaptive execution then splits a partition that
-holds a large share of the rows over many tasks and files, and packs small ones.
+Writes rebalance by partition: adaptive execution then splits a partition that holds a large
+share of the rows over many tasks and files, and packs small ones.
+
+A write that keeps rows of a folder reads and writes that folder in one job. Dynamic
+overwrite allows that: tasks write aside, and folders are exchanged when all are done.
 """
 
 from __future__ import annotations
@@ -19,10 +24,15 @@ from pyspark.sql.types import StructType
 from bourselake.functions import daymask, eventtime
 from bourselake.operators import coverage, intervals
 from bourselake.operators.coverage import KEY, PARTITION
-from bourselake.session import path_exists, staged, staging
+from bourselake.session import staged, staging
 
 FOLDERS = ["dataset", "schema_", *PARTITION]
 LOGICAL_PARTITION = [*KEY, *PARTITION]
+BUCKET = "symbol_bucket"
+STORED = [*FOLDERS, BUCKET]
+#: Symbol buckets of a new lake.
+BUCKETS = 8
+MARKER = "_symbol_buckets-"
 
 
 def with_partitions(rows: DataFrame) -> DataFrame:
@@ -31,45 +41,85 @@ def with_partitions(rows: DataFrame) -> DataFrame:
     return rows.select("*", year, month, day)
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's path class, the path and its file system."""
+    kind = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = kind(path)
+    return kind, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def bucket_count(spark: SparkSession, path: str) -> int:
+    """Symbol buckets of the lake; a lake that does not exist yet gets its marker."""
+    kind, root, files = _files(spark, path)
+    found = files.globStatus(kind(root, f"{MARKER}*"))
+    if found:
+        return int(found[0].getPath().getName().removeprefix(MARKER))
+    files.mkdirs(root)
+    files.createNewFile(kind(root, f"{MARKER}{BUCKETS}"))
+    return BUCKETS
+
+
+def symbol_bucket(symbol: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(symbol), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether the lake has any partition; all may have been deleted."""
+    kind, root, files = _files(spark, path)
+    return bool(files.globStatus(kind(root, "dataset=*")))
+
+
 def _overwrite_folders(rows: DataFrame, path: str) -> None:
     """Replace the folders present in ``rows``, with all the symbols they hold."""
     (
-        rows.hint("rebalance", *FOLDERS)
-        .sortWithinPartitions(*FOLDERS, "symbol", "ts_event_ns")
+        rows.hint("rebalance", *STORED)
+        .sortWithinPartitions(*STORED, "symbol", "ts_event_ns")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*FOLDERS)
+        .partitionBy(*STORED)
         .parquet(path)
     )
 
 
-def write_partitions(rows: DataFrame, path: str) -> None:
+def _folder_bounds(folders: DataFrame) -> Column | None:
+    """Literal bounds on partition columns that hold for all given folders; one row is read."""
+    day = F.make_date("year", "month", F.greatest("day", F.lit(1)))
+    first, last, buckets = folders.agg(F.min(day), F.max(day), F.collect_set(BUCKET)).first()
+    if first is None:
+        return None
+    return _in_partition_window(first, last) & F.col(BUCKET).isin(*buckets)
+
+
+def write_partitions(rows: DataFrame, path: str, stored: bool = False) -> None:
     """Replace exactly the logical partitions in ``rows``, key and day or month.
 
-    Other symbols in the same folders are carried over, so loading one symbol never
-    loses another. The path may not exist yet. Rows are stored before anything is
-    overwritten, and again with what is carried: a retry starts from stored rows.
+    Other symbols in the same folders are carried over, so loading one symbol never loses
+    another; only folders of its bucket are read and written. The path may not exist yet.
+    Rows are stored once before anything is overwritten, so that their partitions and their
+    contents agree; ``stored`` says that they come from a stored table already.
     """
     spark = rows.sparkSession
+    buckets = bucket_count(spark, path)
     with staging(spark) as stage:
-        fresh = stage(rows, "fresh")
-        if path_exists(spark, path):
-            replaced = fresh.select(*LOGICAL_PARTITION).distinct()
-            touched = replaced.select(*FOLDERS).distinct()
+        fresh = rows if stored else stage(rows, "fresh")
+        fresh = fresh.withColumn(BUCKET, symbol_bucket(F.col("symbol"), buckets))
+        if has_rows(spark, path):
+            replaced = fresh.select(*LOGICAL_PARTITION, BUCKET).distinct()
+            bounds = _folder_bounds(replaced)
+            if bounds is None:
+                return
             carried = (
                 _read_stored(spark, path)
-                .join(touched, FOLDERS, "left_semi")
-                .join(replaced, LOGICAL_PARTITION, "left_anti")
+                .filter(bounds)
+                .join(replaced.select(*STORED).distinct(), STORED, "left_semi")
+                .join(replaced.drop(BUCKET), LOGICAL_PARTITION, "left_anti")
             )
-            fresh = stage(fresh.unionByName(carried, allowMissingColumns=True), "merged")
+            fresh = fresh.unionByName(carried, allowMissingColumns=True)
         _overwrite_folders(fresh, path)
 
 
 def _read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of the lake; nanosecond timestamps are read as integers.
-
-    A lake whose partitions have all been deleted is an empty folder without schema.
-    """
+    """All rows of the lake; nanosecond timestamps are read as integers."""
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     return spark.read.parquet(path)
 
@@ -97,11 +147,24 @@ def read_lake(
     start: date | None = None,
     end: date | None = None,
     merge_schema: bool = False,
+    symbols: list[str] | None = None,
 ) -> DataFrame:
-    """Rows of the inclusive date window; prunes partitions, then filters rows."""
+    """Rows of the inclusive date window; prunes partitions, then filters rows.
+
+    With ``symbols`` only their buckets are opened; files are sorted by symbol, so that the
+    scan skips the row groups of others.
+    """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     rows = spark.read.option("mergeSchema", merge_schema).parquet(path)
-    return date_window(rows.filter(_in_partition_window(start, end)), start, end)
+    rows = rows.filter(_in_partition_window(start, end))
+    if symbols is not None and BUCKET in rows.columns:
+        n = bucket_count(spark, path)
+        named = spark.createDataFrame([(s,) for s in symbols], "symbol string")
+        wanted = named.select(symbol_bucket(F.col("symbol"), n)).distinct().collect()
+        rows = rows.filter(F.col(BUCKET).isin(*[r[0] for r in wanted]))
+    if symbols is not None:
+        rows = rows.filter(F.col("symbol").isin(*symbols))
+    return date_window(rows.drop(BUCKET), start, end)
 
 
 def read_files(
@@ -233,7 +296,7 @@ def load_days(landing: DataFrame, path: str, days: DataFrame) -> DataFrame:
         counts = fresh.groupBy(*LOGICAL_PARTITION).agg(F.count("*").alias("n_rows"))
         counts = staged(spark, counts, "loaded")
         if not fresh.isEmpty():
-            write_partitions(fresh, path)
+            write_partitions(fresh, path, stored=True)
     return counts
 
 
@@ -254,33 +317,47 @@ def delete_windows(spark: SparkSession, path: str, windows: DataFrame) -> DataFr
     Rows outside the windows survive, also within a monthly partition. Folders
     left without rows are dropped. Returns the deleted logical partitions.
     """
-    days = staged(spark, intervals.ranges_to_months(windows, KEY), "days")
-    start, end = _span(days)
-    lake = _read_stored(spark, path).filter(_in_partition_window(start, end))
-    doomed = (
-        _only_days(lake, days).groupBy(*LOGICAL_PARTITION).agg(F.count("*").alias("n_rows"))
-    )
-    deleted = staged(spark, doomed, "deleted")
+    n = bucket_count(spark, path)
+    nothing = "dataset string, symbol string, schema_ string, year int, month int, day int, n_rows bigint"
     with staging(spark) as stage:
-        touched = stage(deleted.select(*FOLDERS).distinct(), "touched")
-        survivors = _mark(lake.join(touched, FOLDERS, "left_semi"), days).filter("not _hit")
-        kept = stage(survivors.select(*lake.columns), "survivors")
-        _overwrite_folders(kept, path)
+        days = stage(intervals.ranges_to_months(windows, KEY), "days")
+        start, end = _span(days)
+        if start is None or not has_rows(spark, path):
+            return spark.createDataFrame([], nothing)
+        asked = days.select("dataset", "schema_", symbol_bucket(F.col("symbol"), n), "month_no")
+        buckets = [r[0] for r in asked.select(BUCKET).distinct().collect()]
+        lake = _read_stored(spark, path).filter(_in_partition_window(start, end))
+        marked = _mark(lake.filter(F.col(BUCKET).isin(*buckets)), days)
+        per_part = marked.groupBy(*LOGICAL_PARTITION, BUCKET).agg(
+            F.count("*").alias("n"), F.count_if("_hit").alias("n_rows")
+        )
+        counts = stage(per_part, "counts")
+        deleted = staged(
+            spark, counts.filter("n_rows > 0").select(*LOGICAL_PARTITION, "n_rows"), "deleted"
+        )
+        folders = counts.groupBy(*STORED).agg(F.sum("n").alias("n"), F.sum("n_rows").alias("gone"))
+        touched = stage(folders.filter("gone > 0"), "touched")
+        kept_in = touched.filter("n > gone").select(*STORED)
+        bounds = _folder_bounds(kept_in)
+        if bounds is not None:
+            survivors = _mark(lake.filter(bounds).join(kept_in, STORED, "left_semi"), days)
+            _overwrite_folders(survivors.filter("not _hit").select(*lake.columns), path)
         # A dynamic overwrite leaves a partition it gets no rows for as it was.
-        emptied = touched.join(kept.select(*FOLDERS).distinct(), FOLDERS, "left_anti")
-        _drop_folders(spark, path, emptied)
+        _drop_folders(spark, path, touched.filter("n = gone"))
     return deleted
 
 
 def _drop_folders(spark: SparkSession, path: str, partitions: DataFrame) -> None:
     """Remove partition folders, streaming their names to the driver.
 
-    The names are metadata: at most datasets x schemas x days of the windows.
+    The names are metadata: at most datasets x schemas x days x buckets of the windows.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(conf)
-    for row in partitions.select(*FOLDERS).toLocalIterator():
-        name = "/".join(f"{c}={row[c]}" for c in FOLDERS)
-        files.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
+    kind, root, files = _files(spark, path)
+    for row in partitions.select(*STORED).toLocalIterator():
+        name = "/".join(f"{c}={row[c]}" for c in STORED)
+        files.delete(kind(root, name), True)
+        above = kind(root, name).getParent()
+        # Folders above a deleted one go with the last one below them.
+        while not above.equals(root) and not files.listStatus(above):
+            files.delete(above, False)
+            above = above.getParent()

@@ -1,5 +1,6 @@
 import json
 import os
+import time
 from datetime import datetime
 
 import pytest
@@ -275,13 +276,57 @@ def test_a_stopped_ingest_is_finished_by_the_next(spark, tmp_path, monkeypatch):
         ingest.ingest_available(spark, landing, rows.schema, lambda r: r, path, state, max_files=1)
 
     with monkeypatch.context() as broken:
-        broken.setattr(lake, "write_partitions", lambda *_: 1 / 0)
+        broken.setattr(lake, "write_partitions", lambda *_, **__: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             take()
     take()
     assert sorted(p for *_, p in held(spark, path)) == [1.0, 2.0]
 
 
+def test_a_call_stopped_after_the_lake_is_written_is_finished_before_new_files(spark, tmp_path, monkeypatch):
+    """The old delivery is replaced by the new one, as if the call had not been stopped."""
+    landing, path, state = (str(tmp_path / n) for n in ("landing", "lake", "state"))
+    first = tick_rows(spark, [(*ES, "2024-01-10", 3), (*ES, "2024-01-11", 3)])
+    first.coalesce(1).write.mode("append").parquet(landing)
+
+    def take():
+        ingest.ingest_available(spark, landing, first.schema, lambda r: r, path, state, max_files=1)
+
+    for step in ("drop_path", "Commits.add"):
+        with monkeypatch.context() as broken:
+            if step == "drop_path":
+                broken.setattr(ingest, "drop_path", lambda *_: 1 / 0)
+            else:
+                add = ingest.Commits.add
+                broken.setattr(ingest.Commits, "add", lambda self, s, n: 1 / 0 if s == "done" else add(self, s, n))
+            with pytest.raises(ZeroDivisionError):
+                take()
+        again = tick_rows(spark, [(*ES, "2024-01-10", 4)])
+        again.coalesce(1).write.mode("append").parquet(landing)
+        take()
+        assert [(day, p) for _, _, day, p in held(spark, path)] == [("2024-01-10", 4.0), ("2024-01-11", 3.0)]
+        take()
+        assert len(held(spark, path)) == 2
+        first.coalesce(1).write.mode("append").parquet(landing)
+
+
+def test_of_rows_delivered_twice_in_a_call_the_later_file_stays(spark, tmp_path):
+    """Parts of a partition stay whole; rows of one identity come from the latest file."""
+    landing, path, state = (str(tmp_path / n) for n in ("landing", "lake", "state"))
+    noon = F.col("ts_event_ns")
+    old = tick_rows(spark, [(*ES, "2024-01-10", 1), (*ES, "2024-01-10", 1), (*NQ, "2024-01-10", 1)])
+    old.coalesce(1).write.mode("append").parquet(landing)
+    time.sleep(1.1)
+    new = tick_rows(spark, [(*ES, "2024-01-10", 2)])
+    new.union(new.withColumn("ts_event_ns", noon + 1)).coalesce(1).write.mode("append").parquet(landing)
+    for name, identity, prices in (("a", [*KEY, "ts_event_ns"], [1, 2, 2]), ("b", None, [1, 1, 1, 2, 2])):
+        ingest.ingest_available(
+            spark, landing, old.schema, lambda r: r, path + name, state + name, max_files=1, identity=identity
+        )
+        assert sorted(p for *_, p in held(spark, path + name)) == prices
+        assert "_file" not in lake.read_lake(spark, path + name).columns
+
+
 def test_a_load_keeps_other_symbols_of_the_same_day(spark, lake_path):
     write(spark, lake_path, [(*ES, "2024-01-10", 1), (*NQ, "2024-01-10", 2)])
     again = tick_rows(spark, [(*ES, "2024-01-10", 9), (*ES, "2024-01-10", 8)])
@@ -326,3 +371,64 @@ def test_nanosecond_files_read_without_a_prepared_session(spark, tmp_path):
         pa.table({"ts_event": pa.array([10**18], pa.timestamp("ns"))}), str(tmp_path / "n.parquet")
     )
     assert lake.read_files(spark, [str(tmp_path / "n.parquet")]).first()[0] == 10**18
+
+
+def _file_names(path):
+    from pathlib import Path
+
+    return {p.relative_to(path).as_posix() for p in Path(path).rglob("*.parquet")}
+
+
+def test_one_symbol_touches_one_bucket(spark, lake_path):
+    """Loading and clearing one symbol leaves the files of other buckets as they are."""
+    symbols = [f"S{i}" for i in range(30)]
+    days = ["2024-01-08", "2024-01-09"]
+    rows = [("GLBX.MDP3", s, "trades", day, 1) for s in symbols for day in days]
+    lake.write_partitions(lake.with_partitions(tick_rows(spark, rows)), lake_path)
+    n = lake.bucket_count(spark, lake_path)
+    own = spark.createDataFrame([("S7",)], "symbol string").select(lake.symbol_bucket(F.col("symbol"), n)).first()[0]
+    before = _file_names(lake_path)
+    again = tick_rows(spark, [("GLBX.MDP3", "S7", "trades", "2024-01-09", 2)])
+    lake.write_partitions(lake.with_partitions(again), lake_path)
+    loaded = _file_names(lake_path)
+    gone = {f for f in before - loaded}
+    assert gone and all(f"day=9/symbol_bucket={own}/" in f for f in gone | (loaded - before))
+    window = ranges(spark, [("2024-01-08", "2024-01-08")], ("GLBX.MDP3", "S7", "trades"))
+    lake.delete_windows(spark, lake_path, window)
+    cleared = _file_names(lake_path)
+    assert all(f"day=8/symbol_bucket={own}/" in f for f in loaded ^ cleared)
+    left = lake.read_lake(spark, lake_path)
+    assert left.count() == 59 and left.filter("symbol = 'S7'").first().price == 2.0
+    assert lake.BUCKET not in left.columns
+
+
+def test_reading_one_symbol_opens_its_bucket_only(spark, lake_path):
+    rows = [("GLBX.MDP3", f"S{i}", "trades", "2024-01-08", i) for i in range(30)]
+    lake.write_partitions(lake.with_partitions(tick_rows(spark, rows)), lake_path)
+    found = lake.read_lake(spark, lake_path, symbols=["S7"])
+    assert [r.price for r in found.collect()] == [7.0]
+    opened = {f.split("symbol_bucket=")[1].split("/")[0] for f in found.inputFiles()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "symbol_bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert len(opened) >= 1
+
+
+def test_rows_are_stored_once_before_a_write(spark, lake_path, monkeypatch):
+    """The rows go to scratch once; what is carried over goes straight into the lake."""
+    from pyspark.sql import DataFrameWriter
+
+    written, write = [], DataFrameWriter.parquet
+    rows = tick_rows(spark, [("GLBX.MDP3", s, "trades", "2024-01-08", 1) for s in ("A", "B", "C")])
+    lake.write_partitions(lake.with_partitions(rows), lake_path)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **o: (written.append(path), write(self, path, **o)))
+    lake.write_partitions(lake.with_partitions(rows.filter("symbol = 'A'")), lake_path)
+    assert len(written) == 2 and written[-1] == lake_path
+
+
+def test_a_lake_that_lost_all_rows_can_be_loaded_again(spark, lake_path):
+    rows = tick_rows(spark, [("GLBX.MDP3", "A", "trades", "2024-01-08", 1)])
+    lake.write_partitions(lake.with_partitions(rows), lake_path)
+    lake.delete_windows(spark, lake_path, ranges(spark, [("2024-01-01", "2024-01-31")], ("GLBX.MDP3", "A", "trades")))
+    assert not lake.has_rows(spark, lake_path)
+    lake.write_partitions(lake.with_partitions(rows), lake_path)
+    assert lake.read_lake(spark, lake_path).count() == 1

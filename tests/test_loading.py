@@ -6,6 +6,8 @@ import pytest
 
 from bourselake.operators import catalog, coverage
 from bourselake.plans import loading, updates
+from bourselake.sources import lake
+from bourselake.streaming import ingest
 
 from .conftest import KEYED, d, pairs, ranges, tick_rows
 
@@ -149,3 +151,134 @@ def test_contracts_reach_the_end_of_the_century(contract):
     assert tuple(years) == (2000, 2099, 21 * 12 * 100)
     last = contract.filter("symbol = 'NQZ99'").first()
     assert (str(last.expiration), last.next_symbol) == ("2099-12-18", "NQH00")
+
+
+def agree(store, calendar):
+    """Nothing stale, and presence as the rows have it."""
+    recorded, rows = store.recorded(), store.rows()
+    assert catalog.verify_catalog(recorded, store.present(), calendar).count() == 0
+    kept = [*coverage.KEY, "bucket", "slot_mask"]
+    rebuilt = coverage.present_partitions(rows).select(*kept).collect()
+    assert sorted(map(tuple, rebuilt)) == sorted(map(tuple, store.present().select(*kept).collect()))
+
+
+def valid(store):
+    found = catalog.validate_catalog(store.recorded(), store.rows()).collect()
+    assert {r.finding for r in found} == {"ok"}
+
+
+MONTHS = [f"2024-{x}" for x in "01-09 01-10 02-07 02-08 03-06 03-07 04-09 04-10 05-07 05-08".split()]
+
+
+def five_months(spark):
+    asked = ranges(spark, [("2024-01-09", "2024-05-08")], BARS).unionByName(
+        spark.createDataFrame([(*TRADES, d(x), d(x)) for x in MONTHS], KEYED + "range_start date, range_end date")
+    )
+    return asked, tick_rows(spark, [(*k, x, 7) for k in (BARS, TRADES) for x in MONTHS])
+
+
+def test_a_broken_job_loads_only_the_waves_that_are_left(spark, tmp_path, calendar, monkeypatch):
+    store = loading.Store(spark, str(tmp_path / "waves"))
+    asked, rows = five_months(spark)
+    load, seen = lake.load_days, []
+
+    def breaking(landing, path, days):
+        seen.append(sorted({r.month_no % 12 + 1 for r in days.collect()}))
+        if len(seen) == 3:
+            raise RuntimeError("stopped in the third wave")
+        return load(landing, path, days)
+
+    monkeypatch.setattr(lake, "load_days", breaking)
+    with pytest.raises(RuntimeError):
+        loading.load_job(store, asked, rows, calendar, NOW, waves=5)
+    assert [(r.wave, r.n_rows) for r in store.journal().orderBy("wave").collect()] == [(0, 4), (1, 4)]
+    agree(store, calendar)
+    done = seen[:2]
+    loaded = loading.load_job(store, asked, rows, calendar, NOW, waves=5)
+    assert done == [[1], [2]] and seen[3:] == [[3], [4], [5]]
+    assert sorted({r.month for r in loaded.collect()}) == [3, 4, 5]
+    assert store.rows().count() == 20 and store.journal().count() == 5
+    agree(store, calendar)
+    assert loading.load_job(store, asked, rows, calendar, NOW, waves=5).count() == 0
+
+
+def test_waves_load_what_one_wave_loads(spark, tmp_path, calendar):
+    asked, rows = five_months(spark)
+    kept = []
+    for waves in (1, 2, 40):
+        store = loading.Store(spark, str(tmp_path / f"waves{waves}"))
+        loading.load_job(store, asked, rows, calendar, NOW, waves=waves)
+        assert store.journal().count() == min(waves, 5)
+        kept.append((sorted(map(str, store.rows().collect())), sorted(map(str, store.recorded().collect()))))
+    assert kept[0] == kept[1] == kept[2]
+
+
+def test_notices_of_the_landing_become_issues_in_the_same_job(spark, store, calendar):
+    notices = spark.createDataFrame(
+        [
+            (*TRADES, 1, "reduced quality: 2024-01-10 (missing), 2024-01-11. See."),
+            (*TRADES, 2, "reduced quality: 2024-01-10 (pending)."),
+            ("GLBX.MDP3", "YM.c.0", "trades", 1, "reduced quality: 2024-01-10 (missing)."),
+        ],
+        KEYED + "arrival bigint, text string",
+    )
+    asked = ranges(spark, [("2024-01-08", "2024-01-12")], TRADES)
+    for _ in range(2):
+        loading.load_job(store, asked, landing(spark), calendar, NOW, notices=notices)
+        found = store.issues().collect()
+        assert sorted((r.symbol, str(r.issue_date), r.issue_type) for r in found) == [
+            ("NQ.c.0", "2024-01-10", "missing"), ("NQ.c.0", "2024-01-11", "degraded"),
+        ]
+
+
+def test_ensure_loads_and_serves_in_one_call(spark, store, calendar):
+    asked = ranges(spark, [("2024-01-08", "2024-01-10")], TRADES).unionByName(
+        ranges(spark, [("2024-01-11", "2024-01-12")], TRADES)
+    )
+    served = loading.ensure(store, asked, landing(spark), calendar, NOW)
+    # Of the second window nothing has landed, so it is not served.
+    assert sorted((str(r.trade_date), r.price) for r in served.collect()) == [
+        ("2024-01-08", 3.0), ("2024-01-09", 4.0), ("2024-01-10", 100.0),
+    ]
+    agree(store, calendar)
+
+
+def test_rolls_are_carried_out(spark, tmp_path, calendar, contract):
+    old, new = (("GLBX.MDP3", s, "ohlcv-1d") for s in ("NQH24", "NQM24"))
+    last = contract.filter("symbol = 'NQH24'").first()
+    rows = tick_rows(spark, [(*old, str(last.window_start), 1), (*old, str(last.expiration), 2)])
+    known = ranges(spark, [(str(last.window_start), str(last.expiration))], old)
+    store = loading.start_store(spark, str(tmp_path / "rolls"), rows, known, NOW)
+    arriving = tick_rows(spark, [(*new, "2024-04-02", 5), (*new, "2024-05-02", 6)])
+    done = loading.roll_all(store, contract, arriving, calendar, d("2024-06-01"), NOW).collect()
+    assert [(r.symbol, r.outcome, r.n_rows) for r in done] == [("NQM24", "rolled", 2)]
+    assert loading.roll_all(store, contract, arriving, calendar, d("2024-06-01"), NOW).count() == 0
+
+
+def test_a_stream_keeps_its_store_true(spark, tmp_path, calendar, monkeypatch):
+    """Lake, presence and recorded days agree after each call, also after a stopped one."""
+    place, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    store = loading.Store(spark, str(tmp_path / "store"))
+
+    def take(rows):
+        rows.coalesce(1).write.mode("append").parquet(place)
+        ingest.ingest_into_store(store, place, rows.schema, lambda r: r, state, NOW, max_files=1)
+
+    take(tick_rows(spark, [(*k, f"2024-01-{i:02}", i) for k in (BARS, TRADES) for i in (8, 9, 10, 11)]))
+    agree(store, calendar)
+    valid(store)
+    assert pairs(store.recorded().filter("schema_ = 'trades'")) == [("2024-01-08", "2024-01-11")]
+    # The month of bars is delivered again, shorter; what it had before is not known any more.
+    with monkeypatch.context() as broken:
+        broken.setattr(loading, "record_delivery", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            take(tick_rows(spark, [(*BARS, "2024-01-09", 90), (*TRADES, "2024-01-12", 12)]))
+    take(tick_rows(spark, [(*TRADES, "2024-01-10", 100)]))
+    agree(store, calendar)
+    valid(store)
+    assert pairs(store.recorded().filter("schema_ = 'ohlcv-1m'")) == [("2024-01-09", "2024-01-09")]
+    assert pairs(store.recorded().filter("schema_ = 'trades'")) == [("2024-01-08", "2024-01-12")]
+    prices = sorted(r.price for r in store.rows().filter("schema_ = 'trades'").collect())
+    assert prices == [8.0, 9.0, 11.0, 12.0, 100.0]
+    asked = ranges(spark, [("2024-01-08", "2024-01-12")], TRADES)
+    assert status(store, calendar, asked)[0] == "COMPLETE"
