@@ -185,8 +185,8 @@ def rebuild_orphans(catalog: DataFrame, rows: DataFrame) -> DataFrame:
 def verify_catalog(
     catalog: DataFrame, present: DataFrame, calendar: DataFrame
 ) -> DataFrame:
-    """Recorded ranges whose partitions are not all there."""
-    checked = coverage.coverage_status(catalog, catalog, present, calendar)
+    """Recorded ranges whose partitions are not all there; their days are all recorded."""
+    checked = coverage.coverage_status(catalog, None, present, calendar)
     return checked.filter(F.col("status") != "COMPLETE")
 
 

@@ -20,6 +20,7 @@ from bourselake.operators import calendars, intervals
 KEY = ["dataset", "symbol", "schema_"]
 REQUEST = [*KEY, "range_start", "range_end"]
 PARTITION = ["year", "month", "day"]
+PARTS = "array<struct<month_no:int,day_mask:bigint>>"
 
 
 def is_tick(schema: Column) -> Column:
@@ -155,54 +156,113 @@ def cached_partitions(
     return _list_partitions(buckets, F.col("present_mask"))
 
 
-def request_months(
+def recorded_buckets(ranges: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """Recorded days as masks: (keys, bucket, full_mask, parts), to be stored with the ranges.
+
+    Of tick schemas a bucket is a month and ``full_mask`` its recorded days. Of others it is
+    a year: ``full_mask`` has the months recorded whole, ``parts`` the days of the others
+    (month_no, day_mask). Ranges may overlap; there is no window over them, and one shuffle.
+    """
+    first = daymask.month_first(F.col("month_no"))
+    whole = daymask.span_mask(F.col("month_no"), first, F.last_day(first))
+    tick, day_mask = is_tick(F.col("schema_")), F.col("day_mask")
+    bucket = F.when(tick, F.col("month_no")).otherwise(F.year(first)).alias("bucket")
+    days = (
+        intervals.split_months(ranges.select(*keys, "range_start", "range_end"), keys)
+        .select(*keys, bucket, "month_no", "day_mask")
+        .repartition(*keys, "bucket")
+        .groupBy(*keys, "bucket", "month_no")
+        .agg(F.bit_or("day_mask").alias("day_mask"))
+    )
+    full = F.when(tick, day_mask).when(day_mask == whole, daymask.month_bit(first))
+    part = F.when(~tick & (day_mask != whole), F.struct("month_no", "day_mask"))
+    none = F.lit(0).cast("bigint")
+    return days.groupBy(*keys, "bucket").agg(
+        F.coalesce(F.bit_or(full), none).alias("full_mask"), F.collect_list(part).alias("parts")
+    )
+
+
+def merge_recorded(stored: DataFrame, added: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """Masks of both tables; a month that two parts complete stays in parts and counts."""
+    return (
+        stored.unionByName(added)
+        .groupBy(*keys, "bucket")
+        .agg(F.bit_or("full_mask").alias("full_mask"), F.flatten(F.collect_list("parts")).alias("parts"))
+    )
+
+
+def _request_slots(
     requests: DataFrame,
-    recorded: DataFrame,
+    recorded: DataFrame | None,
     present: DataFrame,
     calendar: DataFrame,
-    keys: list[str] = KEY,
+    keys: list[str],
     verify_files: bool = True,
 ) -> DataFrame:
-    """What each request has in each month: total, cached, and the days of its gaps.
+    """Per request and bucket the expected slots and those that are cached.
 
-    A partition counts as cached if every requested day of it is recorded in the
-    catalog and, with ``verify_files``, it has rows. One row per request and month:
-    recorded days, presence and sessions meet as bit masks.
+    A partition is cached if every requested day of it is recorded and, with
+    ``verify_files``, it has rows. ``recorded`` holds ranges or the masks that
+    ``recorded_buckets`` makes of them; without it all days count as recorded. Requests,
+    records and presence meet on (key, bucket), each shuffled once.
     """
-    tick = is_tick(F.col("schema_"))
-    asked = requests.select(*keys, "range_start", "range_end").distinct()
-    first = daymask.month_first(F.col("month_no"))
-    months = (
-        intervals.split_months(asked, asked.columns)
-        .withColumnRenamed("day_mask", "window_mask")
-        .withColumn("bucket", _bucket(first))
-        .withColumn("_calendar", F.when(tick, calendars.calendar_of(F.col("dataset"))))
-    )
-    sessions = calendars.session_months(calendar).withColumnRenamed("calendar", "_calendar")
-    known = intervals.ranges_to_months(recorded, keys).withColumnRenamed(
-        "day_mask", "_recorded"
-    )
-    every, none = (F.lit(n).cast("bigint") for n in (daymask.ALL_DAYS, 0))
-    joined = (
-        months.join(F.broadcast(sessions), ["_calendar", "month_no"], "left")
-        .join(known, [*keys, "month_no"], "left")
-        .join(present, [*keys, "bucket"], "left")
-    )
-    window, seen = F.col("window_mask"), F.coalesce("slot_mask", none)
-    recorded_days = F.coalesce("_recorded", none)
-    day_seen = F.when(tick, seen).otherwise(
-        F.when(F.getbit(seen, F.month(first) - 1) == 1, every).otherwise(none)
-    )
-    sound = recorded_days.bitwiseAND(day_seen) if verify_files else recorded_days
-    wanted = F.when(tick, window.bitwiseAND(F.coalesce("session_mask", every))).otherwise(window)
-    gap = daymask.minus(wanted, sound)
-    whole = (gap == 0).cast("bigint")
+    buckets = _request_buckets(requests, calendar, keys)
+    none, tick = F.lit(0).cast("bigint"), is_tick(F.col("schema_"))
+    seen = F.coalesce("slot_mask", none)
+    ok = seen if verify_files else F.col("expected_mask")
+    joined = buckets.join(present.select(*keys, "bucket", "slot_mask"), [*keys, "bucket"], "left")
+    parts = F.lit(None).cast(PARTS)
+    if recorded is not None:
+        masks = recorded if "full_mask" in recorded.columns else recorded_buckets(recorded, keys)
+        joined = joined.join(masks, [*keys, "bucket"], "left")
+        parts = F.coalesce("parts", F.array().cast(PARTS))
+        asked = lambda p: daymask.span_mask(p["month_no"], F.col("range_start"), F.col("range_end"))
+        covered = F.filter(parts, lambda p: daymask.minus(asked(p), _part_days(parts, p)) == 0)
+        bits = F.transform(covered, lambda p: _one_bit(F.pmod(p["month_no"], F.lit(12))))
+        some = F.aggregate(bits, none, lambda a, b: a.bitwiseOR(b))
+        # Parts are rare; the loop over them runs where there are any.
+        partial = F.when(~tick & (F.size(parts) > 0), some).otherwise(none)
+        ok = ok.bitwiseAND(F.coalesce("full_mask", none).bitwiseOR(partial))
+    known = F.coalesce("full_mask", none) if recorded is not None else F.col("expected_mask")
     return joined.select(
-        *asked.columns,
-        "month_no",
-        gap.alias("gap_mask"),
-        F.when(tick, F.bit_count(wanted)).otherwise(F.lit(1)).cast("bigint").alias("n_total"),
-        F.when(tick, F.bit_count(daymask.minus(wanted, gap))).otherwise(whole).cast("bigint").alias("n_cached"),
+        *buckets.columns,
+        F.col("expected_mask").bitwiseAND(ok).alias("cached_mask"),
+        seen.alias("_seen"),
+        known.alias("_full"),
+        parts.alias("_parts"),
+    )
+
+
+def _part_days(parts: Column, part: Column) -> Column:
+    """All recorded days of the part's month; a merged table may have several parts of it."""
+    none = F.lit(0).cast("bigint")
+    same = F.filter(parts, lambda p: p["month_no"] == part["month_no"])
+    return F.aggregate(same, none, lambda a, p: a.bitwiseOR(p["day_mask"]))
+
+
+def _one_bit(position: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), position)
+
+
+def _gap_months(slots: DataFrame, verify_files: bool = True) -> Column:
+    """Array of (month_no, day_mask): the days each month of the bucket lacks."""
+    tick = is_tick(F.col("schema_"))
+    gap = daymask.minus(F.col("expected_mask"), F.col("cached_mask"))
+    none, every = (F.lit(n).cast("bigint") for n in (0, daymask.ALL_DAYS))
+
+    def lacking(slot: Column) -> Column:
+        month = (F.col("bucket") * 12 + slot - 1).cast("int")
+        asked = daymask.span_mask(month, F.col("range_start"), F.col("range_end"))
+        same = F.filter("_parts", lambda p: p["month_no"] == month)
+        some = F.aggregate(same, none, lambda a, p: a.bitwiseOR(p["day_mask"]))
+        known = F.when(F.getbit("_full", slot - 1) == 1, every).otherwise(F.coalesce(some, none))
+        if verify_files:
+            known = F.when(F.getbit("_seen", slot - 1) == 1, known).otherwise(none)
+        return F.struct(month.alias("month_no"), daymask.minus(asked, known).alias("day_mask"))
+
+    days = F.struct(F.col("bucket").cast("int").alias("month_no"), gap.alias("day_mask"))
+    return F.when(gap == 0, F.array().cast(PARTS)).when(tick, F.array(days)).otherwise(
+        F.transform(daymask.days_in(gap), lacking)
     )
 
 
@@ -218,7 +278,7 @@ def _with_status(counted: DataFrame) -> DataFrame:
 
 def coverage_status(
     requests: DataFrame,
-    recorded: DataFrame,
+    recorded: DataFrame | None,
     present: DataFrame,
     calendar: DataFrame,
     keys: list[str] = KEY,
@@ -228,12 +288,15 @@ def coverage_status(
 
     A request that expects no partition at all is COMPLETE: nothing to load.
     """
-    months = request_months(requests, recorded, present, calendar, keys, verify_files)
-    counted = months.groupBy(*keys, "range_start", "range_end").agg(
-        F.sum("n_total").alias("total_partitions"),
-        F.sum("n_cached").alias("cached_partitions"),
-    )
-    return _with_status(counted)
+    slots = _request_slots(requests, recorded, present, calendar, keys, verify_files)
+    return _with_status(slots.groupBy(*keys, "range_start", "range_end").agg(*_counts()))
+
+
+def _counts() -> list[Column]:
+    return [
+        F.sum(F.bit_count(f"{mask}_mask").cast("bigint")).alias(f"{name}_partitions")
+        for mask, name in (("expected", "total"), ("cached", "cached"))
+    ]
 
 
 def status_and_gaps(
@@ -249,14 +312,11 @@ def status_and_gaps(
     many gaps as it has days.
     """
     request = [*keys, "range_start", "range_end"]
-    months = request_months(requests, recorded, present, calendar, keys)
-    month = F.struct("month_no", F.col("gap_mask").alias("day_mask"))
+    slots = _request_slots(requests, recorded, present, calendar, keys)
     counted = _with_status(
-        months.groupBy(*request).agg(
-            F.sum("n_total").alias("total_partitions"),
-            F.sum("n_cached").alias("cached_partitions"),
-            F.sort_array(F.collect_list(F.when(F.col("gap_mask") != 0, month))).alias("_gaps"),
-        )
+        slots.withColumn("_gaps", _gap_months(slots))
+        .groupBy(*request)
+        .agg(*_counts(), F.sort_array(F.flatten(F.collect_list("_gaps"))).alias("_gaps"))
     )
     runs = F.flatten(
         F.transform(
@@ -270,26 +330,20 @@ def status_and_gaps(
             ),
         )
     )
-    none = F.array().cast("array<struct<gap_start:date,gap_end:date>>")
-    # A run that ends a month goes on in the next one if that starts with a run.
-    joined = F.aggregate(
-        runs,
-        none,
-        lambda done, run: F.when(
-            (F.size(done) > 0)
-            & (F.date_add(F.try_element_at(done, F.lit(-1))["gap_end"], 1) == run["gap_start"]),
-            F.concat(
-                F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.try_element_at(done, F.lit(-1))["gap_start"].alias("gap_start"),
-                        run["gap_end"].alias("gap_end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(run))),
+    # A run that ends a month goes on in the next one if that starts with a run: gaps start
+    # where the run before does not end the day before, and end where the next does not.
+    at = lambda i: F.try_element_at("_runs", i)
+    starts = F.filter("_runs", lambda r, i: (i == 0) | (F.date_add(at(i)["gap_end"], 1) != r["gap_start"]))
+    ends = F.filter(
+        "_runs",
+        lambda r, i: F.coalesce(F.date_add(r["gap_end"], 1) != at(i + 2)["gap_start"], F.lit(True)),
+    )
+    gaps = F.zip_with(
+        starts,
+        ends,
+        lambda a, b: F.struct(a["gap_start"].alias("gap_start"), b["gap_end"].alias("gap_end")),
     )
-    return counted.withColumn("gaps", joined).drop("_gaps")
+    return counted.withColumn("_runs", runs).withColumn("gaps", gaps).drop("_gaps", "_runs")
 
 
 def days_to_load(
@@ -301,16 +355,28 @@ def days_to_load(
     the missing and the recorded days of that month. Of tick schemas the missing
     sessions are loaded, each a partition of its own.
     """
-    months = request_months(requests, recorded, present, calendar)
-    known = intervals.ranges_to_months(recorded, KEY).withColumnRenamed("day_mask", "_known")
+    slots = _request_slots(requests, recorded, present, calendar, KEY)
+    known = F.when(is_tick(F.col("schema_")), F.lit(0).cast("bigint")).otherwise(
+        F.when(F.getbit("_full", F.pmod("_gap.month_no", F.lit(12))) == 1, F.lit(daymask.ALL_DAYS)).otherwise(
+            F.aggregate(
+                F.filter("_parts", lambda p: p["month_no"] == F.col("_gap.month_no")),
+                F.lit(0).cast("bigint"),
+                lambda a, p: a.bitwiseOR(p["day_mask"]),
+            )
+        )
+    )
+    first = daymask.month_first(F.col("month_no"))
+    inside = daymask.span_mask(F.col("month_no"), first, F.last_day(first))
     merged = (
-        months.groupBy(*KEY, "month_no")
-        .agg(F.bit_or("gap_mask").alias("gap"))
+        slots.withColumn("_gap", F.explode(_gap_months(slots)))
+        .select(*KEY, F.col("_gap.month_no").alias("month_no"), F.col("_gap.day_mask").alias("gap"), known.alias("_known"))
+        .groupBy(*KEY, "month_no")
+        .agg(F.bit_or("gap").alias("gap"), F.bit_or("_known").alias("_known"))
         .filter("gap <> 0")
-        .join(known, [*KEY, "month_no"], "left")
+        .withColumn("_known", F.col("_known").bitwiseAND(inside))
     )
     month = F.col("month_no")
-    span = F.col("gap").bitwiseOR(F.coalesce("_known", F.lit(0).cast("bigint")))
+    span = F.col("gap").bitwiseOR(F.col("_known"))
     whole = daymask.span_mask(
         month,
         daymask.date_of(month, daymask.lowest(span)),

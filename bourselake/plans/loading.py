@@ -31,6 +31,10 @@ JOURNAL_KIND = (
     "wave int, first_month int, last_month int, n_partitions bigint, n_rows bigint, "
     "updated_at timestamp"
 )
+KNOWN_KIND = (
+    "dataset string, symbol string, schema_ string, bucket int, full_mask bigint, "
+    f"parts {coverage.PARTS}"
+)
 PRESENT_KIND = "dataset string, symbol string, schema_ string, bucket int, slot_mask bigint"
 
 
@@ -39,13 +43,18 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
-        self.lake, self.catalog, self.presence, self.issue_table, self.log = (
-            f"{root}/{part}" for part in ("lake", "catalog", "presence", "issues", "journal")
+        self.lake, self.catalog, self.masks, self.presence, self.issue_table, self.log = (
+            f"{root}/{part}"
+            for part in ("lake", "catalog", "masks", "presence", "issues", "journal")
         )
 
     def recorded(self) -> DataFrame:
         return self._table(self.catalog, RANGE_KIND).select(*RANGE)
 
+    def known(self) -> DataFrame:
+        """The recorded days as masks, kept beside the ranges: what status and gaps read."""
+        return self._table(self.masks, KNOWN_KIND)
+
     def present(self) -> DataFrame:
         return self._table(self.presence, PRESENT_KIND)
 
@@ -70,7 +79,20 @@ class Store:
             return catalog_store.load_catalog(self.spark, path)
         return self.spark.createDataFrame([], kind)
 
-    def save(self, ranges: DataFrame, present: DataFrame, updated_at: datetime) -> None:
+    def save(
+        self,
+        ranges: DataFrame,
+        present: DataFrame,
+        updated_at: datetime,
+        known: DataFrame | None = None,
+    ) -> None:
+        """Write the next version of the tables; masks are made of the ranges if not given."""
+        masks = coverage.recorded_buckets(ranges) if known is None else known
+        catalog_store.save_catalog(
+            self.spark,
+            masks.select(*KEY, F.col("bucket").cast("int").alias("bucket"), "full_mask", "parts"),
+            self.masks,
+        )
         listed = ranges.select(
             *RANGE,
             symbols.symbol_type(F.col("symbol")).alias("stype"),
@@ -107,16 +129,16 @@ def _month_no() -> Column:
 def _record(store: Store, loaded: DataFrame, known: DataFrame, updated_at: datetime) -> None:
     """Add loaded partitions to the presence table and known days to the recorded ranges."""
     spark = store.spark
-    ranges = intervals.merge_ranges(
-        store.recorded().unionByName(intervals.month_runs(known, KEY)), KEY
-    )
+    runs = intervals.month_runs(known, KEY)
+    ranges = intervals.merge_ranges(store.recorded().unionByName(runs), KEY)
+    masks = coverage.merge_recorded(store.known(), coverage.recorded_buckets(runs))
     day = F.make_date("year", "month", F.greatest(F.col("day"), F.lit(1)))
     added = coverage.present_partitions(loaded.select(*KEY, day.alias("trade_date")))
     merged = coverage.merge_present(
         store.present(), added.withColumn("bucket", F.col("bucket").cast("int"))
     )
     with staging(spark) as stage:
-        store.save(stage(ranges, "ranges"), stage(merged, "present"), updated_at)
+        store.save(stage(ranges, "ranges"), stage(merged, "present"), updated_at, stage(masks, "masks"))
 
 
 def record_delivery(store: Store, rows: DataFrame, updated_at: datetime) -> None:
@@ -209,7 +231,7 @@ def load_job(
         store.merge_notices(notices.join(asked, KEY, "left_semi"))
     days = staged(
         spark,
-        coverage.days_to_load(requests, store.recorded(), store.present(), calendar),
+        coverage.days_to_load(requests, store.known(), store.present(), calendar),
         "to-load",
     )
     done = None
@@ -237,7 +259,7 @@ def ensure(
     with staging(store.spark) as stage:
         asked = stage(requests.select(*RANGE).distinct(), "asked")
         load_job(store, asked, landing, calendar, updated_at, waves)
-        status = coverage.coverage_status(asked, store.recorded(), store.present(), calendar)
+        status = coverage.coverage_status(asked, store.known(), store.present(), calendar)
         served = staged(store.spark, status.filter("status = 'COMPLETE'").select(*RANGE), "served")
     if not lake.has_rows(store.spark, store.lake):
         return landing.limit(0)

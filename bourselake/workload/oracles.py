@@ -1437,3 +1437,33 @@ open_requests AS (SELECT symbol, volume,
     AS reject_reason
 FROM open_requests r LEFT JOIN far_dim d ON d.symbol = upper(r.symbol)""",
 )
+
+# All ticks arrive: what has rows is recorded, and nothing else.
+_oracle(
+    "stream_into_store",
+    TICKS,
+    f"tick_days AS (SELECT DISTINCT {KEY}, trade_date FROM ticks)",
+    select=_store("ticks", "tick_days"),
+)
+# A request is complete after the load if every session of it has ticks. Ticks of other
+# days are there if they were loaded before the snapshot.
+_oracle(
+    "ensure_serve",
+    CALENDAR,
+    TICKS,
+    TICK_REQUESTS,
+    f"""
+open_requests AS (SELECT r.dataset, r.symbol, r.schema_, r.range_start
+  FROM tick_requests r JOIN cal c
+    ON c.calendar = CASE r.dataset WHEN 'GLBX.MDP3' THEN 'CMES' ELSE 'XNYS' END
+   AND c.is_session AND c.day BETWEEN r.range_start AND r.range_end
+  WHERE NOT EXISTS (SELECT 1 FROM ticks t WHERE t.dataset = r.dataset
+    AND t.symbol = r.symbol AND t.trade_date = c.day))""",
+    select=f"""SELECT event_id, t.dataset, t.symbol, t.schema_, trade_date, price_cents
+FROM tick_calendar t JOIN tick_requests r ON r.dataset = t.dataset AND r.symbol = t.symbol
+  AND t.trade_date BETWEEN r.range_start AND r.range_end
+JOIN cal c ON c.calendar = t.calendar AND c.day = t.trade_date
+WHERE (t.trade_date <= t.snapshot_date OR c.is_session)
+  AND NOT EXISTS (SELECT 1 FROM open_requests o WHERE o.dataset = r.dataset
+    AND o.symbol = r.symbol AND o.range_start = r.range_start)""",
+)

@@ -1087,4 +1087,33 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.partition_row_counts(lake.read_lake(spark, path))
 
 
+@query
+def stream_into_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks arrive by a stream; rows, recorded days and presence of the store."""
+    store = loading.Store(spark, scratch_path(spark, "store"))
+    ingest.ingest_into_store(
+        store,
+        landing=f"{sf_dir}/events.parque[t]",
+        schema=views.table(spark, sf_dir, "events").schema,
+        to_rows=lambda events: views.ticks_from_events(events).select(*LAKE_COLUMNS),
+        checkpoint=scratch_path(spark, "stream-state"),
+        updated_at=views.UPDATED_AT,
+    )
+    return _store_summary(store)
+
+
+@query
+def ensure_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests' gaps are loaded in waves; the rows of those now complete."""
+    served = loading.ensure(
+        _snapshot_store(spark, sf_dir),
+        views.tick_requests(spark, sf_dir),
+        _lake_rows(spark, sf_dir),
+        views.calendar(spark),
+        views.UPDATED_AT,
+        waves=2,
+    )
+    return served.select("event_id", *KEY, "trade_date", "price_cents")
+
+
 FLAGSHIP = coverage_status

@@ -154,8 +154,14 @@ def test_contracts_reach_the_end_of_the_century(contract):
 
 
 def agree(store, calendar):
-    """Nothing stale, and presence as the rows have it."""
+    """Nothing stale, presence as the rows have it, and masks that say what the ranges say."""
     recorded, rows = store.recorded(), store.rows()
+    asked = recorded.select(*coverage.KEY, "range_start", "range_end").unionByName(
+        recorded.selectExpr(*coverage.KEY, "date_sub(range_start, 5) AS range_start", "date_add(range_end, 9) AS range_end")
+    )
+    both = [coverage.coverage_status(asked, k, store.present(), calendar) for k in (recorded, store.known())]
+    assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
+    assert "_island" not in both[1]._jdf.queryExecution().optimizedPlan().toString()
     assert catalog.verify_catalog(recorded, store.present(), calendar).count() == 0
     kept = [*coverage.KEY, "bucket", "slot_mask"]
     rebuilt = coverage.present_partitions(rows).select(*kept).collect()
