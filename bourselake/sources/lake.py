@@ -30,8 +30,8 @@ FOLDERS = ["dataset", "schema_", *PARTITION]
 LOGICAL_PARTITION = [*KEY, *PARTITION]
 BUCKET = "symbol_bucket"
 STORED = [*FOLDERS, BUCKET]
-#: Symbol buckets of a new lake.
-BUCKETS = 8
+#: Symbol buckets of a lake that was not created with another number.
+BUCKETS = 4
 MARKER = "_symbol_buckets-"
 
 
@@ -59,6 +59,15 @@ def bucket_count(spark: SparkSession, path: str) -> int:
     return BUCKETS
 
 
+def create(spark: SparkSession, path: str, buckets: int) -> None:
+    """Begin a lake with this many symbol buckets; a lake of many symbols wants more."""
+    kind, root, files = _files(spark, path)
+    if files.exists(root):
+        raise ValueError(f"{path} exists already")
+    files.mkdirs(root)
+    files.createNewFile(kind(root, f"{MARKER}{buckets}"))
+
+
 def symbol_bucket(symbol: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(symbol), F.lit(buckets)).cast("int").alias(BUCKET)
 

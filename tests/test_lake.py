@@ -384,8 +384,10 @@ def test_one_symbol_touches_one_bucket(spark, lake_path):
     symbols = [f"S{i}" for i in range(30)]
     days = ["2024-01-08", "2024-01-09"]
     rows = [("GLBX.MDP3", s, "trades", day, 1) for s in symbols for day in days]
+    lake.create(spark, lake_path, 16)
     lake.write_partitions(lake.with_partitions(tick_rows(spark, rows)), lake_path)
     n = lake.bucket_count(spark, lake_path)
+    assert n == 16
     own = spark.createDataFrame([("S7",)], "symbol string").select(lake.symbol_bucket(F.col("symbol"), n)).first()[0]
     before = _file_names(lake_path)
     again = tick_rows(spark, [("GLBX.MDP3", "S7", "trades", "2024-01-09", 2)])
