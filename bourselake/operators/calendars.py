@@ -46,6 +46,8 @@ XNYS_ONE_OFF_CLOSURES = (
 # One-off 13:00 closes of XNYS.
 XNYS_ONE_OFF_EARLY_CLOSES = (date(1997, 12, 26), date(1999, 12, 31), date(2003, 12, 26))
 
+EXCEPTION_KINDS = ("closed", "early", "open")
+
 
 def calendar_of(dataset: Column) -> Column:
     """Calendar a dataset follows; unknown datasets follow the default."""
@@ -151,8 +153,55 @@ def _at(day: Column, clock: Column) -> Column:
     return F.concat_ws(" ", day.cast("string"), clock).cast("timestamp_ntz")
 
 
-def calendar_day(spark: SparkSession) -> DataFrame:
-    """One row per (calendar, day): session flags, hours, session numbering."""
+def _overlay(exceptions: DataFrame) -> DataFrame:
+    """One exception per calendar and day: a closure before an early close before an open
+    day; of several early closes the earliest. At most as many rows as the dimension."""
+    rank = F.when(F.col("kind") == "closed", 0).when(F.col("kind") == "early", 1).otherwise(2)
+    known = exceptions.filter(
+        F.col("kind").isin(*EXCEPTION_KINDS)
+        & F.col("calendar").isin(*TRADING_HOURS)
+        & F.col("day").between(FIRST_DAY, LAST_DAY)
+    )
+    return known.groupBy("calendar", "day").agg(
+        F.min_by("kind", rank).alias("_kind"),
+        F.min(F.when(F.col("kind") == "early", F.col("close_clock"))).alias("_close"),
+    )
+
+
+def _with_exceptions(rows: DataFrame, exceptions: DataFrame) -> DataFrame:
+    """Let exceptions override what the rules say of a day."""
+    kind = F.col("_kind")
+    early = kind == "early"
+    regular = F.create_map(
+        *[F.lit(x) for n, h in TRADING_HOURS.items() for x in (n, h[3])]
+    )
+    shortened = F.create_map(
+        *[F.lit(x) for n, h in TRADING_HOURS.items() for x in (n, h[4])]
+    )
+    clock = (
+        F.when(early, F.coalesce("_close", F.element_at(shortened, F.col("calendar"))))
+        .when(kind == "open", F.element_at(regular, F.col("calendar")))
+        .otherwise(F.col("close_clock"))
+    )
+    joined = rows.join(F.broadcast(_overlay(exceptions)), ["calendar", "day"], "left")
+    return joined.withColumns(
+        {
+            "is_session": F.coalesce(kind != "closed", F.col("is_session")),
+            "is_early_close": F.coalesce(early, F.col("is_early_close")),
+            "close_clock": clock,
+        }
+    ).drop("_kind", "_close")
+
+
+def calendar_day(spark: SparkSession, exceptions: DataFrame | None = None) -> DataFrame:
+    """One row per (calendar, day): session flags, hours, session numbering.
+
+    ``exceptions`` (calendar, day, kind, close_clock) override the rules: kind ``closed``
+    takes a session away, ``early`` makes it a session that closes at ``close_clock`` local
+    time (null: the calendar's early close), ``open`` an ordinary session, weekends and
+    holidays included. Other kinds, unknown calendars and days outside the dimension are
+    passed over. Session numbers and neighbours follow the overridden days.
+    """
     n_days = (LAST_DAY - FIRST_DAY).days + 1
     days = spark.range(n_days).select(
         F.date_add(F.lit(FIRST_DAY), F.col("id").cast("int")).alias("day")
@@ -180,6 +229,8 @@ def calendar_day(spark: SparkSession) -> DataFrame:
             )
         )
     rows = flagged.select("day", F.inline(F.array(*entries)))
+    if exceptions is not None:
+        rows = _with_exceptions(rows, exceptions)
 
     upto = Window.partitionBy("calendar").orderBy("day")
     # Running backwards; a frame of following rows would be recomputed per row.

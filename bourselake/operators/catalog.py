@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bourselake.functions import symbols
+from bourselake.functions import daymask, symbols
 from bourselake.operators import coverage, intervals
 from bourselake.operators.coverage import KEY
 
@@ -105,23 +105,30 @@ def validate_catalog(catalog: DataFrame, rows: DataFrame) -> DataFrame:
     finding: ok, mismatch (bounds differ, or more than one range), orphan (rows
     without entry) or no_rows (entry without rows).
     """
-    recorded = catalog.groupBy(*KEY).agg(
-        F.min("range_start").alias("recorded_start"),
-        F.max("range_end").alias("recorded_end"),
-        F.count("*").alias("recorded_ranges"),
-    )
-    actual = observed_range(rows)
+    return validate_bounds(catalog, observed_range(rows))
+
+
+def _finding() -> Column:
     same = (
         F.col("recorded_start").eqNullSafe(F.col("first_date"))
         & F.col("recorded_end").eqNullSafe(F.col("last_date"))
         & (F.col("recorded_ranges") == 1)
     )
-    finding = (
-        F.when(F.col("recorded_ranges").isNull(), "orphan")
+    return (
+        F.when(F.coalesce("recorded_ranges", F.lit(0)) == 0, "orphan")
         .when(F.col("first_date").isNull(), "no_rows")
         .when(same, "ok")
         .otherwise("mismatch")
     )
+
+
+def validate_bounds(catalog: DataFrame, actual: DataFrame) -> DataFrame:
+    """As ``validate_catalog``, from each key's first and last date, however they are known."""
+    recorded = catalog.groupBy(*KEY).agg(
+        F.min("range_start").alias("recorded_start"),
+        F.max("range_end").alias("recorded_end"),
+        F.count("*").alias("recorded_ranges"),
+    )
     return recorded.join(actual, KEY, "full").select(
         *KEY,
         "recorded_start",
@@ -129,7 +136,7 @@ def validate_catalog(catalog: DataFrame, rows: DataFrame) -> DataFrame:
         F.coalesce("recorded_ranges", F.lit(0).cast("bigint")).alias("recorded_ranges"),
         "first_date",
         "last_date",
-        finding.alias("finding"),
+        _finding().alias("finding"),
     )
 
 
@@ -140,25 +147,59 @@ def fix_catalog(
 
     Wrong and orphan keys get one [first, last] range as seen in the rows, which
     validates as ok, or the true islands of days if ``single_range`` is false. Right keys
-    stay as they are. One range per key is found with a single join of both sides.
+    stay as they are. One range per key is found with a single join of both sides, islands
+    with a single grouping of recorded ranges and observed day masks.
     """
+    if not single_range:
+        return _fix_with_islands(catalog, rows)
     findings = validate_catalog(catalog, rows)
-    if single_range:
-        repaired = F.col("finding").isin("mismatch", "orphan")
-        return findings.select(
-            *KEY,
-            F.when(repaired, F.col("first_date")).otherwise(F.col("recorded_start")).alias("range_start"),
-            F.when(repaired, F.col("last_date")).otherwise(F.col("recorded_end")).alias("range_end"),
-            symbols.symbol_type(F.col("symbol")).alias("stype"),
-        )
-    wrong = findings.filter(F.col("finding").isin("mismatch", "orphan"))
-    fixed = observed_ranges(rows).join(wrong.select(*KEY), KEY, "left_semi")
-    kept = catalog.select(*KEY, "range_start", "range_end").join(
-        wrong.select(*KEY), KEY, "left_anti"
+    repaired = F.col("finding").isin("mismatch", "orphan")
+    return findings.select(
+        *KEY,
+        F.when(repaired, F.col("first_date")).otherwise(F.col("recorded_start")).alias("range_start"),
+        F.when(repaired, F.col("last_date")).otherwise(F.col("recorded_end")).alias("range_end"),
+        symbols.symbol_type(F.col("symbol")).alias("stype"),
+    )
+
+
+def _fix_with_islands(catalog: DataFrame, rows: DataFrame) -> DataFrame:
+    """Recorded ranges and observed months of a key side by side, decided in one pass.
+
+    Rows shrink to one mask per key and month map-side, so a key brings at most one item
+    per calendar month and one per recorded range, however many rows it has.
+    """
+    observed = intervals.days_to_months(
+        rows.filter(F.col("trade_date").isNotNull()), KEY, "trade_date"
+    )
+    recorded = catalog.select(*KEY, "range_start", "range_end")
+    month = F.struct("month_no", "day_mask")
+    span = F.struct("range_start", "range_end")
+    # A range without bounds is still an entry: which side a row is of is told apart.
+    both = observed.select(*KEY, month.alias("_month")).unionByName(
+        recorded.select(*KEY, span.alias("_range")), allowMissingColumns=True
+    )
+    keys = both.groupBy(*KEY).agg(
+        F.sort_array(F.collect_list("_month")).alias("_months"),
+        F.collect_list("_range").alias("_ranges"),
+        F.min("_range.range_start").alias("recorded_start"),
+        F.max("_range.range_end").alias("recorded_end"),
+        F.count("_range").alias("recorded_ranges"),
     )
-    return kept.unionByName(fixed).withColumn(
-        "stype", symbols.symbol_type(F.col("symbol"))
+    first, last = F.get("_months", F.lit(0)), F.try_element_at("_months", F.lit(-1))
+    keys = keys.withColumns(
+        {
+            "first_date": daymask.date_of(first["month_no"], daymask.lowest(first["day_mask"])),
+            "last_date": daymask.date_of(last["month_no"], daymask.highest(last["day_mask"])),
+            "_runs": intervals.mask_runs(
+                F.col("_months"), coverage.is_tick(F.col("schema_"))
+            ),
+        }
     )
+    wrong = _finding().isin("mismatch", "orphan")
+    islands = intervals.join_runs(F.col("_runs"))
+    return keys.select(
+        *KEY, F.inline(F.when(wrong, islands).otherwise(F.col("_ranges")))
+    ).withColumn("stype", symbols.symbol_type(F.col("symbol")))
 
 
 def rebuild_orphans(catalog: DataFrame, rows: DataFrame) -> DataFrame:

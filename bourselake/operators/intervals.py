@@ -8,7 +8,7 @@ holds. Requests meet gaps on (key, year), never on the key alone.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourselake.functions import daymask
@@ -92,6 +92,62 @@ def months_to_ranges(months: DataFrame, keys: list[str]) -> DataFrame:
     return _islands(month_runs(months, keys), keys)
 
 
+def mask_runs(months: Column, by_day: Column) -> Column:
+    """Runs of an ascending array of (month_no, day_mask), each from first to last day.
+
+    Where ``by_day``, a run holds consecutive days of a month; elsewhere a month is one
+    run. ``low`` and ``high`` number a run's ends, in days or months: runs follow each
+    other without a gap where one's high is next to the other's low.
+    """
+
+    def days(month: Column) -> Column:
+        number = month["month_no"]
+
+        def run(part: Column) -> Column:
+            start = daymask.date_of(number, part["first"])
+            end = daymask.date_of(number, part["last"])
+            return _run(start, end, F.unix_date(start), F.unix_date(end))
+
+        return F.transform(daymask.runs_in(month["day_mask"]), run)
+
+    def whole(month: Column) -> Column:
+        number, mask = month["month_no"], month["day_mask"]
+        start = daymask.date_of(number, daymask.lowest(mask))
+        end = daymask.date_of(number, daymask.highest(mask))
+        return _run(start, end, number, number)
+
+    return F.when(by_day, F.flatten(F.transform(months, days))).otherwise(
+        F.transform(months, whole)
+    )
+
+
+def _run(start: Column, end: Column, low: Column, high: Column) -> Column:
+    return F.struct(
+        start.alias("start"),
+        end.alias("end"),
+        low.cast("int").alias("low"),
+        high.cast("int").alias("high"),
+    )
+
+
+def join_runs(runs: Column) -> Column:
+    """Maximal ranges of an ascending array of runs, read off neighbouring runs."""
+
+    def opens(run: Column, at: Column) -> Column:
+        before = F.get(runs, at - 1)
+        return (at == 0) | (before["high"] + 1 < run["low"])
+
+    def closes(run: Column, at: Column) -> Column:
+        after = F.get(runs, at + 1)
+        return (at == F.size(runs) - 1) | (run["high"] + 1 < after["low"])
+
+    return F.zip_with(
+        F.filter(runs, opens),
+        F.filter(runs, closes),
+        lambda a, b: F.struct(a["start"].alias("range_start"), b["end"].alias("range_end")),
+    )
+
+
 def _split_years(rows: DataFrame, start: str, end: str) -> DataFrame:
     years = F.sequence(F.year(start), F.year(end))
     return rows.filter(F.col(start) <= F.col(end)).withColumn("_year", F.explode(years))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bourselake.functions import symbols
+
 RANGES = T.ArrayType(
     T.StructType([T.StructField("start", T.DateType()), T.StructField("end", T.DateType())])
 )
@@ -51,6 +54,26 @@ def read_entry_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def write_entry_files(entries: DataFrame, root: str) -> None:
+    """Export entries, one row per key with its nested ranges, as one JSON file per key.
+
+    Files are indented, so they span lines, and lie in folders of dataset, symbol and
+    schema; what is in a file tells its key, too.
+    """
+    folders = {
+        "in_dataset": F.col("dataset"),
+        "in_symbol": symbols.path_symbol(F.col("symbol")),
+        "in_schema": F.col("schema_"),
+    }
+    (
+        entries.withColumns(folders)
+        .withColumnRenamed("schema_", "schema")
+        .write.partitionBy(*folders)
+        .option("pretty", True)
+        .json(root)
+    )
+
+
 def _versions(spark: SparkSession, path: str, finished: bool = True) -> list[int]:
     """Version numbers in order; only those whose write job has finished by default."""
     jvm = spark.sparkContext._jvm

@@ -33,3 +33,13 @@ def stored(
     rows.coalesce(1).write.parquet(path)
     _STORED[key] = (path, rows.schema)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def read_exceptions(spark: SparkSession, path: str) -> DataFrame:
+    """Calendar exceptions from CSV files with a header; see ``calendars.calendar_day``."""
+    return (
+        spark.read.schema("calendar string, day date, kind string, close_clock string")
+        .option("header", True)
+        .option("mode", "FAILFAST")
+        .csv(path)
+    )

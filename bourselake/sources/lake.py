@@ -33,6 +33,14 @@ STORED = [*FOLDERS, BUCKET]
 #: Symbol buckets of a lake that was not created with another number.
 BUCKETS = 4
 MARKER = "_symbol_buckets-"
+# Row groups small enough to be skipped inside a large file, which is sorted by symbol. What
+# bounds cannot rule out, the symbol dictionary does, or a Bloom filter where a row group
+# has too many symbols for a dictionary (none is written for the others).
+LOOK_UPS = {
+    "parquet.block.size": str(16 << 20),
+    "parquet.bloom.filter.enabled#symbol": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
 
 
 def with_partitions(rows: DataFrame) -> DataFrame:
@@ -85,6 +93,7 @@ def _overwrite_folders(rows: DataFrame, path: str) -> None:
         .sortWithinPartitions(*STORED, "symbol", "ts_event_ns")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**LOOK_UPS)
         .partitionBy(*STORED)
         .parquet(path)
     )

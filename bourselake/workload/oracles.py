@@ -402,6 +402,20 @@ _oracle(
   CASE schema_ WHEN 'trades' THEN day(trade_date) ELSE 0 END AS day,
   count(*) AS n_rows FROM both_rows GROUP BY ALL""",
 )
+MINUTE_KEY = "dataset, replace(symbol, '.', '_') AS symbol, 'ohlcv-1m' AS schema_"
+_oracle(
+    "layout_export_import",
+    TICKS,
+    select=f"""SELECT {MINUTE_KEY}, year(trade_date) AS year, month(trade_date) AS month,
+  0 AS day, count(*) AS n_rows FROM ticks GROUP BY ALL""",
+)
+_oracle(
+    "layout_sizes",
+    TICKS,
+    select=f"""SELECT {MINUTE_KEY},
+  count(DISTINCT date_trunc('month', trade_date)) AS n_partitions,
+  count(*) AS n_rows, true AS sizes_agree FROM ticks GROUP BY ALL""",
+)
 _oracle(
     "size_rollup",
     select="""SELECT source, lang, CAST(sum(n_chars) AS BIGINT) AS size_bytes,
@@ -475,6 +489,12 @@ _oracle(
     select=f"SELECT *, {STYPE} AS stype FROM observed",
 )
 
+_oracle(
+    "entry_import",
+    TICKS,
+    CATALOG,
+    select=f"SELECT *, {STYPE} AS stype FROM catalog",
+)
 _oracle(
     "catalog_write",
     TICKS,
@@ -935,6 +955,13 @@ _oracle(
     select=f"""SELECT {KEY}, min(trade_date) AS first_date, max(trade_date) AS last_date
 FROM both_rows GROUP BY {KEY}""",
 )
+_oracle(
+    "observed_range_files",
+    TICKS,
+    select=f"""SELECT {MINUTE_KEY}, year(trade_date) AS year, month(trade_date) AS month,
+  0 AS day, min(trade_date) AS first_date, max(trade_date) AS last_date
+FROM ticks GROUP BY ALL""",
+)
 
 _oracle(
     "served_read",
@@ -1082,6 +1109,13 @@ findings AS (SELECT {KEY}, recorded_start, recorded_end,
   FROM recorded_keys FULL JOIN actual USING ({KEY}))"""
 
 _oracle("catalog_validate", TICKS, CATALOG, FINDINGS, select="SELECT * FROM findings")
+_oracle(
+    "catalog_validate_files",
+    TICKS,
+    CATALOG,
+    FINDINGS,
+    select="SELECT * REPLACE ('ohlcv-1m' AS schema_) FROM findings",
+)
 _oracle(
     "catalog_fix",
     TICKS,

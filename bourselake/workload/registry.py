@@ -22,7 +22,7 @@ from bourselake.operators import (
 from bourselake.operators import symbol_master as masters
 from bourselake.operators.coverage import KEY
 from bourselake.plans import loading, updates
-from bourselake.session import scratch_path
+from bourselake.session import drop_path, scratch_path, staged
 from bourselake.sources import catalog_store, lake, layout
 from bourselake.streaming import ingest
 from bourselake.workload import views
@@ -135,12 +135,78 @@ def partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _exported(
+    spark: SparkSession, rows: DataFrame, read: Callable[[str], DataFrame]
+) -> DataFrame:
+    """What ``read`` makes of an export of the rows; the export is removed again."""
+    root = scratch_path(spark, "layout")
+    try:
+        layout.write_layout(rows, root)
+        return staged(spark, read(root), "layout_read")
+    finally:
+        drop_path(spark, root)
+
+
 @query
 def layout_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = layout.parse_paths(views.partition_files(spark, sf_dir))
     return files.select(*KEY, "year", "month", "day", "n_rows")
 
 
+@query
+def layout_export_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute rows exported as files, found again by listing, counted by reading."""
+    return _exported(
+        spark,
+        views.minute_rows(spark, sf_dir),
+        lambda root: layout.partition_counts(spark, root).select(
+            *KEY, "year", "month", "day", "n_rows"
+        ),
+    )
+
+
+@query
+def layout_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions per key from a listing; its sizes agree with those of the files read."""
+
+    def read(root: str) -> DataFrame:
+        listed = layout.parse_paths(layout.file_manifest(spark, root))
+        sizes = layout.size_rollup(listed, KEY).withColumnRenamed("size_bytes", "listed")
+        seen = layout.partition_counts(spark, root).groupBy(*KEY).agg(
+            F.count("*").alias("n_partitions"),
+            F.sum("n_rows").alias("n_rows"),
+            F.sum("n_files").alias("files_read"),
+            F.sum("size_bytes").alias("bytes_read"),
+        )
+        agree = (F.col("listed") == F.col("bytes_read")) & (
+            F.col("n_files") == F.col("files_read")
+        )
+        return sizes.join(seen, KEY, "full").select(
+            *KEY, "n_partitions", "n_rows", (agree & (F.col("listed") > 0)).alias("sizes_agree")
+        )
+
+    return _exported(spark, views.minute_rows(spark, sf_dir), read)
+
+
+@query
+def entry_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog written as one JSON file per key and read back into ranges."""
+    root = scratch_path(spark, "entries")
+    span = F.struct(F.col("range_start").alias("start"), F.col("range_end").alias("end"))
+    entries = (
+        views.catalog(spark, sf_dir)
+        .groupBy(*KEY, "stype")
+        .agg(F.sort_array(F.collect_list(span)).alias("ranges"))
+        .withColumn("updated_at", F.lit(views.UPDATED_AT))
+    )
+    try:
+        catalog_store.write_entry_files(entries, root)
+        ranges = catalog.entry_ranges(catalog_store.read_entry_files(spark, root))
+        return staged(spark, ranges.drop("updated_at"), "entries_read")
+    finally:
+        drop_path(spark, root)
+
+
 @query
 def size_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.size_rollup(views.manifest(spark, sf_dir), ["source", "lang"])
@@ -677,6 +743,16 @@ def observed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def observed_range_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds of every exported file of minute rows, from footers alone."""
+    return _exported(
+        spark,
+        views.minute_rows(spark, sf_dir),
+        lambda root: layout.observed_range_files(spark, root),
+    )
+
+
 # --- inventory -------------------------------------------------------------
 
 
@@ -784,6 +860,14 @@ def catalog_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def catalog_validate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog, taken for one of minutes, against the footers of exported files."""
+    bounds = observed_range_files(spark, sf_dir)
+    recorded = views.catalog(spark, sf_dir).withColumn("schema_", F.lit(views.MINUTES))
+    return catalog.validate_bounds(recorded, layout.key_bounds(bounds))
+
+
 @query
 def catalog_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.fix_catalog(

@@ -46,6 +46,7 @@ STATUS_DATASET = {"F": "IFUS.IMPACT"}
 OTHER_BAR_DATASET = "GLBX.MDP3"
 FLAG_SCHEMA = {"A": "ohlcv-1d", "N": "ohlcv-1h"}
 OTHER_FLAG_SCHEMA = "ohlcv-1m"
+MINUTES = "ohlcv-1m"
 FEED_ROOTS = (*SUPPORTED_ROOTS, "AAPL", "CL", "VX", "ZC")
 
 
@@ -118,6 +119,13 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def minute_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks as rows of a schema with one file a month, of which footers tell bounds."""
+    return ticks(spark, sf_dir).select(
+        "dataset", "symbol", F.lit(MINUTES).alias("schema_"), "trade_date", "ts_event_ns"
+    )
+
+
 def rows_of_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and date of every tick and bar."""
     columns = [*KEY, "trade_date"]
