@@ -11,8 +11,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, MapType, StructField, StructType
 
 from bourselake.functions import eventtime, symbols
 from bourselake.operators import coverage
@@ -140,12 +142,35 @@ def footers_answer(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def _file_columns(spark: SparkSession, root: str) -> list[StructField]:
+    """Columns in the files of an export, in their order there; none without files."""
+    try:
+        found = spark.read.parquet(root).schema
+    except AnalysisException as failed:
+        if failed.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return []
+    return [field for field in found if field.name not in FOLDERS]
+
+
 def footer_bounds(spark: SparkSession, root: str, column: str) -> DataFrame:
-    """Least and largest value of a bigint column per folder of an export."""
-    rows = spark.read.schema(f"{column} bigint, {FOLDER_KINDS}").parquet(root)
+    """Least and largest value of a bigint column per folder of an export.
+
+    A footer's bounds are looked up by the column's place, so the schema asked for must list
+    all columns of the files in their order; the export wrote all files alike.
+    """
+    columns = _file_columns(spark, root) or [StructField(column, LongType())]
+    folders = StructType.fromDDL(FOLDER_KINDS).fields
+    rows = spark.read.schema(StructType([*columns, *folders])).parquet(root)
     return rows.groupBy(*FOLDERS).agg(F.min(column).alias("low"), F.max(column).alias("high"))
 
 
+def _footers_tell(spark: SparkSession, root: str) -> bool:
+    """Whether places of columns and of their footers agree: no column has parts."""
+    nested = (ArrayType, MapType, StructType)
+    return not any(isinstance(f.dataType, nested) for f in _file_columns(spark, root))
+
+
 def observed_range_files(
     spark: SparkSession, root: str, column: str = "ts_event_ns"
 ) -> DataFrame:
@@ -154,17 +179,22 @@ def observed_range_files(
     ``column`` holds integer nanoseconds. No row is read: each file's footer yields one pair
     of bounds, so the work grows with the number of files. A file whose values are all null
     has no bounds in its footer; with such a file among them the column is read instead, and
-    its folder gets null bounds. An export without rows gives no rows. The result is stored,
-    because the settings that let aggregates reach footers hold only here.
+    its folder gets null bounds. So it is for rows with arrays, maps or structs. An export
+    without rows gives no rows. The result is stored, because the settings that let
+    aggregates reach footers hold only here.
     """
     path = scratch_path(spark, "footers")
-    try:
-        with footers_answer(spark):
-            bounds = footer_bounds(spark, root, column)
-            bounds.write.parquet(path)
-    except Py4JJavaError as failed:
-        if NO_BOUNDS not in str(failed):
-            raise
+    told = _footers_tell(spark, root)
+    if told:
+        try:
+            with footers_answer(spark):
+                bounds = footer_bounds(spark, root, column)
+                bounds.write.parquet(path)
+        except Py4JJavaError as failed:
+            if NO_BOUNDS not in str(failed):
+                raise
+            told = False
+    if not told:
         bounds = footer_bounds(spark, root, column)
         bounds.write.mode("overwrite").parquet(path)
     return (

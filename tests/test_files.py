@@ -53,6 +53,21 @@ def test_bounds_come_from_footers(spark, exported):
     assert sorted(map(tuple, by_key.collect())) == sorted(map(tuple, want.collect()))
 
 
+@pytest.mark.parametrize("extra", ["int", "array<int>"])
+def test_bounds_wherever_the_column_stands(spark, tmp_path, extra):
+    """Other columns before it, of other types and with parts, do not take its place."""
+    root = str(tmp_path / "wide")
+    value = F.lit(7) if extra == "int" else F.array(F.lit(7), F.lit(8))
+    rows = tick_rows(spark, DAYS)
+    rows = rows.select(
+        "trade_date", value.cast(extra).alias("extra"), "price", *KEY, "ts_event_ns"
+    )
+    layout.write_layout(rows, root)
+    bounds = layout.key_bounds(layout.observed_range_files(spark, root))
+    want = catalog.observed_range(rows)
+    assert sorted(map(tuple, bounds.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_footer_plan_reads_no_rows(spark, exported):
     settings = {name: spark.conf.get(name, None) for name in layout.FOOTER_SETTINGS}
     with layout.footers_answer(spark):
