@@ -18,6 +18,7 @@ trains nothing; rows with a null id count as training rows. No rows give no rows
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -35,11 +36,23 @@ BLOCK_BYTES = 1 << 13
 #: A lead below this share of the runner-up's size is too narrow to decide.
 NARROW = 0.003
 NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Signs such as ½, ² and Ⅳ are word characters to a pattern but no letters.
+NUMBER_SIGNS = re.compile(
+    "[%s]"
+    % "".join(
+        sign
+        for sign in map(chr, range(sys.maxunicode + 1))
+        if sign.isnumeric() and not sign.isalpha() and not sign.isdecimal()
+    )
+)
 
 
 def letters_only(text: str | None) -> bytes:
     """Lower-case letters with single spaces between the runs; empty without letters."""
-    return NOT_LETTERS.sub(" ", (text or "").lower()).strip().encode()
+    plain = (text or "").lower()
+    if not plain.isascii():
+        plain = NUMBER_SIGNS.sub(" ", plain)
+    return NOT_LETTERS.sub(" ", plain).strip().encode()
 
 
 def training_pieces(docs: DataFrame, pieces: int = PIECES) -> DataFrame:

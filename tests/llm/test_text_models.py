@@ -27,6 +27,9 @@ def test_held_out_languages_are_told(spark):
 
 def test_no_letter_is_undetermined_and_ties_go_to_the_larger_language(spark):
     assert op2_language_id.Classifier({"en": b"the quick brown fox"}).predict("12 - 3") == ("und", 0.0, True)
+    for signs in ("½", "² ①", "Ⅳ ⅷ", "١٢", "_"):
+        assert op2_language_id.Classifier({"en": b"the quick brown fox"}).predict(signs) == ("und", 0.0, True)
+    assert op2_language_id.letters_only("ß²x 一½Ǆ") == "ß x 一 ǆ".encode()
     both = op2_language_id.Classifier({"xx": b"aaaaaaaaaaaa", "yy": b"aaaaaaaaaaaa"})
     assert both.predict("some words here")[0] == "xx"
     assert both.predict("some words here")[2]
