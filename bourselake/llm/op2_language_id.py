@@ -36,15 +36,21 @@ BLOCK_BYTES = 1 << 13
 #: A lead below this share of the runner-up's size is too narrow to decide.
 NARROW = 0.003
 NOT_LETTERS = re.compile(r"[\W\d_]+")
-# Signs such as ½, ² and Ⅳ are word characters to a pattern but no letters.
-NUMBER_SIGNS = re.compile(
-    "[%s]"
-    % "".join(
+
+
+def _number_signs(first: int, last: int) -> re.Pattern:
+    """Signs such as ½, ² and Ⅳ: word characters to a pattern, but no letters."""
+    signs = [
         sign
-        for sign in map(chr, range(sys.maxunicode + 1))
+        for sign in map(chr, range(first, last + 1))
         if sign.isnumeric() and not sign.isalpha() and not sign.isdecimal()
-    )
-)
+    ]
+    return re.compile(f"[{''.join(signs)}]")
+
+
+# Apart, because a pattern of signs from both planes is ten times as slow.
+NUMBER_SIGNS, RARE_NUMBER_SIGNS = _number_signs(0, 0xFFFF), _number_signs(0x10000, sys.maxunicode)
+RARE = re.compile("[\U00010000-\U0010ffff]")
 
 
 def letters_only(text: str | None) -> bytes:
@@ -52,6 +58,8 @@ def letters_only(text: str | None) -> bytes:
     plain = (text or "").lower()
     if not plain.isascii():
         plain = NUMBER_SIGNS.sub(" ", plain)
+        if RARE.search(plain):
+            plain = RARE_NUMBER_SIGNS.sub(" ", plain)
     return NOT_LETTERS.sub(" ", plain).strip().encode()
 
 
