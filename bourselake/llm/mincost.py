@@ -16,20 +16,34 @@ def route(
     The flow fills as much of the quotas as the patterns allow, at the least cost.
     """
     given = [[0] * len(m) for m in members]
+    for group in linked_patterns(members):
+        _augment(group, capacity, members, quota, epochs, given)
+    return given
+
+
+def linked_patterns(members: list[list[int]]) -> list[list[int]]:
+    """Patterns in groups that share sources, directly or by others of the group.
+
+    No words flow between groups, so each is a flow of its own.
+    """
     users: dict[int, list[int]] = {}
     for p, own in enumerate(members):
         for s in own:
             users.setdefault(s, []).append(p)
-    shared: set[int] = set()
-    for p, own in enumerate(members):
-        if len(own) == 1 and len(users[own[0]]) == 1:
-            # No other pattern serves this source: nothing to choose.
-            given[p][0] = min(epochs * capacity[p], quota[own[0]])
-        else:
-            shared.add(p)
-    if shared:
-        _augment(sorted(shared), capacity, members, quota, epochs, given)
-    return given
+    groups, seen = [], [False] * len(members)
+    for first in range(len(members)):
+        if seen[first]:
+            continue
+        seen[first] = True
+        group = [first]
+        for p in group:
+            for s in members[p]:
+                for other in users.pop(s, []):
+                    if not seen[other]:
+                        seen[other] = True
+                        group.append(other)
+        groups.append(sorted(group))
+    return groups
 
 
 def _augment(
