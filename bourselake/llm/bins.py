@@ -32,27 +32,27 @@ def best_fit(sizes: np.ndarray, room: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], sizes: np.ndarray, room: int, sweeps: int) -> list[list[int]]:
+def local_search(bins: list[list[int]], sizes: np.ndarray, room: int) -> list[list[int]]:
     """Empty the least filled bins by moves and swaps that raise the sum of squares.
 
     For a bin with fill a and another with fill b, words d that go from the first to
     the second raise the sum if b + d > a. Tried are: one item against nothing (a
     move), one against a smaller one, two against a smaller one. Of all partners the
     one that ends fullest is taken. A sweep visits the underfull bins from the
-    emptiest; the search ends with a sweep that changes nothing, or after ``sweeps``.
+    emptiest; the search ends with a sweep that changes nothing. It does end, since the
+    sum is a whole number that only rises and never exceeds room times all words.
     """
     home = np.full(len(sizes), -1, dtype=np.int64)
     for number, own in enumerate(bins):
         home[own] = number
     fill = np.array([int(sizes[own].sum()) for own in bins], dtype=np.int64)
-    for _ in range(sweeps):
+    changed = True
+    while changed:
         changed = False
         under = np.flatnonzero((fill < room) & (fill > 0))
         for bin_ in under[np.argsort(fill[under], kind="stable")].tolist():
             while fill[bin_] and _improve(bin_, bins, sizes, home, fill, room):
                 changed = True
-        if not changed:
-            break
     return [own for own in bins if own]
 
 
@@ -119,6 +119,6 @@ def _exchange(
             fill[new] += sizes[item]
 
 
-def pack(sizes: np.ndarray, room: int, sweeps: int = 4) -> list[list[int]]:
+def pack(sizes: np.ndarray, room: int) -> list[list[int]]:
     """Items of each bin, in order; no bin holds more than ``room``."""
-    return local_search(best_fit(sizes, room), sizes, room, sweeps)
+    return local_search(best_fit(sizes, room), sizes, room)

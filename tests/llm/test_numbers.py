@@ -73,6 +73,15 @@ def test_flow_equals_the_best_of_all_ways():
     assert (-sum(given), price) == best
 
 
+def test_every_pattern_goes_through_the_flow_of_its_group():
+    members = [[0], [0, 1], [1], [2], [3, 3], [2]]
+    assert mincost.linked_patterns(members) == [[0, 1, 2], [3, 5], [4]]
+    single = mincost.route([7, 3, 0], [[0], [1], [2]], [9, 50, 5], 2)
+    assert single == [[9], [6], [0]]
+    # Words of a pattern alone at its source are used before another repeats its own.
+    assert mincost.route([5, 5, 4], [[0], [0, 1], [2]], [5, 5, 8], 2) == [[5], [0, 5], [8]]
+
+
 def test_overlapping_memberships(spark):
     from pyspark.sql import functions as F
 
@@ -149,6 +158,14 @@ def test_many_copies_of_one_short_text_are_packed(spark):
     assert _gapless(found, 2048) <= least + 4
 
 
+def test_local_search_ends_only_when_it_is_stable():
+    for seed in range(5):
+        sizes = np.random.default_rng(seed).integers(20, 60, 300)
+        done = bins.pack(sizes, 100)
+        again = bins.local_search([list(b) for b in done], sizes, 100)
+        assert [sorted(b) for b in again] == [sorted(b) for b in done]
+
+
 def test_local_search_empties_bins_that_best_fit_leaves():
     """Falling sizes mislead best fit here; swaps of two against one repair it."""
     draw = np.random.default_rng(0)
@@ -156,7 +173,7 @@ def test_local_search_empties_bins_that_best_fit_leaves():
     for _ in range(60):
         sizes = draw.integers(15, 55, 60)
         first = bins.best_fit(sizes, 100)
-        then = bins.local_search([list(b) for b in first], sizes, 100, 8)
+        then = bins.local_search([list(b) for b in first], sizes, 100)
         assert sorted(i for b in then for i in b) == list(range(60))
         assert all(sizes[b].sum() <= 100 for b in then)
         assert len(then) <= len(first)
