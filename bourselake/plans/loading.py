@@ -88,21 +88,38 @@ class Store:
     ) -> None:
         """Write the next version of the tables; masks are made of the ranges if not given."""
         masks = coverage.recorded_buckets(ranges) if known is None else known
-        catalog_store.save_catalog(
-            self.spark,
-            masks.select(*KEY, F.col("bucket").cast("int").alias("bucket"), "full_mask", "parts"),
-            self.masks,
-        )
+        for rows, path in self._stored_forms(ranges, present, masks, updated_at):
+            catalog_store.save_catalog(self.spark, rows, path)
+
+    def _stored_forms(
+        self, ranges: DataFrame, present: DataFrame, known: DataFrame, updated_at: datetime
+    ) -> list[tuple[DataFrame, str]]:
+        bucket = F.col("bucket").cast("int").alias("bucket")
         listed = ranges.select(
             *RANGE,
             symbols.symbol_type(F.col("symbol")).alias("stype"),
             F.lit(updated_at).alias("updated_at"),
         )
-        catalog_store.save_catalog(self.spark, listed, self.catalog)
-        bucket = F.col("bucket").cast("int").alias("bucket")
-        catalog_store.save_catalog(
-            self.spark, present.select(*KEY, bucket, "slot_mask"), self.presence
-        )
+        return [
+            (known.select(*KEY, bucket, "full_mask", "parts"), self.masks),
+            (listed, self.catalog),
+            (present.select(*KEY, bucket, "slot_mask"), self.presence),
+        ]
+
+    def save_keys(
+        self,
+        touched: DataFrame,
+        ranges: DataFrame,
+        present: DataFrame,
+        known: DataFrame,
+        updated_at: datetime,
+    ) -> None:
+        """Replace what is stored of the touched keys; no other key is written.
+
+        The tables must be staged, since they are read after the first of them is stored.
+        """
+        for rows, path in self._stored_forms(ranges, present, known, updated_at):
+            catalog_store.append_changes(self.spark, rows, touched, path, KEY)
 
     def rows(self) -> DataFrame:
         return lake.read_lake(self.spark, self.lake)
@@ -129,16 +146,26 @@ def _month_no() -> Column:
 def _record(store: Store, loaded: DataFrame, known: DataFrame, updated_at: datetime) -> None:
     """Add loaded partitions to the presence table and known days to the recorded ranges."""
     spark = store.spark
-    runs = intervals.month_runs(known, KEY)
-    ranges = intervals.merge_ranges(store.recorded().unionByName(runs), KEY)
-    masks = coverage.merge_recorded(store.known(), coverage.recorded_buckets(runs))
-    day = F.make_date("year", "month", F.greatest(F.col("day"), F.lit(1)))
-    added = coverage.present_partitions(loaded.select(*KEY, day.alias("trade_date")))
-    merged = coverage.merge_present(
-        store.present(), added.withColumn("bucket", F.col("bucket").cast("int"))
-    )
     with staging(spark) as stage:
-        store.save(stage(ranges, "ranges"), stage(merged, "present"), updated_at, stage(masks, "masks"))
+        touched = stage(known.select(*KEY).unionByName(loaded.select(*KEY)).distinct(), "touched")
+        runs = intervals.month_runs(known, KEY)
+        ranges = intervals.merge_ranges(_of_keys(store.recorded(), touched).unionByName(runs), KEY)
+        masks = coverage.merge_recorded(
+            _of_keys(store.known(), touched), coverage.recorded_buckets(runs)
+        )
+        day = F.make_date("year", "month", F.greatest(F.col("day"), F.lit(1)))
+        added = coverage.present_partitions(loaded.select(*KEY, day.alias("trade_date")))
+        merged = coverage.merge_present(
+            _of_keys(store.present(), touched),
+            added.withColumn("bucket", F.col("bucket").cast("int")),
+        )
+        store.save_keys(
+            touched, stage(ranges, "ranges"), stage(merged, "present"), stage(masks, "masks"), updated_at
+        )
+
+
+def _of_keys(rows: DataFrame, touched: DataFrame) -> DataFrame:
+    return rows.join(touched, KEY, "left_semi")
 
 
 def record_delivery(store: Store, rows: DataFrame, updated_at: datetime) -> None:
@@ -165,10 +192,14 @@ def record_delivery(store: Store, rows: DataFrame, updated_at: datetime) -> None
         months = known.filter(~tick).select(
             *KEY, first.alias("range_start"), F.last_day(first).alias("range_end")
         )
-        left = stage(intervals.subtract_ranges(store.recorded(), months, KEY), "left")
+        touched = stage(rows.select(*KEY).distinct(), "touched")
+        stored = _of_keys(store.recorded(), touched)
+        left = stage(intervals.subtract_ranges(stored, months, KEY), "left")
+        masks = stage(coverage.recorded_buckets(left), "masks")
+        present = stage(_of_keys(store.present(), touched), "present")
         parts = rows.groupBy(*lake.LOGICAL_PARTITION).agg(F.count("*").alias("n_rows"))
         parts = stage(parts, "parts")
-        store.save(left, store.present(), updated_at)
+        store.save_keys(touched, left, present, masks, updated_at)
         _record(store, parts, known, updated_at)
 
 

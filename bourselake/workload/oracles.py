@@ -507,6 +507,7 @@ islands AS ({_islands("tick_days", KEY)})""",
   SELECT c.* FROM catalog c ANTI JOIN touched USING ({KEY})
   UNION ALL SELECT i.* FROM islands i SEMI JOIN touched USING ({KEY})) r""",
 )
+ORACLES["catalog_changes"] = ORACLES["catalog_write"]
 
 # --- filters ---------------------------------------------------------------
 

@@ -276,6 +276,20 @@ def catalog_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog_store.load_catalog(spark, path)
 
 
+@query
+def catalog_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same refresh as a change: the keys with new rows are written, no other."""
+    path = scratch_path(spark, "catalog")
+    catalog_store.save_catalog(spark, views.catalog(spark, sf_dir), path)
+    rows = views.ticks(spark, sf_dir)
+    newer = rows.filter(F.col("trade_date") > views.snapshot_date(F.col("dataset")))
+    touched = newer.select(*KEY).distinct()
+    own = catalog_store.load_catalog(spark, path).join(touched, KEY, "left_semi")
+    refreshed = catalog.refresh_catalog(own, newer, rows, views.UPDATED_AT)
+    catalog_store.append_changes(spark, refreshed.drop("updated_at"), touched, path, KEY)
+    return catalog_store.load_catalog(spark, path)
+
+
 # --- filters ---------------------------------------------------------------
 
 

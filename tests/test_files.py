@@ -227,3 +227,49 @@ def test_join_runs_of_nothing(spark):
     empty = spark.createDataFrame([([],)], "months array<struct<month_no:int,day_mask:bigint>>")
     runs = empty.select(intervals.mask_runs(F.col("months"), F.lit(True)).alias("r"))
     assert runs.select(intervals.join_runs(F.col("r")).alias("j")).first().j == []
+
+
+def _stored(spark, path):
+    rows = catalog_store.load_catalog(spark, path).collect()
+    return sorted((r.symbol, str(r.range_start), str(r.range_end)) for r in rows)
+
+
+def test_a_change_writes_its_keys_only_and_is_the_same_when_compacted(spark, tmp_path):
+    path = str(tmp_path / "catalog")
+    es, nq = ES, ("GLBX.MDP3", "NQ.c.0", "trades")
+    both = ranges(spark, [("2024-01-01", "2024-01-05")], es).unionByName(
+        ranges(spark, [("2024-01-02", "2024-01-03"), ("2024-01-08", "2024-01-09")], nq)
+    )
+    assert catalog_store.save_catalog(spark, both, path) == 1
+    new = ranges(spark, [("2024-01-01", "2024-01-10"), ("2024-02-01", "2024-02-02")], es)
+    assert catalog_store.append_changes(spark, new, new, path, KEY) == 2
+    assert [r.symbol for r in spark.read.parquet(f"{path}/change=2").collect()] == ["ES.c.0"]
+    wanted = [
+        ("ES.c.0", "2024-01-01", "2024-01-10"), ("ES.c.0", "2024-02-01", "2024-02-02"),
+        ("NQ.c.0", "2024-01-02", "2024-01-03"), ("NQ.c.0", "2024-01-08", "2024-01-09"),
+    ]
+    assert _stored(spark, path) == wanted
+    # A touched key without rows is deleted; of two changes of a key the later one counts.
+    gone = ranges(spark, [("2024-01-01", "2024-01-01")], nq)
+    catalog_store.append_changes(spark, new.filter("range_start < '2024-02-01'"), new, path, KEY)
+    catalog_store.append_changes(spark, gone.limit(0), gone, path, KEY)
+    assert _stored(spark, path) == wanted[:1]
+    # A change that did not finish is not seen.
+    (tmp_path / "catalog" / "change=5").mkdir()
+    assert _stored(spark, path) == wanted[:1]
+    assert not catalog_store.compact(spark, path)
+    assert catalog_store.compact(spark, path, share=0.0, least=0)
+    assert _stored(spark, path) == wanted[:1]
+    assert not catalog_store.compact(spark, path, share=0.0, least=0)
+    # Changes in the version are dropped with the version before it.
+    catalog_store.save_catalog(spark, catalog_store.load_catalog(spark, path), path)
+    assert not list((tmp_path / "catalog").glob("change=[2-4]"))
+    assert _stored(spark, path) == wanted[:1]
+
+
+def test_a_table_may_start_with_a_change(spark, tmp_path):
+    path = str(tmp_path / "catalog")
+    one = ranges(spark, [("2024-01-01", "2024-01-05")], ES)
+    assert catalog_store.append_changes(spark, one, one, path, KEY) == 1
+    assert _stored(spark, path) == [("ES.c.0", "2024-01-01", "2024-01-05")]
+    assert catalog_store.load_catalog(spark, path).columns == one.columns
