@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from bourselake.functions import daymask
 from bourselake.operators.calendars import with_sessions
+from bourselake.session import spread
 
 
 def _longest(ranges: DataFrame, keys: list[str]) -> DataFrame:
@@ -31,7 +32,8 @@ def _islands(ranges: DataFrame, keys: list[str]) -> DataFrame:
         F.lit(True),
     )
     return (
-        ranges.withColumn("_opens", opens.cast("int"))
+        spread(ranges, *keys)
+        .withColumn("_opens", opens.cast("int"))
         .withColumn("_island", F.sum("_opens").over(by_start))
         .groupBy(*keys, "_island")
         .agg(
@@ -61,9 +63,9 @@ def split_months(ranges: DataFrame, columns: list[str]) -> DataFrame:
 
 def ranges_to_months(ranges: DataFrame, keys: list[str]) -> DataFrame:
     """Day set of possibly overlapping ranges: (keys, month_no, day_mask)."""
-    merged = merge_ranges(ranges, keys)
+    longest = spread(_longest(ranges, keys), *keys)
     return (
-        split_months(merged, keys)
+        split_months(longest, keys)
         .groupBy(*keys, "month_no")
         .agg(F.bit_or("day_mask").alias("day_mask"))
     )
@@ -182,8 +184,7 @@ def missing_ranges(
     by_start = Window.partitionBy(*keys).orderBy("range_start")
     so_far = by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     gaps = (
-        _longest(cached, keys)
-        .unionByName(marks)
+        spread(_longest(cached, keys).unionByName(marks), *keys)
         .select(
             *keys,
             F.date_add(F.max("range_end").over(so_far), 1).alias("_gap_start"),
@@ -256,7 +257,8 @@ def month_islands(rows: DataFrame, keys: list[str], day: str) -> DataFrame:
     by_month = Window.partitionBy(*keys).orderBy("month_no")
     run = F.col("month_no") - F.row_number().over(by_month)
     return (
-        months.withColumn("_run", run)
+        spread(months, *keys)
+        .withColumn("_run", run)
         .groupBy(*keys, "_run")
         .agg(
             F.min("_first").alias("range_start"),

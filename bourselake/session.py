@@ -32,6 +32,18 @@ def build_session(master: str, shuffle_partitions: int, **extra: str) -> SparkSe
     return spark
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by key over all shuffle partitions, eight a core at least.
+
+    Shuffles of the planner's own are merged by their packed bytes into about one task a
+    core, whose sorts and hash tables then hold all of a core's rows at once. A number that
+    is asked for stays.
+    """
+    context = rows.sparkSession.sparkContext
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(usual, 8 * context.defaultParallelism), *keys)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder path under the folder all executors share.
 
