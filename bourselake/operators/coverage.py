@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from bourselake.functions import daymask
 from bourselake.functions.vocab import TICK_SCHEMAS
 from bourselake.operators import calendars, intervals
+from bourselake.session import spread
 
 KEY = ["dataset", "symbol", "schema_"]
 REQUEST = [*KEY, "range_start", "range_end"]
@@ -466,18 +467,19 @@ def month_reload_window(requests: DataFrame, cached: DataFrame) -> DataFrame:
 
     A monthly partition is replaced as a whole, so the reload spans the asked
     days and all days of that month already cached. One row per request, month.
+    Requests meet a key's recorded months as one map, before they are cut into months.
     """
     asked = requests.filter(~is_tick(F.col("schema_"))).select(*REQUEST).distinct()
-    months = intervals.split_months(asked, REQUEST)
-    recorded = intervals.ranges_to_months(cached, KEY).withColumnRenamed(
-        "day_mask", "_recorded"
-    )
-    have = F.coalesce("_recorded", F.lit(0).cast("bigint"))
-    span = F.col("day_mask").bitwiseOR(have)
     month = F.col("month_no")
+    by_month = F.map_from_entries(F.collect_list(F.struct("month_no", "day_mask")))
+    recorded = intervals.ranges_to_months(cached, KEY).groupBy(*KEY).agg(by_month.alias("_recorded"))
+    joined = spread(asked, *KEY).join(recorded, KEY, "left")
+    have = F.coalesce(F.try_element_at("_recorded", month), F.lit(0).cast("bigint"))
+    span = F.col("day_mask").bitwiseOR(F.col("_have"))
     return (
-        months.join(recorded, [*KEY, "month_no"], "left")
-        .filter(daymask.minus(F.col("day_mask"), have) != 0)
+        intervals.split_months(joined, [*REQUEST, "_recorded"])
+        .select(*REQUEST, "month_no", "day_mask", have.alias("_have"))
+        .filter(daymask.minus(F.col("day_mask"), F.col("_have")) != 0)
         .select(
             *REQUEST,
             F.year(daymask.month_first(month)).alias("year"),
