@@ -437,7 +437,7 @@ def missing_union(
     """
     tick = is_tick(F.col("schema_"))
     recorded = (
-        intervals.split_months(intervals.merge_ranges(cached, KEY), KEY)
+        intervals.ranges_to_months(cached, KEY)
         .withColumn("_first", daymask.month_first(F.col("month_no")))
         .withColumn("bucket", _bucket(F.col("_first")))
         .withColumn("_calendar", F.when(tick, calendars.calendar_of(F.col("dataset"))))
