@@ -498,17 +498,27 @@ def present_days(rows: DataFrame, keys: list[str] = KEY) -> DataFrame:
 def rows_in_requests(
     requests: DataFrame, days: DataFrame, keys: list[str] = KEY
 ) -> DataFrame:
-    """Requests with a flag: does any row lie in the window?"""
-    request = [*keys, "range_start", "range_end"]
-    months = intervals.split_months(requests.select(*request).distinct(), request)
-    seen = days.select(*keys, "month_no", F.col("day_mask").alias("_seen"))
-    hit = F.col("day_mask").bitwiseAND(F.coalesce("_seen", F.lit(0).cast("bigint")))
-    return (
-        months.join(seen, [*keys, "month_no"], "left")
-        .groupBy(*request)
-        .agg(F.bool_or(hit != 0).alias("has_rows"))
+    """Requests with a flag: does any row lie in the window?
+
+    A request meets its key's months as one array, so a long window is one row.
+    """
+    start, end = F.col("range_start"), F.col("range_end")
+    asked = requests.select(*keys, start, end).filter(start <= end).distinct()
+    month = F.struct("month_no", F.col("day_mask").alias("seen"))
+    months = (
+        spread(days.filter(F.col("month_no").isNotNull()), *keys)
+        .groupBy(*keys)
+        .agg(F.collect_list(month).alias("_months"))
     )
 
+    def hit(m: Column) -> Column:
+        number = m["month_no"]
+        inside = number.between(daymask.month_no(start), daymask.month_no(end))
+        return inside & (daymask.span_mask(number, start, end).bitwiseAND(m["seen"]) != 0)
+
+    has_rows = F.coalesce(F.exists("_months", hit), F.lit(False))
+    return asked.join(months, keys, "left").select(*asked.columns, has_rows.alias("has_rows"))
+
 
 def empty_requests(requests: DataFrame, days: DataFrame) -> DataFrame:
     """Requests whose whole window holds no row."""

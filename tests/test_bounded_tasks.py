@@ -25,3 +25,11 @@ def test_tables_dealt_by_key_are_not_merged_into_few_tasks(spark):
     assert tasks(intervals.ranges_to_months(given, KEY)) >= fine(spark)
     days = given.withColumn("trade_date", F.col("range_start"))
     assert tasks(intervals.month_islands(days, KEY, "trade_date")) >= fine(spark)
+
+
+def test_long_windows_are_not_cut_into_months_to_find_rows(spark):
+    asked = ranges(spark, [("2015-01-01", "2021-12-31"), ("2030-01-01", "2030-12-31")])
+    days = coverage.present_days(tick_rows(spark, [("GLBX.MDP3", "ES.c.0", "ohlcv-1d", "2018-02-03", 1)]))
+    found = coverage.empty_requests(asked, days)
+    assert "explode" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [str(r.range_start) for r in found.collect()] == ["2030-01-01"]
