@@ -8,6 +8,8 @@ year of months is twelve bits.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,25 +70,36 @@ def highest(mask: Column) -> Column:
     return F.length(F.bin(mask))
 
 
+def _once(mask: Column, build: Callable[[Column], Column]) -> Column:
+    """The array built of a mask whose expression is not evaluated anew for every use."""
+    return F.flatten(F.transform(F.array(mask), build))
+
+
 def days_in(mask: Column) -> Column:
     """Ascending array of the days of month in the mask.
 
-    Masks of one day, the usual case, skip the loop over all days.
+    Masks of one or two days, the usual case, skip the loop over all days.
     """
     all_days = F.sequence(F.lit(1), F.lit(31))
-    several = F.filter(all_days, lambda d: F.getbit(mask, d - 1) == 1)
-    return F.when(F.bit_count(mask) == 1, F.array(highest(mask))).otherwise(several)
+    several = _once(mask, lambda m: F.filter(all_days, lambda d: F.getbit(m, d - 1) == 1))
+    return (
+        F.when(F.bit_count(mask) == 1, F.array(highest(mask)))
+        .when(F.bit_count(mask) == 2, F.array(lowest(mask), highest(mask)))
+        .otherwise(several)
+    )
 
 
 def runs_in(mask: Column) -> Column:
     """Array of (first, last) days of the maximal runs of consecutive days."""
-    starts = minus(mask, F.shiftleft(mask, 1))
-    ends = minus(mask, F.shiftright(mask, 1))
-    return F.zip_with(
-        days_in(starts),
-        days_in(ends),
-        lambda a, b: F.struct(a.alias("first"), b.alias("last")),
-    )
+
+    def runs(m: Column) -> Column:
+        return F.zip_with(
+            days_in(minus(m, F.shiftleft(m, 1))),
+            days_in(minus(m, F.shiftright(m, 1))),
+            lambda a, b: F.struct(a.alias("first"), b.alias("last")),
+        )
+
+    return _once(mask, runs)
 
 
 def date_of(month: Column, day: Column) -> Column:

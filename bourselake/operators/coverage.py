@@ -22,6 +22,7 @@ KEY = ["dataset", "symbol", "schema_"]
 REQUEST = [*KEY, "range_start", "range_end"]
 PARTITION = ["year", "month", "day"]
 PARTS = "array<struct<month_no:int,day_mask:bigint>>"
+RUNS = "array<struct<gap_start:date,gap_end:date>>"
 
 
 def is_tick(schema: Column) -> Column:
@@ -208,7 +209,7 @@ def _request_slots(
     records and presence meet on (key, bucket), each shuffled once.
     """
     buckets = _request_buckets(requests, calendar, keys)
-    none, tick = F.lit(0).cast("bigint"), is_tick(F.col("schema_"))
+    none = F.lit(0).cast("bigint")
     seen = F.coalesce("slot_mask", none)
     ok = seen if verify_files else F.col("expected_mask")
     joined = buckets.join(present.select(*keys, "bucket", "slot_mask"), [*keys, "bucket"], "left")
@@ -217,13 +218,7 @@ def _request_slots(
         masks = recorded if "full_mask" in recorded.columns else recorded_buckets(recorded, keys)
         joined = joined.join(masks, [*keys, "bucket"], "left")
         parts = F.coalesce("parts", F.array().cast(PARTS))
-        asked = lambda p: daymask.span_mask(p["month_no"], F.col("range_start"), F.col("range_end"))
-        covered = F.filter(parts, lambda p: daymask.minus(asked(p), _part_days(parts, p)) == 0)
-        bits = F.transform(covered, lambda p: _one_bit(F.pmod(p["month_no"], F.lit(12))))
-        some = F.aggregate(bits, none, lambda a, b: a.bitwiseOR(b))
-        # Parts are rare; the loop over them runs where there are any.
-        partial = F.when(~tick & (F.size(parts) > 0), some).otherwise(none)
-        ok = ok.bitwiseAND(F.coalesce("full_mask", none).bitwiseOR(partial))
+        ok = ok.bitwiseAND(_recorded_slots(parts))
     known = F.coalesce("full_mask", none) if recorded is not None else F.col("expected_mask")
     return joined.select(
         *buckets.columns,
@@ -234,6 +229,21 @@ def _request_slots(
     )
 
 
+def _recorded_slots(parts: Column) -> Column:
+    """Slots of a request's bucket of which every requested day is recorded."""
+    none, tick = F.lit(0).cast("bigint"), is_tick(F.col("schema_"))
+    asked = lambda p: daymask.span_mask(p["month_no"], F.col("range_start"), F.col("range_end"))
+    covered = F.filter(parts, lambda p: daymask.minus(asked(p), _part_days(parts, p)) == 0)
+    # Parts are rare; the loop over them runs where there are any.
+    partial = F.when(~tick & (F.size(parts) > 0), _month_bits(covered)).otherwise(none)
+    return F.coalesce("full_mask", none).bitwiseOR(partial)
+
+
+def _month_bits(parts: Column) -> Column:
+    bits = F.transform(parts, lambda p: _one_bit(F.pmod(p["month_no"], F.lit(12))))
+    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
+
+
 def _part_days(parts: Column, part: Column) -> Column:
     """All recorded days of the part's month; a merged table may have several parts of it."""
     none = F.lit(0).cast("bigint")
@@ -267,6 +277,56 @@ def _gap_months(slots: DataFrame, verify_files: bool = True) -> Column:
     )
 
 
+def _gap_runs(slots: DataFrame) -> DataFrame:
+    """The slots with ``_runs``: the runs of days a bucket lacks, as (gap_start, gap_end).
+
+    Months without rows or records lack all their requested days, so neighbouring ones are
+    one run of the bucket's mask; only months recorded in part are looked at by day.
+    """
+    start, end, year = F.col("range_start"), F.col("range_end"), F.col("bucket").cast("int")
+    none = F.lit(0).cast("bigint")
+    some = F.when(F.size("_parts") > 0, _month_bits(F.col("_parts"))).otherwise(none)
+    known = F.col("_seen").bitwiseAND(F.col("_full").bitwiseOR(some))
+
+    def run(first: Column, last: Column) -> Column:
+        return F.struct(first.alias("gap_start"), last.alias("gap_end"))
+
+    def days(month: Column, mask: Column) -> Column:
+        return F.transform(
+            daymask.runs_in(mask),
+            lambda r: run(daymask.date_of(month, r["first"]), daymask.date_of(month, r["last"])),
+        )
+
+    def lacking(slot: Column) -> Column:
+        month = year * 12 + slot - 1
+        same = F.filter("_parts", lambda p: p["month_no"] == month)
+        have = F.aggregate(same, none, lambda a, p: a.bitwiseOR(p["day_mask"]))
+        mask = daymask.minus(daymask.span_mask(month, start, end), have)
+        return F.struct(month.alias("month_no"), mask.alias("day_mask"))
+
+    whole = F.transform(
+        daymask.runs_in(F.col("_whole")),
+        lambda r: run(
+            F.greatest(F.make_date(year, r["first"], F.lit(1)), start),
+            F.least(F.last_day(F.make_date(year, r["last"], F.lit(1))), end),
+        ),
+    )
+    in_part = F.transform(daymask.days_in(F.col("_in_part")), lacking)
+    parted = F.flatten(F.transform(in_part, lambda m: days(m["month_no"], m["day_mask"])))
+    months = F.when(F.col("_in_part") == 0, whole).otherwise(F.concat(whole, parted))
+    runs = (
+        F.when(F.col("_gap") == 0, F.array().cast(RUNS))
+        .when(is_tick(F.col("schema_")), days(year, F.col("_gap")))
+        .otherwise(months)
+    )
+    return (
+        slots.withColumn("_gap", daymask.minus(F.col("expected_mask"), F.col("cached_mask")))
+        .withColumn("_in_part", F.col("_gap").bitwiseAND(known))
+        .withColumn("_whole", daymask.minus(F.col("_gap"), F.col("_in_part")))
+        .withColumn("_runs", runs)
+    )
+
+
 def _with_status(counted: DataFrame) -> DataFrame:
     missing = F.col("total_partitions") - F.col("cached_partitions")
     return counted.withColumn("missing_partitions", missing).withColumn(
@@ -315,23 +375,11 @@ def status_and_gaps(
     request = [*keys, "range_start", "range_end"]
     slots = _request_slots(requests, recorded, present, calendar, keys)
     counted = _with_status(
-        slots.withColumn("_gaps", _gap_months(slots))
+        _gap_runs(slots)
         .groupBy(*request)
-        .agg(*_counts(), F.sort_array(F.flatten(F.collect_list("_gaps"))).alias("_gaps"))
-    )
-    runs = F.flatten(
-        F.transform(
-            "_gaps",
-            lambda m: F.transform(
-                daymask.runs_in(m["day_mask"]),
-                lambda r: F.struct(
-                    daymask.date_of(m["month_no"], r["first"]).alias("gap_start"),
-                    daymask.date_of(m["month_no"], r["last"]).alias("gap_end"),
-                ),
-            ),
-        )
+        .agg(*_counts(), F.sort_array(F.flatten(F.collect_list("_runs"))).alias("_runs"))
     )
-    # A run that ends a month goes on in the next one if that starts with a run: gaps start
+    # A run that ends a bucket goes on in the next one if that starts with a run: gaps start
     # where the run before does not end the day before, and end where the next does not.
     at = lambda i: F.try_element_at("_runs", i)
     starts = F.filter("_runs", lambda r, i: (i == 0) | (F.date_add(at(i)["gap_end"], 1) != r["gap_start"]))
@@ -344,7 +392,7 @@ def status_and_gaps(
         ends,
         lambda a, b: F.struct(a["gap_start"].alias("gap_start"), b["gap_end"].alias("gap_end")),
     )
-    return counted.withColumn("_runs", runs).withColumn("gaps", gaps).drop("_gaps", "_runs")
+    return counted.withColumn("gaps", gaps).drop("_runs")
 
 
 def days_to_load(

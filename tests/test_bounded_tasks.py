@@ -33,3 +33,22 @@ def test_long_windows_are_not_cut_into_months_to_find_rows(spark):
     found = coverage.empty_requests(asked, days)
     assert "explode" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [str(r.range_start) for r in found.collect()] == ["2030-01-01"]
+
+
+def test_gaps_of_months_in_part_and_of_whole_months_join(spark, calendar):
+    key = ("GLBX.MDP3", "ES.c.0", "ohlcv-1d")
+    asked = ranges(spark, [("2023-11-10", "2024-03-20")], key)
+    rows = tick_rows(spark, [(*key, "2024-01-10", 1)])
+    recorded = ranges(spark, [("2024-01-05", "2024-01-09"), ("2024-01-20", "2024-01-25")], key)
+    split = updates.ensure_split(asked, recorded, coverage.present_partitions(rows), calendar)
+    assert sorted((str(r.gap_start), str(r.gap_end)) for r in split.collect()) == [
+        ("2023-11-10", "2024-01-04"), ("2024-01-10", "2024-01-19"), ("2024-01-26", "2024-03-20"),
+    ]
+
+
+def test_runs_of_a_mask(spark):
+    masks = {0: [], 1: [(1, 1)], 0b1011: [(1, 2), (4, 4)], 0b10101: [(1, 1), (3, 3), (5, 5)],
+             (1 << 31) - 1: [(1, 31)]}
+    rows = spark.createDataFrame([(m,) for m in masks], "m bigint")
+    for r in rows.select("m", daymask.runs_in(F.col("m")).alias("runs")).collect():
+        assert [tuple(x) for x in r.runs] == masks[r.m]
