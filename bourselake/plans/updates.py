@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from bourselake.functions import symbols
 from bourselake.operators import contracts as futures
 from bourselake.operators import coverage
 from bourselake.operators.coverage import KEY
+from bourselake.session import spread
 
 
 def available_end(landing: DataFrame) -> DataFrame:
@@ -90,17 +93,24 @@ def auto_roll_plan(
     ``scope`` are the key columns besides symbol and schema_. One row per
     successor with its schemas (at most the schema vocabulary) and window.
     """
-    held = catalog.select(*scope, F.upper("symbol").alias("symbol"), "schema_")
-    last = catalog.groupBy(*scope, "symbol", "schema_").agg(
+    dated = catalog.groupBy(*scope, "symbol", "schema_").agg(
         F.max("range_end").alias("last_date")
     )
-    finished = _with_expiration(last, contracts).filter(
-        F.col("last_date") >= F.col("expiration")
+    last = _with_expiration(dated, contracts)
+    held = F.struct(F.upper("symbol").alias("symbol"), F.lit(True).alias("_held"))
+    successor = F.struct(F.col("next_symbol").alias("symbol"), F.lit(False).alias("_held"))
+    finished = F.col("last_date") >= F.col("expiration")
+    named = last.select(
+        *scope, "schema_", F.inline(F.when(finished, F.array(held, successor)).otherwise(F.array(held)))
     )
+    # A null is equal to nothing: what is held under one keeps no successor out.
+    key = [*scope, "symbol", "schema_"]
+    is_held = F.col("_held") & reduce(and_, [F.col(c).isNotNull() for c in key])
     rolls = (
-        finished.select(*scope, F.col("next_symbol").alias("symbol"), "schema_")
-        .distinct()
-        .join(held, [*scope, "symbol", "schema_"], "left_anti")
+        spread(named, *scope, "symbol")
+        .groupBy(*key)
+        .agg(F.bool_or(is_held).alias("_is_held"), F.bool_and("_held").alias("_only_held"))
+        .filter("not _is_held and not _only_held")
         .groupBy(*scope, "symbol")
         .agg(F.sort_array(F.collect_set("schema_")).alias("schemas"))
     )

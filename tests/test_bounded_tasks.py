@@ -27,6 +27,19 @@ def test_tables_dealt_by_key_are_not_merged_into_few_tasks(spark):
     assert tasks(intervals.month_islands(days, KEY, "trade_date")) >= fine(spark)
 
 
+def test_rolls_are_dealt_by_key(spark, contract):
+    held = ranges(spark, [("2024-01-01", "2024-02-01")], ("GLBX.MDP3", "ESH24", "ohlcv-1d"))
+    assert tasks(updates.auto_roll_plan(held, contract, d("2024-06-01"), ["dataset"])) >= fine(spark)
+
+
+def test_a_successor_under_a_null_key_rolls(spark, contract):
+    rows = [(None, "ESH24", "ohlcv-1d", d("2024-01-01"), d("2024-03-15")),
+            (None, "ESM24", "ohlcv-1d", d("2024-03-01"), d("2024-03-20"))]
+    held = spark.createDataFrame(rows, KEYED + "range_start date, range_end date")
+    found = updates.auto_roll_plan(held, contract, d("2024-04-01"), ["dataset"]).collect()
+    assert [r.symbol for r in found] == ["ESM24"]
+
+
 def test_long_windows_are_not_cut_into_months_to_find_rows(spark):
     asked = ranges(spark, [("2015-01-01", "2021-12-31"), ("2030-01-01", "2030-12-31")])
     days = coverage.present_days(tick_rows(spark, [("GLBX.MDP3", "ES.c.0", "ohlcv-1d", "2018-02-03", 1)]))
