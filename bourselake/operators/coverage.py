@@ -10,6 +10,8 @@ come from ``bit_count``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,26 +81,33 @@ def _request_buckets(
 ) -> DataFrame:
     """Requests split into buckets, with window and expected masks."""
     start, end = F.col("range_start"), F.col("range_end")
-    tick = is_tick(F.col("schema_"))
     asked = requests.select(*keys, "range_start", "range_end").distinct()
-    split = (
-        asked.filter(start <= end)
-        .withColumn("bucket", F.explode(F.sequence(_bucket(start), _bucket(end))))
-        .withColumn("_calendar", F.when(tick, calendars.calendar_of(F.col("dataset"))))
+    split = asked.filter(start <= end).withColumn(
+        "bucket", F.explode(F.sequence(_bucket(start), _bucket(end)))
     )
+    return _with_masks(split.withColumn("_calendar", _tick_calendar()), calendar)
+
+
+def _tick_calendar() -> Column:
+    """Calendar whose sessions a tick schema has; null for other schemas."""
+    return F.when(is_tick(F.col("schema_")), calendars.calendar_of(F.col("dataset")))
+
+
+def _with_masks(split: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Window and expected masks of buckets; ``_calendar`` (null: monthly) goes."""
+    start, end = F.col("range_start"), F.col("range_end")
     sessions = calendars.session_months(calendar).select(
         F.col("calendar").alias("_calendar"),
         F.col("month_no").alias("bucket"),
         "session_mask",
     )
     bucket = F.col("bucket")
-    window = F.when(tick, daymask.span_mask(bucket, start, end)).otherwise(
-        daymask.month_span_mask(bucket, start, end)
-    )
+    window = F.when(
+        F.col("_calendar").isNotNull(), daymask.span_mask(bucket, start, end)
+    ).otherwise(daymask.month_span_mask(bucket, start, end))
     every = F.lit(daymask.ALL_DAYS).cast("bigint")
     return split.join(F.broadcast(sessions), ["_calendar", "bucket"], "left").select(
-        *asked.columns,
-        "bucket",
+        *[c for c in split.columns if c != "_calendar"],
         window.alias("window_mask"),
         window.bitwiseAND(F.coalesce("session_mask", every)).alias("expected_mask"),
     )
@@ -360,6 +369,145 @@ def _counts() -> list[Column]:
     ]
 
 
+def symbol_windows_status(
+    groups: DataFrame,
+    listed: Callable[[DataFrame], DataFrame],
+    windows: DataFrame,
+    recorded: DataFrame | None,
+    present: DataFrame,
+    calendar: DataFrame,
+    by: list[str],
+    keys: list[str],
+) -> DataFrame:
+    """``coverage_status`` of requests that are all windows of a group's symbols.
+
+    ``windows`` (symbol, range_start, range_end, more columns) is bounded: one window a
+    symbol. ``listed`` makes the requests of a table of distinct ``groups``, which have the
+    columns ``by``. A group gets the cached partitions of its symbols as one map, of at most
+    as many entries as there are windows. The requests, many times the rows, are listed after
+    the last shuffle; what they expect depends on the window and the calendar alone.
+    """
+    counts = _cached_counts(windows, recorded, present, calendar, by, keys)
+    entries = F.collect_list(F.struct("symbol", "n"))
+    cached = counts.groupBy(*by).agg(F.map_from_entries(entries).alias("_cached"))
+    requests = listed(groups.join(cached, by, "left"))
+    sessions = F.element_at("_sessions", calendars.calendar_of(F.col("dataset")))
+    total = F.when(is_tick(F.col("schema_")), sessions).otherwise(F.col("_months"))
+    found = F.coalesce(F.try_element_at("_cached", F.col("symbol")), F.lit(0).cast("bigint"))
+    return _with_status(
+        requests.join(F.broadcast(_window_totals(windows, calendar)), "symbol").select(
+            *keys,
+            "range_start",
+            "range_end",
+            total.alias("total_partitions"),
+            found.alias("cached_partitions"),
+        )
+    )
+
+
+def _cached_counts(
+    windows: DataFrame,
+    recorded: DataFrame | None,
+    present: DataFrame,
+    calendar: DataFrame,
+    by: list[str],
+    keys: list[str],
+) -> DataFrame:
+    """(by, symbol, n): cached partitions of the symbol's window, where there are any.
+
+    Presence and recorded days meet by month, dealt by group in one shuffle. A month's
+    partition is cached if it has rows and all its asked days are recorded, of tick schemas
+    each recorded session with rows is.
+    """
+    none, every = (F.lit(n).cast("bigint") for n in (0, daymask.ALL_DAYS))
+    tick, month = is_tick(F.col("schema_")), F.col("month_no")
+    sessions = calendars.session_months(calendar).withColumnRenamed("calendar", "_calendar")
+    seen = F.when(tick, F.col("slot_mask").bitwiseAND(F.coalesce("session_mask", every)))
+    rows = (
+        _by_month(present, keys, "slot_mask")
+        .withColumn("_calendar", _tick_calendar())
+        .join(F.broadcast(sessions), ["_calendar", "month_no"], "left")
+        .select(
+            *keys,
+            month,
+            seen.otherwise(every).alias("seen"),
+            (every if recorded is None else none).alias("have"),
+        )
+    )
+    if recorded is not None:
+        days = _recorded_months(recorded, keys)
+        rows = rows.unionByName(
+            days.select(*keys, month, none.alias("seen"), F.col("day_mask").alias("have"))
+        )
+    start, end = F.col("range_start"), F.col("range_end")
+    months = F.explode(F.sequence(daymask.month_no(start), daymask.month_no(end)))
+    asked = windows.filter(start <= end).withColumn("month_no", months)
+    asked = asked.withColumn("asked", daymask.span_mask(month, start, end)).drop("range_start", "range_end")
+    inside = rows.join(F.broadcast(asked), ["symbol", "month_no"]).select(
+        *by,
+        "symbol",
+        "month_no",
+        *[F.col(c).bitwiseAND(F.col("asked")).alias(c) for c in ("seen", "have")],
+        "asked",
+    )
+    both = F.bit_count(F.col("seen").bitwiseAND(F.col("have")))
+    whole = F.when((F.col("seen") != 0) & (F.col("have") == F.col("asked")), 1).otherwise(0)
+    return (
+        spread(inside, *by)
+        .groupBy(*by, "symbol", "month_no")
+        .agg(F.bit_or("seen").alias("seen"), F.bit_or("have").alias("have"), F.max("asked").alias("asked"))
+        .withColumn("n", F.when(tick, both).otherwise(whole))
+        .filter("n > 0")
+        .groupBy(*by, "symbol")
+        .agg(F.sum(F.col("n").cast("bigint")).alias("n"))
+    )
+
+
+def _by_month(masks: DataFrame, keys: list[str], mask: str) -> DataFrame:
+    """Buckets as months: of tick schemas the mask is of days, of others all its months."""
+    tick, bucket = is_tick(F.col("schema_")), F.col("bucket")
+    slots = F.when(tick, F.array(F.lit(1))).otherwise(daymask.days_in(F.col(mask)))
+    number = F.when(tick, bucket).otherwise(bucket * 12 + F.col("_slot") - 1)
+    return masks.select(*keys, bucket, mask, F.explode(slots).alias("_slot")).select(
+        *keys, number.cast("int").alias("month_no"), mask
+    )
+
+
+def _recorded_months(recorded: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, month_no, day_mask) of ranges, or of the masks ``recorded_buckets`` makes."""
+    if "full_mask" not in recorded.columns:
+        return intervals.split_months(recorded.select(*keys, "range_start", "range_end"), keys)
+    days = F.when(is_tick(F.col("schema_")), F.col("full_mask")).otherwise(daymask.ALL_DAYS)
+    full = _by_month(recorded, keys, "full_mask").select(*keys, "month_no", days.alias("day_mask"))
+    return full.unionByName(recorded.select(*keys, F.inline("parts")))
+
+
+def _window_totals(windows: DataFrame, calendar: DataFrame) -> DataFrame:
+    """(symbol, _months, _sessions): partitions each window expects, sessions by calendar."""
+    start, end, name = F.col("range_start"), F.col("range_end"), F.col("_calendar")
+    names = F.array(F.lit(None).cast("string"), *[F.lit(c) for c in calendars.TRADING_HOURS])
+    bound = lambda day: F.when(name.isNotNull(), daymask.month_no(day)).otherwise(F.year(day))
+    split = (
+        windows.select("symbol", start, end)
+        .filter(start <= end)
+        .withColumn("_calendar", F.explode(names))
+        .withColumn("_name", name)
+        .withColumn("bucket", F.explode(F.sequence(bound(start), bound(end))))
+    )
+    n = F.sum(F.bit_count("expected_mask").cast("bigint")).alias("n")
+    sessions = F.when(F.col("_name").isNotNull(), F.struct("_name", "n"))
+    return (
+        _with_masks(split, calendar)
+        .groupBy("symbol", "_name")
+        .agg(n)
+        .groupBy("symbol")
+        .agg(
+            F.max(F.when(F.col("_name").isNull(), F.col("n"))).alias("_months"),
+            F.map_from_entries(F.collect_list(sessions)).alias("_sessions"),
+        )
+    )
+
+
 def status_and_gaps(
     requests: DataFrame,
     recorded: DataFrame,

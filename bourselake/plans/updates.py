@@ -6,7 +6,7 @@ from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourselake.functions import symbols
@@ -173,18 +173,82 @@ def batch_plan(
     scope: list[str],
     force: bool = False,
 ) -> DataFrame:
-    """Contracts of a root and year range: load each, or skip if complete."""
+    """Contracts of a root and year range: load each, or skip if complete.
+
+    A group is a scope, root and schema; its contracts are listed when all that is recorded
+    and present of them is known, since they are many times the rows.
+    """
     keys = [*scope, "symbol", "schema_"]
-    wanted = available_contracts(spans, contracts, as_of).select(
-        *keys,
-        F.col("window_start").alias("range_start"),
-        F.col("window_end").alias("range_end"),
+    by = [*scope, "schema_"] if "root" in scope else [*scope, "_of_root", "schema_"]
+    end, available = futures.capped_window(
+        F.lit(as_of), F.col("window_start"), F.col("expiration")
+    )
+    windows = (
+        futures.quarterly(contracts)
+        .select(F.col("root").alias("_of_root"), "symbol", "window_start", end, available)
+        .filter("is_available")
+        .select("_of_root", "symbol", *_window_as_range())
+    )
+
+    def listed(groups: DataFrame) -> DataFrame:
+        root = [] if "root" in scope else [F.col("_of_root").alias("root")]
+        years = groups.select(*scope, *root, "schema_", "_cached", F.inline("_years"))
+        return available_contracts(years, contracts, as_of).select(
+            *keys, *_window_as_range(), "_cached"
+        )
+
+    checked = coverage.symbol_windows_status(
+        _years_by_group(spans, by), listed, windows, recorded, present, calendar, by, keys
     )
-    checked = coverage.coverage_status(wanted, recorded, present, calendar, keys)
     skip = (F.col("status") == "COMPLETE") & ~F.lit(force)
     return checked.withColumn("action", F.when(skip, "skip").otherwise("load"))
 
 
+def _window_as_range() -> list[Column]:
+    return [F.col("window_start").alias("range_start"), F.col("window_end").alias("range_end")]
+
+
+def _years_by_group(spans: DataFrame, by: list[str]) -> DataFrame:
+    """Each group once, with ``_years``: its (from_year, to_year), without overlaps.
+
+    The years contracts can have are bits of two masks. Spans that leave years out between
+    them are cut into single years, at most a century.
+    """
+    first, last = futures.FIRST_YEAR, futures.LAST_YEAR
+    given = spans.withColumn("_of_root", F.upper("root")).filter("from_year <= to_year")
+    start = F.greatest(F.col("from_year"), F.lit(first)).cast("int")
+    end = F.least(F.col("to_year"), F.lit(last)).cast("int")
+    halves = {"_early": first, "_late": first + 50}
+    pair = lambda a, b: F.struct(a.alias("from_year"), b.alias("to_year"))
+
+    def bits(base: int) -> Column:
+        low, high = F.greatest(start - base, F.lit(0)), F.least(end - base + 1, F.lit(50))
+        one = F.lit(1).cast("bigint")
+        mask = F.call_function("shiftleft", one, high) - F.call_function("shiftleft", one, low)
+        return F.when(high > low, mask).otherwise(F.lit(0).cast("bigint"))
+
+    def held(year: Column) -> Column:
+        return F.when(year < first + 50, F.getbit("_early", year - first)).otherwise(
+            F.getbit("_late", year - first - 50)
+        )
+
+    merged = (
+        spread(given.filter(start <= end), *by)
+        .groupBy(*by)
+        .agg(
+            F.min(start).alias("_from"),
+            F.max(end).alias("_to"),
+            *[F.bit_or(bits(base)).alias(name) for name, base in halves.items()],
+        )
+    )
+    n_years = F.bit_count("_early") + F.bit_count("_late")
+    every = F.filter(F.sequence("_from", "_to"), lambda y: held(y) == 1)
+    years = F.when(
+        n_years == F.col("_to") - F.col("_from") + 1, F.array(pair(F.col("_from"), F.col("_to")))
+    ).otherwise(F.transform(every, lambda y: pair(y, y)))
+    return merged.select(*by, years.alias("_years"))
+
+
 def front_month_windows(
     roots: DataFrame, contracts: DataFrame, as_of: date
 ) -> DataFrame:

@@ -65,3 +65,40 @@ def test_runs_of_a_mask(spark):
     rows = spark.createDataFrame([(m,) for m in masks], "m bigint")
     for r in rows.select("m", daymask.runs_in(F.col("m")).alias("runs")).collect():
         assert [tuple(x) for x in r.runs] == masks[r.m]
+
+
+def batch(spark, contract, calendar, spans, recorded, present):
+    columns = "dataset string, root string, schema_ string, from_year int, to_year int"
+    asked = spark.createDataFrame(spans, columns)
+    return updates.batch_plan(asked, contract, recorded, present, calendar, d("2024-08-01"), ["dataset"])
+
+
+def test_batches_are_listed_after_the_last_grouping(spark, contract, calendar):
+    recorded = ranges(spark, [("2024-03-01", "2024-03-31")], ("GLBX.MDP3", "NQM24", "ohlcv-1d"))
+    present = coverage.present_partitions(tick_rows(spark, [("GLBX.MDP3", "NQM24", "ohlcv-1d", "2024-03-08", 1)]))
+    planned = batch(spark, contract, calendar, [("GLBX.MDP3", "NQ", "ohlcv-1d", 2015, 2024)], recorded, present)
+    plan = planned._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index(">= from_year")]
+    assert "Aggregate" not in above and "Repartition" not in above
+
+
+def test_batches_agree_with_the_status_of_their_requests(spark, contract, calendar):
+    spans = [("GLBX.MDP3", "NQ", "ohlcv-1d", 2020, 2021), ("GLBX.MDP3", "nq", "ohlcv-1d", 2021, 2021),
+             ("GLBX.MDP3", "NQ", "ohlcv-1d", 2024, 2024), ("GLBX.MDP3", "NQ", "trades", 2024, 2030),
+             ("XNAS.ITCH", "ES", "trades", 2024, 2024), (None, "ES", "trades", 2024, 2024),
+             ("XNAS.ITCH", "ES", "trades", None, 2024), ("XNAS.ITCH", "ES", "trades", 2025, 2024)]
+    days = ["2024-03-08", "2024-03-11", "2024-04-30", "2024-05-01", "2024-06-03", "2020-12-31"]
+    keys = [(s, y, sc) for s, y in (("GLBX.MDP3", "NQM24"), ("GLBX.MDP3", "NQH21"), ("XNAS.ITCH", "ESM24"), (None, "ESM24"))
+            for sc in ("ohlcv-1d", "trades")]
+    present = coverage.present_partitions(tick_rows(spark, [(*k, x, 1) for k in keys for x in days]))
+    parts = [("2024-03-01", "2024-03-15"), ("2024-03-14", "2024-03-31"), ("2024-04-02", "2024-06-30"), ("2020-12-10", "2021-01-02")]
+    rows = [(*k, d(a), d(b)) for k in keys for a, b in parts]
+    recorded = spark.createDataFrame(rows, KEYED + "range_start date, range_end date")
+    masks = coverage.recorded_buckets(recorded)
+    columns = "dataset string, root string, schema_ string, from_year int, to_year int"
+    wanted = updates.available_contracts(spark.createDataFrame(spans, columns), contract, d("2024-08-01"))
+    asked = wanted.withColumnsRenamed({"window_start": "range_start", "window_end": "range_end"})
+    for known in (recorded, masks, None):
+        want = coverage.coverage_status(asked, known, present, calendar)
+        got = batch(spark, contract, calendar, spans, known, present).drop("action")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
