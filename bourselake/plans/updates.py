@@ -45,7 +45,7 @@ def update_plan(
     and the contract's expiration.
     """
     wanted = F.lit(end) if end is not None else F.date_sub(F.lit(as_of), 1)
-    last = catalog.groupBy(*keys).agg(F.max("range_end").alias("last_date"))
+    last = spread(catalog, *keys).groupBy(*keys).agg(F.max("range_end").alias("last_date"))
     # One row per dataset: the fixed vocabulary bounds it, a shuffle would meet on it.
     bounded = _with_expiration(last, contracts).join(
         F.broadcast(available), "dataset", "left"

@@ -18,6 +18,7 @@ from bourselake.functions.vocab import MONTH_LETTERS, SUPPORTED_ROOTS
 from bourselake.operators import calendars, intervals
 from bourselake.operators import contracts as futures
 from bourselake.operators.coverage import KEY, partition_columns
+from bourselake.session import spread
 from bourselake.sources.dimensions import stored
 
 TICKS_AS_OF = date(2024, 2, 1)
@@ -297,13 +298,14 @@ def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contracts held per book and feed, sliced out of the bars.
 
-    The recorded range ends with the month of the last bar, or at expiration.
+    The recorded range ends with the month of the last bar, or at expiration. Most holdings
+    have one bar, so rows are dealt before they are grouped, not after.
     """
     sliced = futures.contract_slice(
         bars(spark, sf_dir).drop("symbol", "schema_"), contracts(spark), "trade_date"
     )
     first_month = F.trunc(F.min("trade_date"), "MM").cast("date")
-    return sliced.groupBy(
+    return spread(sliced, "book", "dataset", "symbol", "feed").groupBy(
         "book", "dataset", "symbol", F.col("feed").alias("schema_")
     ).agg(
         F.greatest(first_month, F.min("window_start")).alias("range_start"),

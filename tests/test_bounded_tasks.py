@@ -4,6 +4,7 @@ from bourselake.functions import daymask
 from bourselake.operators import coverage, intervals
 from bourselake.plans import updates
 from bourselake.session import spread
+from bourselake.workload import views
 from pyspark.sql import functions as F
 from tests.conftest import KEYED, d, ranges, tick_rows
 
@@ -102,3 +103,18 @@ def test_batches_agree_with_the_status_of_their_requests(spark, contract, calend
         want = coverage.coverage_status(asked, known, present, calendar)
         got = batch(spark, contract, calendar, spans, known, present).drop("action")
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_updates_and_holdings_are_dealt_before_they_are_grouped(spark, contract, tmp_path):
+    held = ranges(spark, [("2024-01-01", "2024-02-01")], ("GLBX.MDP3", "ESH24", "ohlcv-1d"))
+    ends = updates.available_end(held.withColumn("trade_date", F.col("range_end")))
+    assert tasks(updates.update_plan(held, ends, contract, d("2024-06-01"))) >= fine(spark)
+    bars = [(1, 1, 1, 5.0, 0.1, "A", "F", d("1996-01-10")), (1, 1, 2, 7.0, 0.0, "A", "F", d("1996-03-04"))]
+    columns = "l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_discount double, "
+    lines = spark.createDataFrame(bars, columns + "l_returnflag string, l_linestatus string, l_shipdate date")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    holdings = views.holdings(spark, str(tmp_path))
+    assert tasks(holdings) >= fine(spark)
+    assert sorted((r.symbol, str(r.range_start), str(r.range_end), r.size_bytes, r.n_issues) for r in holdings.collect()) == [
+        ("ESH16", "2016-01-01", "2016-03-18", 12, 1), ("ESM16", "2016-03-04", "2016-03-31", 7, 0),
+    ]
